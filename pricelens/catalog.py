@@ -36,13 +36,16 @@ INTERVAL_ORIGIN = TEST_SALES.interval_origin
 QUERIES: dict = {}
 
 
-def q(name, doubles=(), sql=None):
+def q(name, doubles=(), sql=None, digits: int = 9):
+    """Register a query.  ``digits``: significant digits kept on both sides
+    (6 for per-row values that depend on fitted coefficients, whose last bits
+    differ between the engines' solvers)."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(spark, sf_dir))
+            return round_doubles(fn(spark, sf_dir), digits)
         run.__name__ = name
         run.__doc__ = fn.__doc__
-        QUERIES[name] = (run, wrap_sql(sql, doubles) if sql is not None else None)
+        QUERIES[name] = (run, wrap_sql(sql, doubles, digits) if sql is not None else None)
         return fn
     return deco
 
@@ -653,4 +656,129 @@ def best_trial(spark, sf):
     return BL.best_trial(rows)
 
 
-QUERY_NAMES = list(QUERIES)
+
+# ============================================ export / append (S8, S10) ====
+
+@q("export_roundtrip", NUM5, with_clean("SELECT * FROM clean"))
+def export_roundtrip(spark, sf):
+    """The cleaned table exported as CSV (header, no index) and read back
+    with its schema."""
+    from .session import scratch_path
+    from .sources import ingest as IN
+    t = clean_table(spark, sf)
+    path = scratch_path(spark, "export-csv")
+    IN.export(t, path, "csv")
+    return spark.read.schema(t.schema).option("header", True).csv(path)
+
+
+@q("append_results", ["rmse", "mae", "median_ae"], with_clean(
+    "SELECT * FROM m UNION ALL SELECT * FROM m", f"preds AS ({_PRED_ALL}), m AS ({_METRICS_SQL})"))
+def append_results(spark, sf):
+    """A result table appended twice (header-once, rows accumulate)."""
+    from .session import scratch_path
+    from .sources import ingest as IN
+    path = scratch_path(spark, "results")
+    m = _cv_metrics(spark, sf)
+    IN.append_result(m, path)
+    IN.append_result(m, path)
+    return spark.read.parquet(path)
+
+
+# ============================================= diagnostics / linear SHAP ===
+
+def _ols2_sql():
+    return (
+        "st AS (SELECT avg(\"MRP\") AS m1, avg(\"NSU\") AS m2, avg(\"SP\") AS my FROM clean), "
+        "cs AS (SELECT sum((\"MRP\" - m1) * (\"MRP\" - m1)) AS s11, sum((\"NSU\" - m2) * (\"NSU\" - m2)) AS s22, "
+        "sum((\"MRP\" - m1) * (\"NSU\" - m2)) AS s12, sum((\"MRP\" - m1) * (\"SP\" - my)) AS s1y, "
+        "sum((\"NSU\" - m2) * (\"SP\" - my)) AS s2y FROM clean, st), "
+        "co AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, "
+        "(s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM cs), "
+        "fit AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS a, m1, m2 FROM co, st)")
+
+
+@q("ols_residuals", ["MRP", "NSU", "SP", "predicted", "residual"], with_clean(
+    "SELECT \"MRP\", \"NSU\", \"SP\", a + b1 * \"MRP\" + b2 * \"NSU\" AS predicted, "
+    "a + b1 * \"MRP\" + b2 * \"NSU\" - \"SP\" AS residual FROM clean, fit", _ols2_sql()), digits=6)
+def ols_residuals(spark, sf):
+    """G1: residual = predicted - actual of a least-squares fit SP ~ MRP + NSU."""
+    from .plans import diagnose as DG
+    t = clean_table(spark, sf).select("MRP", "NSU", "SP")
+    a, beta, _ = DG.ols(t, ["MRP", "NSU"], "SP")
+    pred = F.lit(a) + F.lit(float(beta[0])) * c("MRP") + F.lit(float(beta[1])) * c("NSU")
+    return DG.residuals(t.withColumn("predicted", pred), "SP", "predicted")
+
+
+_COOK_SQL = (
+    "WITH m AS (SELECT avg(\"MRP\") AS mx, avg(\"SP\") AS my, count(*) AS n, sum(\"MRP\" * \"MRP\") AS sxx0 FROM clean), "
+    "f AS (SELECT sum((\"MRP\" - mx) * (\"SP\" - my)) / sum((\"MRP\" - mx) * (\"MRP\" - mx)) AS b FROM clean, m), "
+    "fit AS (SELECT b, my - b * mx AS a, n, sxx0 FROM f, m), "
+    "r AS (SELECT \"MRP\", \"SP\", a + b * \"MRP\" AS predicted, \"SP\" - (a + b * \"MRP\") AS res, "
+    "\"MRP\" * \"MRP\" / sxx0 AS leverage, n FROM clean, fit), "
+    "s AS (SELECT sum(res * res) / (any_value(n) - 1) AS mse FROM r) "
+    "SELECT \"MRP\", \"SP\", predicted, leverage, res * res * leverage / (1 * mse * (1 - leverage) * (1 - leverage)) AS cooks_d, "
+    "res * res * leverage / (1 * mse * (1 - leverage) * (1 - leverage)) > 4.0 / n AS influential FROM r, s")
+
+
+@q("cooks_distance", ["MRP", "SP", "predicted", "leverage", "cooks_d"], with_clean(
+    "SELECT * FROM (" + _COOK_SQL + ")"), digits=6)
+def cooks_distance(spark, sf):
+    """Leverage, Cook's distance and the 4/n influence flag (SP ~ MRP)."""
+    from .plans import diagnose as DG
+    t = clean_table(spark, sf).select("MRP", "SP")
+    return DG.cooks_distance(t, ["MRP"], "SP").select("MRP", "SP", "predicted", "leverage", "cooks_d", "influential")
+
+
+def _shap_lin(spark, sf):
+    from .plans import diagnose as DG
+    from .plans import explain as EX
+    t = clean_table(spark, sf).select("MRP", "NSU", "SP")
+    a, beta, means = DG.ols(t, ["MRP", "NSU"], "SP")
+    return EX.linear_shap(t, ["MRP", "NSU"], beta, a, means)
+
+
+_SHAP_SQL = ("SELECT \"MRP\", \"NSU\", \"SP\", b1 * (\"MRP\" - m1) AS \"phi_MRP\", b2 * (\"NSU\" - m2) AS \"phi_NSU\", "
+             "a + b1 * m1 + b2 * m2 AS base, a + b1 * \"MRP\" + b2 * \"NSU\" AS predicted FROM clean, fit")
+
+
+@q("linear_shap", ["MRP", "NSU", "SP", "phi_MRP", "phi_NSU", "base", "predicted"],
+   with_clean(_SHAP_SQL, _ols2_sql()), digits=6)
+def linear_shap(spark, sf):
+    """Linear SHAP values β_j (x_j - E x_j) of the least-squares fit."""
+    return _shap_lin(spark, sf)
+
+
+@q("shap_additivity", ["max_abs_dev", "rel_dev"], with_clean(
+    "SELECT max(abs(base + \"phi_MRP\" + \"phi_NSU\" - predicted)) AS max_abs_dev, "
+    "max(abs(base + \"phi_MRP\" + \"phi_NSU\" - predicted)) / greatest(max(abs(predicted)), 1e-12) AS rel_dev, "
+    "max(abs(base + \"phi_MRP\" + \"phi_NSU\" - predicted)) / greatest(max(abs(predicted)), 1e-12) <= 0.01 AS additive "
+    "FROM s", _ols2_sql() + f", s AS ({_SHAP_SQL})"))
+def shap_additivity(spark, sf):
+    """Base + Σφ reproduces the prediction (relative deviation <= 1 %)."""
+    d = _shap_lin(spark, sf).withColumn("phi", F.array("phi_MRP", "phi_NSU"))
+    from .plans import explain as EX
+    return EX.additivity(d, "predicted")
+
+
+@q("shap_importance", ["mean_abs_phi"], with_clean(
+    "SELECT * FROM (SELECT 'MRP' AS feature, avg(abs(\"phi_MRP\")) AS mean_abs_phi FROM s UNION ALL "
+    "SELECT 'NSU', avg(abs(\"phi_NSU\")) FROM s) ORDER BY mean_abs_phi DESC, feature LIMIT 40",
+    _ols2_sql() + f", s AS ({_SHAP_SQL})"))
+def shap_importance(spark, sf):
+    """Features ranked by mean |φ| (top 40)."""
+    from .plans import explain as EX
+    d = _shap_lin(spark, sf)
+    long = d.select(F.explode(F.array(
+        F.struct(F.lit("MRP").alias("feature"), F.col("phi_MRP").alias("phi")),
+        F.struct(F.lit("NSU").alias("feature"), F.col("phi_NSU").alias("phi")))).alias("t")).select("t.*")
+    return EX.importance(long, 40)
+
+
+@q("contiguous_blocks", NUM5, with_clean(
+    "SELECT *, CAST(ntile(3) OVER (ORDER BY " + ", ".join(f'"{x}"' for x in CLEAN_COLS) + ") AS INTEGER) AS block "
+    "FROM (SELECT DISTINCT * FROM clean)"))
+def contiguous_blocks(spark, sf):
+    """Three contiguous, unshuffled blocks over the row order (ntile)."""
+    from .plans import pipeline as PL
+    t = clean_table(spark, sf).dropDuplicates()
+    return PL.contiguous_folds(t, 3, CLEAN_COLS, "block")

@@ -17,28 +17,26 @@ from pyspark.sql import types as T
 DIGITS = 9
 
 
-_SIG = float(10 ** (DIGITS - 1))
-_ABS = float(10 ** DIGITS)
-
-
-def round_col(x):
+def round_col(x, digits: int = DIGITS):
+    sig_scale, abs_scale = float(10 ** (digits - 1)), float(10 ** digits)
     e = F.floor(F.log10(F.abs(x)))
     p = F.pow(F.lit(10.0), e)
-    sig = F.floor(x / p * F.lit(_SIG) + F.lit(0.5)) / F.lit(_SIG) * p
-    small = F.floor(x * F.lit(_ABS) + F.lit(0.5)) / F.lit(_ABS)
+    sig = F.floor(x / p * F.lit(sig_scale) + F.lit(0.5)) / F.lit(sig_scale) * p
+    small = F.floor(x * F.lit(abs_scale) + F.lit(0.5)) / F.lit(abs_scale)
     return (F.when(x.isNull() | F.isnan(x), x)
             .when(F.abs(x) < 1.0, small + F.lit(0.0))
             .otherwise(sig + F.lit(0.0)))
 
 
-def round_doubles(df: DataFrame) -> DataFrame:
+def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     if not dbl:
         return df
-    return df.withColumns({n: round_col(F.col(f"`{n}`").cast("double")) for n in dbl})
+    return df.withColumns({n: round_col(F.col(f"`{n}`").cast("double"), digits) for n in dbl})
 
 
-def round_sql(col: str) -> str:
+def round_sql(col: str, digits: int = DIGITS) -> str:
+    _SIG, _ABS = float(10 ** (digits - 1)), float(10 ** digits)
     q = f'"{col}"'
     p = f"pow(10.0, floor(log10(abs({q}))))"
     return (f"CASE WHEN {q} IS NULL OR isnan({q}) THEN {q} "
@@ -46,10 +44,10 @@ def round_sql(col: str) -> str:
             f"ELSE floor({q} / {p} * {_SIG!r} + 0.5) / {_SIG!r} * {p} + 0.0 END")
 
 
-def wrap_sql(sql: str, doubles) -> str:
+def wrap_sql(sql: str, doubles, digits: int = DIGITS) -> str:
     """``SELECT * REPLACE (round(..) AS col, ...) FROM (sql)``."""
     doubles = list(doubles)
     if not doubles:
         return sql
-    repl = ", ".join(f'{round_sql(d)} AS "{d}"' for d in doubles)
+    repl = ", ".join(f'{round_sql(d, digits)} AS "{d}"' for d in doubles)
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS _q"

@@ -165,14 +165,20 @@ class FeatureSelector(Stage):
     ``Uncorrelated``) choosing ``number`` features (V8).  An empty choice
     keeps every feature (V7)."""
 
-    def __init__(self, features, label: str, method: str = "ANOVA", number: int | None = 10,
-                 drop_correlated: bool = False, scaled: bool = False):
+    def __init__(self, features=None, label: str = "SP", method: str = "ANOVA", number: int | None = 10,
+                 drop_correlated: bool = False, scaled: bool = False, exclude=("row_id", "fold"),
+                 outputCol: str = "features"):
         super().__init__()
-        self.features, self.label, self.method = list(features), label, method
+        self.features = list(features) if features else None
+        self.label, self.method = label, method
         self.number, self.drop_correlated, self.scaled = number, drop_correlated, scaled
+        self.exclude, self.outputCol = set(exclude) | {label}, outputCol
 
     def _fit(self, df):
-        feats = [f for f in self.features if f in df.columns]
+        if self.features:
+            feats = [f for f in self.features if f in df.columns]
+        else:
+            feats = [n for n, t in df.dtypes if t in ("double", "int", "bigint", "float") and n not in self.exclude]
         dropped = correlated_to_drop(df, feats) if self.drop_correlated else []
         feats = [f for f in feats if f not in dropped]
         k = min(self.number or len(feats), len(feats))
@@ -190,13 +196,18 @@ class FeatureSelector(Stage):
         else:
             raise ValueError(self.method)
         chosen = [f for f in feats if f in set(chosen)] if self.method in ("ANOVA", "FeatureImportance_ET") else chosen
-        return FeatureSelectorModel(chosen or feats, dropped)
+        return FeatureSelectorModel(chosen or feats, dropped, self.outputCol)
 
 
 class FeatureSelectorModel(FittedStage):
-    def __init__(self, selected, dropped):
+    """Drops the correlated columns and assembles the selected ones into
+    ``outputCol`` (missing values pass through as NaN)."""
+
+    def __init__(self, selected, dropped, outputCol="features"):
         super().__init__()
-        self.selected, self.dropped = selected, dropped
+        self.selected, self.dropped, self.outputCol = selected, dropped, outputCol
 
     def _transform(self, df):
-        return df.drop(*[d for d in self.dropped if d in df.columns])
+        out = df.drop(*[d for d in self.dropped if d in df.columns])
+        return VectorAssembler(inputCols=list(self.selected), outputCol=self.outputCol,
+                               handleInvalid="keep").transform(out)
