@@ -17,7 +17,7 @@ from .operators import features as FE
 from .operators import profile as PR
 from .plans import baselines as BL
 from .sources.fixture import SALES_SQL, sales_view, with_clean
-from .spec import TEST_SALES
+from .spec import DROP_COLUMNS, TEST_SALES
 
 CONT = ["NSU", "Sales at Cost", "Gross Sales", "MRP"]
 NUM5 = CONT + ["SP"]
@@ -782,3 +782,295 @@ def contiguous_blocks(spark, sf):
     from .plans import pipeline as PL
     t = clean_table(spark, sf).dropDuplicates()
     return PL.contiguous_folds(t, 3, CLEAN_COLS, "block")
+
+
+# ===================================== rows-only: fitted statistics =======
+# (no SQL equivalent: order statistics of transformed values, iterative
+# fits, model training; the driver records a row-count check, and pytest
+# checks them against brute force on small fixtures)
+
+def _training(spark, sf):
+    from .plans import pipeline as PL
+    return PL.prepare_training_table(clean_table(spark, sf), TEST_SALES)
+
+
+@q("normality_test")
+def normality_test(spark, sf):
+    """Anderson-Darling A² and 5 % critical value per continuous column."""
+    t = clean_table(spark, sf)
+    g, non, res = FE.gaussian_split(t, NUM5)
+    rows = [(k, float(v[0]), float(v[1]), k in g) for k, v in res.items()]
+    return spark.createDataFrame(rows, "column string, statistic double, critical double, gaussian boolean")
+
+
+@q("gaussian_transform_choice")
+def gaussian_transform_choice(spark, sf):
+    """the transform chosen per non-gaussian column (and its λ)."""
+    t = clean_table(spark, sf)
+    m = FE.GaussianTransformer(CONT).fit(t)
+    rows = [(k, v, m.lambdas.get(k)) for k, v in m.chosen.items()] or [(None, None, None)]
+    return spark.createDataFrame(rows, "column string, transform string, lambda double")
+
+
+@q("gaussian_transform_apply")
+def gaussian_transform_apply(spark, sf):
+    """F3 applied: the continuous columns after their chosen transform."""
+    t = clean_table(spark, sf)
+    return FE.GaussianTransformer(CONT).fit(t).transform(t)
+
+
+@q("quantile_normal_transform")
+def quantile_normal_transform(spark, sf):
+    """F3f: empirical CDF over a 1000-point quantile grid, then Φ⁻¹."""
+    t = clean_table(spark, sf)
+    return FE.quantile_normal_model(t, CONT).transform(t)
+
+
+@q("combined_scaling")
+def combined_scaling(spark, sf):
+    """F8d: standard scaling on gaussian columns, min-max on the rest."""
+    t = clean_table(spark, sf)
+    return FE.Scaler("combine", columns=SCALE_COLS).fit(t).transform(t)
+
+
+@q("correlated_features")
+def correlated_features(spark, sf):
+    """V1: features dropped as Spearman-correlated (> 0.8) with an earlier one."""
+    from .operators import selection as SE
+    t = clean_table(spark, sf)
+    drop = set(SE.correlated_to_drop(t, FEATS7))
+    return spark.createDataFrame([(f, f in drop) for f in FEATS7], "feature string, dropped boolean")
+
+
+def _score_table(spark, scores, chosen):
+    return spark.createDataFrame([(f, float(v) if v is not None else None, f in chosen) for f, v in scores.items()],
+                                 "feature string, score double, selected boolean")
+
+
+@q("lasso_importance")
+def lasso_importance(spark, sf):
+    """V2: |Lasso coefficient| × feature std, top 3 selected."""
+    from .operators import selection as SE
+    t = clean_table(spark, sf)
+    sc = SE.lasso_scores(t, FEATS7, "SP", alpha=1.0)
+    return _score_table(spark, sc, set(SE._top(sc, 3, FEATS7)))
+
+
+@q("tree_importance")
+def tree_importance(spark, sf):
+    """V3: extra-trees-style forest importances, top 3 selected."""
+    from .operators import selection as SE
+    t = clean_table(spark, sf)
+    sc = SE.tree_importances(t, FEATS7, "SP", trees=20)
+    return _score_table(spark, sc, set(SE._top(sc, 3, FEATS7)))
+
+
+@q("uncorrelated_selection")
+def uncorrelated_selection(spark, sf):
+    """V6 (re-aimed): correlated pairs resolved by mutual information, then
+    recursive boosted-tree importances."""
+    from .operators import selection as SE
+    t = clean_table(spark, sf)
+    keep = SE.uncorrelated_recursive(t, FEATS7, "SP")
+    return spark.createDataFrame([(f, f in keep) for f in FEATS7], "feature string, selected boolean")
+
+
+@q("feature_selection")
+def feature_selection(spark, sf):
+    """V7 + V8: the selector stage (ANOVA, 4 features, correlated drop) and
+    the vector it assembles."""
+    from .operators.selection import FeatureSelector
+    t = clean_table(spark, sf)
+    m = FeatureSelector(FEATS7, "SP", "ANOVA", 4, drop_correlated=True).fit(t)
+    return m.transform(t).select("SP", "features")
+
+
+@q("hash_folds")
+def hash_folds(spark, sf):
+    """Shuffled 5-fold assignment by a seeded hash of the row key."""
+    t = _training(spark, sf)
+    return t.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@q("learning_curve_samples")
+def learning_curve_samples(spark, sf):
+    """Nested training fractions linspace(0.3, 1.0, 10)."""
+    from .plans import pipeline as PL
+    sizes = [0.3 + i * 0.7 / 9 for i in range(10)]
+    d = PL.nested_samples(_training(spark, sf), sizes)
+    return d.agg(*[F.sum(F.col(f"in_{i}").cast("long")).alias(f"n_{i}") for i in range(10)])
+
+
+# ===================================== rows-only: models and evaluation ====
+
+def _default_choice(family):
+    from .plans import models as MD
+    from .plans.pipeline import Choice
+    return Choice(family, dict(MD.DEFAULT_PARAMS[family]), "retained",
+                  "Standard" if family in MD.LINEAR else "no", "ANOVA", False, 30)
+
+
+def _holdout(spark, sf, family):
+    from .plans import pipeline as PL
+    t = _training(spark, sf)
+    tr, te = t.where(F.col("fold") != 0), t.where(F.col("fold") == 0)
+    ch = _default_choice(family)
+    model = PL.refit(tr, ch, TEST_SALES, RARE_TOL)
+    m = PL._metrics(model.transform(te), "SP")
+    return spark.createDataFrame([(family, m["rmse"], m["mae"], m["median_ae"])],
+                                 "model string, rmse double, mae double, median_ae double")
+
+
+def _register_family(tag, family, ident):
+    def fn(spark, sf):
+        return _holdout(spark, sf, family)
+    fn.__doc__ = f"{ident}: {family} pipeline fitted on folds 1-4, scored on fold 0."
+    q(f"holdout_{tag}")(fn)
+
+
+for _tag, _fam, _id in [("huber", "HuberRegressor", "M1"), ("ridge", "Ridge", "M2"), ("lasso", "Lasso", "M3"),
+                        ("elasticnet", "ElasticNet", "M4"), ("linear_svr", "LinearSVR", "M5"),
+                        ("decision_tree", "DecisionTreeRegressor", "M6"),
+                        ("random_forest", "RandomForestRegressor", "M7"),
+                        ("extra_trees", "ExtraTreesRegressor", "M8"), ("adaboost", "AdaBoostRegressor", "M9"),
+                        ("hist_gradient_boosting", "HistGradientBoostingRegressor", "M10"),
+                        ("xgboost_preset", "XGBRegressor", "M11"), ("lightgbm_preset", "LGBMRegressor", "M12"),
+                        ("catboost_preset", "CatBoostRegressor", "M13")]:
+    _register_family(_tag, _fam, _id)
+
+
+@q("inner_cv_trial")
+def inner_cv_trial(spark, sf):
+    """One parameter draw scored by 3-fold CV with every fitted step
+    refitted inside each fold."""
+    from .plans import pipeline as PL
+    t = _training(spark, sf).where(F.col("fold") != 0)
+    res = PL.cross_validate(t, _default_choice("DecisionTreeRegressor"), TEST_SALES, 3, rare_tol=RARE_TOL)
+    return spark.createDataFrame([tuple(float(res[k]) for k in sorted(res))],
+                                 ", ".join(f"{k} double" for k in sorted(res)))
+
+
+def _trial_frame(spark, trials):
+    keys = ["number", "family", "value", "state", "duration", "params"]
+    return spark.createDataFrame([tuple(t.get(k) for k in keys) for t in trials],
+                                 "number int, family string, value double, state string, duration double, params string")
+
+
+@q("hyperparameter_search")
+def hyperparameter_search(spark, sf):
+    """Seeded random search (2 trials, 2 inner folds) minimising CV RMSE."""
+    from .plans import pipeline as PL
+    t = _training(spark, sf).where(F.col("fold") != 0)
+    trials = PL.tune(t, "DecisionTreeRegressor", n_trials=2, spec=TEST_SALES, inner_folds=2, rare_tol=RARE_TOL)
+    return _trial_frame(spark, trials)
+
+
+@q("nested_cv_leaderboard")
+def nested_cv_leaderboard(spark, sf):
+    """T3 + T4 + T5 + A18 + A19: nested CV (2 outer folds, 1 trial, 2 inner
+    folds) for two families; leaderboard of fold averages and the best model
+    per test metric."""
+    from .plans import baselines as BL2
+    from .plans import pipeline as PL
+    t = _training(spark, sf)
+    rows = []
+    for fam in ("DecisionTreeRegressor", "Ridge"):
+        fr, _ = PL.nested_cv(t, fam, 1, TEST_SALES, inner=2, rare_tol=RARE_TOL, folds=[0, 1])
+        rows += fr
+    board = PL.leaderboard(spark, rows)
+    best = BL2.best_per_metric(board, "model", ["avg_test_rmse", "avg_test_mae", "avg_test_median_ae"])
+    return best
+
+
+@q("final_model_scoring")
+def final_model_scoring(spark, sf):
+    """T6 + Q1: tune on all rows (1 trial), refit, save, load the saved
+    pipeline and score every row (prediction rounded to 2 places)."""
+    from .plans import pipeline as PL
+    from .plans import score as SC
+    from .session import scratch_path
+    t = _training(spark, sf)
+    path = scratch_path(spark, "final-model")
+    PL.final_model(t, "DecisionTreeRegressor", 1, TEST_SALES, inner=2, rare_tol=RARE_TOL, path=path)
+    loaded = PL.load_pipeline_model(spark, path)
+    req = t.drop("Gross Sales", "Fdate_quarter")
+    return SC.score(loaded, req).select("row_id", "SP", "predicted_price")
+
+
+@q("learning_curve")
+def learning_curve(spark, sf):
+    """Train / test RMSE for nested training fractions over outer folds."""
+    from .plans import diagnose as DG
+    from .plans import pipeline as PL
+    t = _training(spark, sf)
+    ch = _default_choice("DecisionTreeRegressor")
+    rows = DG.learning_curve(t, lambda tr: PL.refit(tr, ch, TEST_SALES, RARE_TOL), [0.3, 1.0], folds=[0, 1])
+    return spark.createDataFrame(rows, "size double, fold int, train_rmse double, test_rmse double")
+
+
+def _forest_shap(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+    from .plans import explain as EX
+    t = clean_table(spark, sf)
+    d = VectorAssembler(inputCols=FEATS7, outputCol="features").transform(t)
+    model = RandomForestRegressor(labelCol="SP", numTrees=10, maxDepth=6, seed=120).fit(d)
+    scored = model.transform(d)
+    shap = EX.tree_shap(scored, EX.model_trees(spark, model), keep=["SP", "prediction"] + FEATS7)
+    return shap
+
+
+@q("tree_shap")
+def tree_shap(spark, sf):
+    """Path-dependent tree SHAP of a random forest, per row."""
+    s = _forest_shap(spark, sf)
+    return s.select("SP", "prediction", "base", *[s["phi"][i].alias(f"phi_{i}") for i in range(len(FEATS7))])
+
+
+@q("tree_shap_additivity")
+def tree_shap_additivity(spark, sf):
+    """E3 on tree SHAP: base + Σφ equals the forest prediction."""
+    from .plans import explain as EX
+    return EX.additivity(_forest_shap(spark, sf), "prediction")
+
+
+@q("tree_shap_summary")
+def tree_shap_summary(spark, sf):
+    """E5 + E4: (feature, value, φ) points and the mean-|φ| ranking."""
+    from .plans import explain as EX
+    s = _forest_shap(spark, sf).withColumn("_x", F.array(*[c(x).cast("double") for x in FEATS7]))
+    pts = EX.summary_points(s, FEATS7, "_x")
+    return EX.importance(pts, 40)
+
+
+@q("adaboost_stage_shap")
+def adaboost_stage_shap(spark, sf):
+    """AdaBoost stages explained with equal weights 1/n."""
+    from pyspark.ml.feature import VectorAssembler
+    from .plans import explain as EX
+    from .plans.models import AdaBoostR2
+    t = clean_table(spark, sf)
+    d = VectorAssembler(inputCols=FEATS7, outputCol="features").transform(t)
+    ada = AdaBoostR2(0.5, "linear", n_estimators=5, labelCol="SP").fit(d)
+    s = EX.tree_shap(d, EX.stage_average_trees(ada), keep=["SP"])
+    return s.select("SP", "base", *[s["phi"][i].alias(f"phi_{i}") for i in range(len(FEATS7))])
+
+
+@q("stream_scoring")
+def stream_scoring(spark, sf):
+    """Scoring a stream: raw sales batches read with ``readStream``, cleaned,
+    scored per micro-batch with a fitted pipeline."""
+    from .plans import pipeline as PL
+    from .session import scratch_path
+    from .streaming import score_stream as SS
+    raw = sales_view(spark, sf)
+    src = scratch_path(spark, "stream-src")
+    raw.repartition(4).write.parquet(src)
+    t = _training(spark, sf)
+    model = PL.refit(t, _default_choice("DecisionTreeRegressor"), TEST_SALES, RARE_TOL)
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    stream = SS.cleaned_stream(spark, src, raw.schema, TEST_SALES)
+    query = SS.start_scoring(stream.drop(*DROP_COLUMNS),
+                             model, out, ck)
+    query.awaitTermination()
+    return spark.read.parquet(out).select("SP", "predicted_price")

@@ -37,7 +37,7 @@ def moments(oc: DataFrame, keys, value: str = "value") -> DataFrame:
            .agg(F.first("n").alias("n"), F.first("mean").alias("mean"),
                 F.sum(F.col("cnt") * (c(value) - F.col("mean")) ** 2).alias("_ss")))
     return dev.select(*[c(k) for k in keys], "n", "mean",
-                      F.sqrt(F.col("_ss") / (F.col("n") - 1)).alias("std"))
+                      F.when(F.col("n") > 1, F.sqrt(F.col("_ss") / (F.col("n") - 1))).alias("std"))
 
 
 def anderson_from_ordered(oc: DataFrame, keys, value: str = "value") -> DataFrame:
@@ -50,7 +50,7 @@ def anderson_from_ordered(oc: DataFrame, keys, value: str = "value") -> DataFram
     keys = list(keys)
     mom = moments(oc, keys, value)
     j = oc.join(F.broadcast(mom), keys)
-    w = (c(value) - F.col("mean")) / F.col("std")
+    w = F.when(F.col("std") > 0, (c(value) - F.col("mean")) / F.col("std"))
     k = F.col("cnt").cast("double")
     cb = F.col("cum_before").cast("double")
     n = F.col("total").cast("double")
@@ -65,7 +65,10 @@ def anderson_from_ordered(oc: DataFrame, keys, value: str = "value") -> DataFram
 def anderson_darling(long_df: DataFrame, keys=("column",), value: str = "value",
                      weight: str | None = None) -> dict:
     """{key: (statistic, critical_5pct)} for a long ``(keys, value)`` table."""
-    oc = ordered_counts(long_df, keys, value, weight=weight)
+    from ..session import cut_lineage
+    # written once: the three aggregates below read it instead of
+    # recomputing the range-partitioned counts
+    oc = cut_lineage(ordered_counts(long_df, keys, value, weight=weight))
     rows = anderson_from_ordered(oc, keys, value).collect()
     out = {}
     for r in rows:
@@ -138,12 +141,15 @@ def yeo_johnson(x: Column, lam: Column | float) -> Column:
 
 
 def yeo_johnson_lambda(counts: DataFrame, keys=("column",), value: str = "value",
-                       rounds=((-3.0, 3.0, 0.1), (0.1, 0.01), (0.01, 0.001), (0.001, 0.0001))) -> dict:
+                       rounds=((-3.0, 3.0, 0.25), (0.25, 0.025), (0.025, 0.0025), (0.0025, 0.00025))) -> dict:
     """λ maximising the Yeo-Johnson profile log-likelihood
     -n/2 ln var(y_λ) + (λ-1) Σ sign(x) ln(1+|x|), per key.
 
-    Every candidate λ of a round is evaluated in ONE aggregate over the count
-    table (``keys, value, cnt``); later rounds refine around the best λ.
+    Each round evaluates its candidate λ grid in ONE aggregate over the
+    count table (``keys, value, cnt``): the grid is exploded as rows (a
+    generator, not a join), so the expression stays small and the partial
+    aggregate ships one row per (key, λ).  Later rounds refine around the
+    best λ.  Sums are taken about y(x̄) for numerical stability.
     """
     keys = list(keys)
     x = c(value)
@@ -154,43 +160,38 @@ def yeo_johnson_lambda(counts: DataFrame, keys=("column",), value: str = "value"
         (F.sum(cnt * x) / F.sum(cnt)).alias("_xbar"))
     base_rows = {tuple(r[k] for k in keys): r for r in base.collect()}
     centers = {key: 0.0 for key in base_rows}
-    first = True
-    for spec in rounds:
-        if first:
+    for ri, spec in enumerate(rounds):
+        if ri == 0:
             lo, hi, step = spec
             offsets = [lo + i * step for i in range(int(round((hi - lo) / step)) + 1)]
-            first = False
         else:
             half, step = spec
             m = int(round(half / step))
             offsets = [i * step for i in range(-m, m + 1)]
         cen = counts.sparkSession.createDataFrame(
-            [(*key, float(v), float(base_rows[key]["_xbar"])) for key, v in centers.items()],
+            [(*key, float(v) if ri else 0.0, float(base_rows[key]["_xbar"])) for key, v in centers.items()],
             [*keys, "_center", "_xbar"])
-        j = counts.join(F.broadcast(cen), keys)
-        aggs = []
-        for i, off in enumerate(offsets):
-            lam = F.col("_center") + F.lit(off)
-            shift = yeo_johnson(F.col("_xbar"), lam)
-            y = yeo_johnson(x, lam) - shift
-            aggs += [F.sum(cnt * y).alias(f"s{i}"), F.sum(cnt * y * y).alias(f"q{i}"),
-                     F.first(lam).alias(f"l{i}")]
-        res = j.groupBy(*[c(k) for k in keys]).agg(*aggs).collect()
+        lam = F.col("_center") + F.col("_off")
+        y = yeo_johnson(x, lam) - yeo_johnson(F.col("_xbar"), lam)
+        res = (counts.join(F.broadcast(cen), keys)
+               .withColumn("_off", F.explode(F.array(*[F.lit(float(o)) for o in offsets])))
+               .groupBy(*[c(k) for k in keys], "_off")
+               .agg(F.first(lam).alias("lam"), F.sum(cnt * y).alias("s"), F.sum(cnt * y * y).alias("q"))
+               .collect())
+        best = {key: (centers[key], -math.inf) for key in centers}
         for r in res:
             key = tuple(r[k] for k in keys)
-            n = base_rows[key]["_n"]
-            slog = base_rows[key]["_slog"]
-            best, best_llf = centers[key], -math.inf
-            for i in range(len(offsets)):
-                mean = r[f"s{i}"] / n
-                var = r[f"q{i}"] / n - mean * mean
-                if var is None or not var > 0 or not math.isfinite(var):
-                    continue
-                lam = r[f"l{i}"]
-                llf = -n / 2.0 * math.log(var) + (lam - 1) * slog
-                if llf > best_llf:
-                    best, best_llf = lam, llf
-            centers[key] = best
+            n, slog = base_rows[key]["_n"], base_rows[key]["_slog"]
+            if r["s"] is None or r["q"] is None:
+                continue
+            mean = r["s"] / n
+            var = r["q"] / n - mean * mean
+            if not var > 0 or not math.isfinite(var):
+                continue
+            llf = -n / 2.0 * math.log(var) + (r["lam"] - 1) * slog
+            if llf > best[key][1]:
+                best[key] = (r["lam"], llf)
+        centers = {key: v[0] for key, v in best.items()}
     return {k[0] if len(k) == 1 else k: v for k, v in centers.items()}
 
 

@@ -165,7 +165,7 @@ class GaussianTransformer(Stage):
         ).collect()}
         lambdas = yeo_johnson_lambda(counts)
         oc = ordered_counts(counts, ["column"], "value", weight="cnt")
-        grids = {}
+        grids = {}  # (bounded: at most 1000 points per column)
         for r in grid_quantiles(oc, ["column"], self.quantiles).collect():
             grids.setdefault(r["column"], []).append((r["j"], r["q"]))
         grids = {k: [q for _, q in sorted(v)] for k, v in grids.items()}
@@ -190,7 +190,7 @@ class GaussianTransformer(Stage):
         cand = parts[0]
         for p in parts[1:]:
             cand = cand.unionByName(p)
-        cand_oc = ordered_counts(cand, ["column", "transform"], "value", weight="cnt")
+        cand_oc = materialise(ordered_counts(cand, ["column", "transform"], "value", weight="cnt"))
         tests = anderson_from_ordered(cand_oc, ["column", "transform"]).collect()
         base_n = {r["column"]: r["cnt"] for r in counts.groupBy("column").agg(F.sum("cnt").alias("cnt")).collect()}
         passing = {}
@@ -560,3 +560,17 @@ class ScalerModel(FittedStage):
     def _transform(self, df):
         return df.withColumns({col: (c(col) - F.lit(float(a))) / F.lit(float(s))
                                for col, (a, s) in self.scales.items()})
+
+
+def quantile_normal_model(df: DataFrame, cols, quantiles: int = 1000) -> "GaussianTransformerModel":
+    """F3f on its own: every column mapped through its empirical CDF
+    (exact ``linspace(0, 1, K)`` quantile grid, K = min(1000, n)) then Φ⁻¹."""
+    cols = list(cols)
+    counts = long_values(df, cols).where(F.col("value").isNotNull()).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("cnt"))
+    oc = ordered_counts(counts, ["column"], "value", weight="cnt")
+    grids = {}
+    for r in grid_quantiles(oc, ["column"], quantiles).collect():
+        grids.setdefault(r["column"], []).append((r["j"], r["q"]))
+    grids = {k: [q for _, q in sorted(v)] for k, v in grids.items()}
+    return GaussianTransformerModel({k: "quantile" for k in cols}, {}, grids)

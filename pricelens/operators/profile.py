@@ -133,7 +133,7 @@ def skewness(df: DataFrame, cols) -> DataFrame:
     n = F.count("value")
     g1 = F.skewness("value")
     return long.groupBy("column").agg(
-        (g1 * F.sqrt(n * (n - 1)) / (n - 2)).alias("skewness"), n.alias("n"))
+        F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2)).alias("skewness"), n.alias("n"))
 
 
 # -- A12 ---------------------------------------------------------------------
@@ -164,12 +164,14 @@ def kernel_density(df: DataFrame, cols, grid: int = 500, cutoff: float = 10.0) -
     x = F.col("lo") + F.col("point") * F.col("step")
     z = (x - F.col("value")) / F.col("h")
     contrib = F.col("cnt") * F.exp(-0.5 * z * z)
-    dens = ex.groupBy("column", "point").agg(
-        F.sum(contrib).alias("_s"), F.first("n").alias("n"), F.first("h").alias("h"),
-        F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("step").alias("step"))
-    density = F.col("_s") / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
-    return dens.select("column", "point", (F.col("lo") + F.col("point") * F.col("step")).alias("x"),
-                       density.alias("density"), (density * (F.col("hi") - F.col("lo"))).alias("density_scaled"))
+    dens = ex.groupBy("column", "point").agg(F.sum(contrib).alias("_s"))
+    # every grid point appears, also those farther than cutoff·h from all data
+    full = st.where((F.col("step") > 0) & (F.col("h") > 0)).select(
+        "column", "n", "h", "lo", "hi", "step", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    g = full.join(dens, ["column", "point"], "left")
+    density = F.coalesce(F.col("_s"), F.lit(0.0)) / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    return g.select("column", "point", (F.col("lo") + F.col("point") * F.col("step")).alias("x"),
+                    density.alias("density"), (density * (F.col("hi") - F.col("lo"))).alias("density_scaled"))
 
 
 # -- A13 ---------------------------------------------------------------------
@@ -196,7 +198,7 @@ def scatter_bins(df: DataFrame, cols, target: str = "SP", bins: int = 50) -> Dat
 
 # -- A14 / A15 ---------------------------------------------------------------
 
-def with_average_ranks(df: DataFrame, cols) -> tuple[DataFrame, list]:
+def with_average_ranks(df: DataFrame, cols, return_sizes: bool = False):
     """Add ``_rank_<i>`` (average rank, ties share the mean) for each column:
     the rank tables come from one ordered-count pass over all columns, and
     each is joined back on the value (broadcast when its distinct count is
@@ -214,23 +216,28 @@ def with_average_ranks(df: DataFrame, cols) -> tuple[DataFrame, list]:
         out = out.withColumn(f"_v{i}", nan_to_null(c(col).cast("double")))
         out = join_dimension(out, dim, [f"_v{i}"], rows=sizes.get(col, 0)).drop(f"_v{i}")
         names.append(rn)
-    return out, names
+    return (out, names, sizes) if return_sizes else (out, names)
 
 
 def spearman_matrix(df: DataFrame, cols) -> DataFrame:
     """``col_a, col_b, rho`` for every ordered pair (diagonal = 1);
     Pearson correlation of average ranks, all pairs in ONE aggregate."""
     cols = list(cols)
-    ranked, rn = with_average_ranks(df.select(*[c(x) for x in cols]), cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    row = ranked.agg(*[F.corr(rn[i], rn[j]).alias(f"p{i}_{j}") for i, j in pairs]).first()
+    ranked, rn, sizes = with_average_ranks(df.select(*[c(x) for x in cols]), cols, return_sizes=True)
+    # a column with one distinct value has constant ranks: no correlation
+    # (``corr`` would divide by zero under ANSI mode)
+    live = {i for i, x in enumerate(cols) if sizes.get(x, 0) > 1}
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols)) if i in live and j in live]
+    row = ranked.agg(F.count(F.lit(1)).alias("_n"), *[F.corr(rn[i], rn[j]).alias(f"p{i}_{j}") for i, j in pairs]).first()
     out = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             if i == j:
                 v = 1.0
-            else:
+            elif i in live and j in live:
                 v = row[f"p{min(i, j)}_{max(i, j)}"]
+            else:
+                v = None
             out.append((a, b, v))
     return df.sparkSession.createDataFrame(out, "col_a string, col_b string, rho double")
 

@@ -25,12 +25,17 @@ def f_regression(df: DataFrame, features, label: str) -> DataFrame:
     """V5: ``feature, r, f_score`` with F = r²/(1-r²)·(n-2), one aggregate."""
     features = list(features)
     y = nan_to_null(c(label))
+    # Constant columns have no correlation (and ``corr`` divides by zero
+    # under ANSI mode): a first, cheap pass finds them.
+    sd = df.agg(*[F.stddev_pop(nan_to_null(c(f).cast("double"))).alias(f"s{i}") for i, f in enumerate(features)],
+                F.stddev_pop(y).alias("sy")).first()
+    live = [i for i in range(len(features)) if sd[f"s{i}"] and sd["sy"]]
     row = df.agg(F.count(F.lit(1)).alias("n"),
-                 *[F.corr(nan_to_null(c(f).cast("double")), y).alias(f"r{i}") for i, f in enumerate(features)]).first()
+                 *[F.corr(nan_to_null(c(features[i]).cast("double")), y).alias(f"r{i}") for i in live]).first()
     n = row["n"]
     out = []
     for i, f in enumerate(features):
-        r = row[f"r{i}"]
+        r = row[f"r{i}"] if i in live else None
         fs = None if r is None else (r * r / (1 - r * r) * (n - 2) if abs(r) < 1 else math.inf)
         out.append((f, r, fs))
     return df.sparkSession.createDataFrame(out, "feature string, r double, f_score double")

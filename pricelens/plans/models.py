@@ -167,7 +167,7 @@ class AdaBoostR2(Estimator):
             dt = DecisionTreeRegressor(featuresCol=self.featuresCol, labelCol="_y", weightCol="_w",
                                        maxDepth=self.max_depth, seed=self.seed + k)
             m = dt.fit(data)
-            scored = m.setPredictionCol("_p").transform(data).withColumn("_e", F.abs(F.col("_p") - F.col("_y")))
+            scored = m.copy().setPredictionCol("_p").transform(data).withColumn("_e", F.abs(F.col("_p") - F.col("_y")))
             emax = scored.agg(F.max("_e")).first()[0] or 0.0
             if emax <= 0:
                 trees.append(m)
@@ -242,3 +242,22 @@ class AdaBoostR2Model(Model):
             meta = json.load(fh)
         trees = [DecisionTreeRegressionModel.load(os.path.join(path, f"tree{i}")) for i in range(len(meta["weights"]))]
         return cls(trees, meta["weights"], meta["featuresCol"])
+
+
+# Mid-range draws used when a family is fitted without a search.
+DEFAULT_PARAMS = {
+    "HuberRegressor": {"epsilon": 1.35, "alpha": 1e-4},
+    "Ridge": {"alpha": 1.0},
+    "Lasso": {"alpha": 1.0},
+    "ElasticNet": {"alpha": 1.0, "l1_ratio": 0.5},
+    "LinearSVR": {"C": 0.1},
+    "DecisionTreeRegressor": {"ccp_alpha": 60.0},
+    "RandomForestRegressor": {"ccp_alpha": 60.0},
+    "ExtraTreesRegressor": {"ccp_alpha": 60.0},
+    "AdaBoostRegressor": {"learning_rate": 0.1, "loss": "linear"},
+    "HistGradientBoostingRegressor": {"learning_rate": 0.1, "max_depth": 6, "min_samples_leaf": 20},
+    "XGBRegressor": {"eta": 0.3, "gamma": 1.0, "max_depth": 6, "subsample": 0.8, "colsample_bytree": 0.8},
+    "LGBMRegressor": {"learning_rate": 0.1, "max_depth": 6, "min_child_samples": 20, "subsample": 0.8,
+                      "min_split_gain": 1.0},
+    "CatBoostRegressor": {"depth": 6, "learning_rate": 0.1},
+}
