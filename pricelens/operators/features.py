@@ -95,7 +95,7 @@ def _apply_simple(name: str, x, lam=None):
     if name == "logarithmic":
         return F.log(x)
     if name == "reciprocal":
-        return F.lit(1.0) / x
+        return F.when(x != 0, F.lit(1.0) / x)
     if name == "square-root":
         return F.sqrt(x)
     if name == "square":
@@ -154,49 +154,51 @@ class GaussianTransformer(Stage):
         self.columns, self.alphabetical, self.quantiles = list(columns), alphabetical, quantiles
 
     def _fit(self, df):
-        gauss, non, _ = gaussian_split(df, self.columns)
+        # One count table (distinct values per column) feeds everything: the
+        # normality test of the raw columns, the λ search, the quantile grid
+        # and the candidate tests.  It and its ordered form are written once.
+        counts = materialise(long_values(df, self.columns).where(F.col("value").isNotNull())
+                             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
+        info = {r["column"]: r for r in counts.groupBy("column").agg(
+            F.min("value").alias("mn"), F.sum("cnt").alias("n"),
+            F.sum(F.when(F.col("value") == 0, F.col("cnt")).otherwise(0)).alias("zeros")).collect()}
+        oc = materialise(ordered_counts(counts, ["column"], "value", weight="cnt"))
+        raw = {r["column"]: r for r in anderson_from_ordered(oc, ["column"]).collect()}
+        non = [col for col in self.columns if col in raw
+               and not is_gaussian(raw[col]["statistic"], raw[col]["critical"])]
         if not non:
             return GaussianTransformerModel({}, {}, {})
-        counts = long_values(df, non).where(F.col("value").isNotNull()).groupBy("column", "value").agg(
-            F.count(F.lit(1)).alias("cnt"))
-        counts = materialise(counts)
-        guards = {r["column"]: r for r in counts.groupBy("column").agg(
-            F.min("value").alias("mn"), F.sum(F.when(F.col("value") == 0, F.col("cnt")).otherwise(0)).alias("zeros")
-        ).collect()}
-        lambdas = yeo_johnson_lambda(counts)
-        oc = ordered_counts(counts, ["column"], "value", weight="cnt")
+        in_non = F.col("column").isin(non)
+        lambdas = yeo_johnson_lambda(counts.where(in_non))
         grids = {}  # (bounded: at most 1000 points per column)
-        for r in grid_quantiles(oc, ["column"], self.quantiles).collect():
+        for r in grid_quantiles(oc.where(in_non), ["column"], self.quantiles).collect():
             grids.setdefault(r["column"], []).append((r["j"], r["q"]))
         grids = {k: [q for _, q in sorted(v)] for k, v in grids.items()}
         ecdf = _quantile_udf(grids)
 
-        parts = []
+        # Every candidate of every column in ONE projection: a transform that
+        # is undefined somewhere yields NULL there and is rejected below
+        # (the reference's transformers refuse such columns).
         x = F.col("value")
-        for col in non:
-            g = guards[col]
-            for name in TRANSFORMS:
-                if name == "logarithmic" and not g["mn"] > 0:
-                    continue  # the log transform refuses non-positive values
-                if name == "reciprocal" and g["zeros"] > 0:
-                    continue  # division by zero is refused
-                sub = counts.where(F.col("column") == col)
-                if name == "quantile":
-                    tv = quantile_normal(ecdf(F.col("column"), x))
-                else:
-                    tv = _apply_simple(name, x, lambdas.get(col))
-                parts.append(sub.select(F.lit(col).alias("column"), F.lit(name).alias("transform"),
-                                        nan_to_null(tv).alias("value"), "cnt"))
-        cand = parts[0]
-        for p in parts[1:]:
-            cand = cand.unionByName(p)
+        lam = F.create_map(*[e for k, v in lambdas.items() for e in (F.lit(k), F.lit(float(v)))])[F.col("column")]
+        cands = {
+            "logarithmic": F.when(x > 0, F.log(x)),
+            "reciprocal": F.when(x != 0, F.lit(1.0) / x),
+            "square-root": F.when(x >= 0, F.sqrt(x)),
+            "yeo-johnson": yeo_johnson(x, lam),
+            "square": x * x,
+            "quantile": quantile_normal(ecdf(F.col("column"), x)),
+        }
+        arr = F.array(*[F.struct(F.lit(name).alias("transform"), nan_to_null(e).alias("tv"))
+                        for name, e in cands.items()])
+        cand = (counts.where(in_non).select("column", "cnt", F.explode(arr).alias("_t"))
+                .select("column", F.col("_t.transform").alias("transform"), F.col("_t.tv").alias("value"), "cnt"))
         cand_oc = materialise(ordered_counts(cand, ["column", "transform"], "value", weight="cnt"))
         tests = anderson_from_ordered(cand_oc, ["column", "transform"]).collect()
-        base_n = {r["column"]: r["cnt"] for r in counts.groupBy("column").agg(F.sum("cnt").alias("cnt")).collect()}
         passing = {}
         for r in tests:
-            if r["n"] != base_n[r["column"]]:
-                continue  # undefined for some rows (e.g. square root of a negative)
+            if r["n"] != info[r["column"]]["n"]:
+                continue  # undefined for some rows (log of 0, 1/0, square root of a negative)
             if r["statistic"] is not None and not math.isnan(r["statistic"]) and r["statistic"] < r["critical"]:
                 passing.setdefault(r["column"], []).append((r["transform"], r["statistic"]))
         chosen = {}
@@ -296,23 +298,32 @@ class GroupStatFeatures(Stage):
         self.continuous, self.groups, self.nunique = list(continuous), list(groups), list(nunique)
 
     def _fit(self, df):
-        tables, sizes = [], []
-        for key, suffix in self.groups:
-            tables.append((key, group_stats(df, key, self.continuous, suffix)))
+        # All groupings in ONE pass: rows are unpivoted to
+        # (grouping, group value, column, value); means / stds are one
+        # aggregate and the medians one ordered-count pass over that table.
+        groups = [k for k, _ in self.groups]
+        items = [F.struct(F.lit(k).alias("grp"), c(k).cast("string").alias("gval"), F.lit(col).alias("column"),
+                          nan_to_null(c(col).cast("double")).alias("value"))
+                 for k in groups for col in self.continuous]
+        long = (df.select(F.explode(F.array(*items)).alias("t")).select("t.*")
+                .where(F.col("gval").isNotNull()))
+        keys = ["grp", "gval", "column"]
+        ms = long.groupBy(*keys).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+        med = exact_quantiles(long, keys, "value", [0.5]).select(*keys, F.col("q").alias("median"))
+        stats = ms.join(med, keys, "left")
+        extra = []
         for key, col, name in self.nunique:
-            tables.append((key, df.where(c(key).isNotNull()).groupBy(c(key))
-                           .agg(F.countDistinct(c(col)).alias(name))))
-        # One table per grouping key: fuse statistics that share the key.
-        fused = {}
-        for key, t in tables:
-            fused[key] = t if key not in fused else fused[key].join(t, [key], "full")
-        frames, keys = [], []
-        for key, t in fused.items():
-            m = materialise(t)
-            frames.append(m)
-            keys.append(key)
-            sizes.append(m.count())
-        return GroupStatModel(keys, sizes, frames)
+            extra.append(df.where(c(key).isNotNull()).groupBy(c(key).cast("string").alias("gval"))
+                         .agg(F.countDistinct(c(col)).cast("double").alias("mean"))
+                         .select(F.lit(key).alias("grp"), "gval", F.lit(name).alias("column"), "mean",
+                                 F.lit(None).cast("double").alias("std"), F.lit(None).cast("double").alias("median")))
+        for e in extra:
+            stats = stats.unionByName(e)
+        stats = materialise(stats)
+        sizes = {r["grp"]: r["n"] for r in stats.groupBy("grp").agg(F.countDistinct("gval").alias("n")).collect()}
+        suffix = dict(self.groups)
+        return GroupStatModel(groups, [sizes.get(k, 0) for k in groups], stats, self.continuous, suffix,
+                              [(k, n) for k, _, n in self.nunique])
 
 
 def group_stats(df: DataFrame, key: str, cols, suffix: str) -> DataFrame:
@@ -330,18 +341,34 @@ def group_stats(df: DataFrame, key: str, cols, suffix: str) -> DataFrame:
 
 
 class GroupStatModel(FittedStage):
-    _frames = ("frame0", "frame1", "frame2", "frame3")
+    """Holds the long statistics table (grouping, group value, column, mean,
+    std, median); each grouping is pivoted to ``<col>_<stat>_<suffix>``
+    columns and left-joined on its key."""
 
-    def __init__(self, keys, sizes, frames):
+    _frames = ("stats",)
+
+    def __init__(self, keys, sizes, stats, continuous, suffix, nunique):
         super().__init__()
-        self.keys, self.sizes = keys, sizes
-        for i in range(4):
-            setattr(self, f"frame{i}", frames[i] if i < len(frames) else None)
+        self.keys, self.sizes, self.stats = keys, sizes, stats
+        self.continuous, self.suffix, self.nunique = continuous, suffix, nunique
+
+    def _dimension(self, key):
+        sub = self.stats.where(F.col("grp") == key)
+        aggs = []
+        for col in self.continuous:
+            for st in GROUP_STATS:
+                aggs.append(F.max(F.when(F.col("column") == col, F.col(st))).alias(f"{col}_{st}_{self.suffix[key]}"))
+        for k, name in self.nunique:
+            if k == key:
+                aggs.append(F.max(F.when(F.col("column") == name, F.col("mean"))).cast("long").alias(name))
+        return sub.groupBy(F.col("gval").alias(key)).agg(*aggs)
 
     def _transform(self, df):
         out = df
-        for i, key in enumerate(self.keys):
-            out = join_dimension(out, getattr(self, f"frame{i}"), [key], rows=self.sizes[i])
+        for key, rows in zip(self.keys, self.sizes):
+            dim = self._dimension(key)
+            out = join_dimension(out.withColumn("_gk", c(key).cast("string")),
+                                 dim.withColumnRenamed(key, "_gk"), ["_gk"], rows=rows).drop("_gk")
         return out
 
 
@@ -381,35 +408,38 @@ class TargetEncoder(Stage):
 
     def _fit(self, df):
         y = nan_to_null(c(self.label))
-        prior = df.agg(F.avg(y).alias("m")).first()["m"]
+        # job 1: prior and NULL counts per column
+        head = df.agg(F.avg(y).alias("m"), *[F.sum(F.when(c(col).isNull(), 1).otherwise(0)).alias(f"z{i}")
+                                              for i, col in enumerate(self.columns)]).first()
+        prior = head["m"]
         pairs = [F.struct(F.lit(col).alias("column"), c(col).cast("string").alias("category")) for col in self.columns]
         stats = (df.select(y.alias("_y"), F.explode(F.array(*pairs)).alias("kv"))
                  .select("kv.column", "kv.category", "_y")
                  .where(F.col("category").isNotNull())
                  .groupBy("column", "category")
                  .agg(F.sum("_y").alias("sum_y"), F.count("_y").alias("n")))
+        # job 2: the per-category table, written once
         stats = materialise(stats.withColumn(
             "enc", (F.col("sum_y") + F.lit(self.a * prior)) / (F.col("n") + F.lit(self.a))))
-        size = stats.count()
+        # job 3: table size and the encoded variance per column (n_k rows
+        # share the value e_k; NULL categories are encoded with the prior)
+        v = (stats.groupBy("column").agg(
+            F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"), F.sum(F.col("n") * F.col("enc")).alias("s1"),
+            F.sum(F.col("n") * F.col("enc") * F.col("enc")).alias("s2")).collect())
+        size = sum(r["k"] for r in v)
         drop = []
         if self.drop_invariant:
-            # Variance of the encoded column over the fitting rows, from the
-            # per-category table (n_k rows share value e_k).
-            v = (stats.groupBy("column").agg(
-                F.sum("n").alias("N"), F.sum(F.col("n") * F.col("enc")).alias("s1"),
-                F.sum(F.col("n") * F.col("enc") * F.col("enc")).alias("s2")).collect())
-            nulls = df.agg(*[F.sum(F.when(c(col).isNull(), 1).otherwise(0)).alias(f"z{i}")
-                             for i, col in enumerate(self.columns)]).first()
+            seen = set()
             for r in v:
-                i = self.columns.index(r["column"])
-                z = nulls[f"z{i}"] or 0
+                seen.add(r["column"])
+                z = head[f"z{self.columns.index(r['column'])}"] or 0
                 n = r["N"] + z
                 s1 = r["s1"] + z * prior
                 s2 = r["s2"] + z * prior * prior
                 var = (s2 - s1 * s1 / n) / (n - 1) if n > 1 else 0.0
                 if var <= 10e-5:
                     drop.append(r["column"])
-            drop += [col for col in self.columns if col not in {r["column"] for r in v}]
+            drop += [col for col in self.columns if col not in seen]
         return TargetEncoderModel(self.columns, prior, drop, size, stats)
 
 
