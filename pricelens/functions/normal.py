@@ -92,3 +92,45 @@ def ndtri(p: Column) -> Column:
     far = poly(_FAR_NUM, r - F.lit(5.0)) / poly(_FAR_DEN, r - F.lit(5.0))
     tail = F.when(r <= 5.0, mid).otherwise(far)
     return F.when(F.abs(q) <= 0.425, central).otherwise(F.when(q < 0, -tail).otherwise(tail))
+
+
+# -- staged forms -----------------------------------------------------------
+# Horner evaluation repeats its argument once per coefficient; when the
+# argument is itself a large expression, the inlined tree grows until the
+# generated Java no longer compiles.  The staged forms below put every
+# intermediate in its own projected column (projections that reference a
+# non-trivial alias several times are not collapsed by the optimizer), so
+# each polynomial is evaluated on a plain column reference.
+
+def with_log_ndtr_pair(df, z: Column, lower: str, upper: str, tmp: str = "_nd"):
+    """Add ``lower`` = ln Φ(z) and ``upper`` = ln(1 - Φ(z))."""
+    az, t, le, zz = f"{tmp}_u", f"{tmp}_t", f"{tmp}_le", f"{tmp}_z"
+    out = df.withColumn(zz, z)
+    out = out.withColumn(az, F.abs(F.col(zz)) * F.lit(_SQRT1_2))
+    out = out.withColumn(t, F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * F.col(az)))
+    out = out.withColumn(le, F.log(F.col(t)) - F.col(az) * F.col(az) + _horner(_ERFC_COEF, F.col(t)))
+    small = F.lit(math.log(0.5)) + F.col(le)                   # ln Φ(-|z|)
+    big = F.log1p(F.lit(-0.5) * F.exp(F.col(le)))              # ln Φ(|z|)
+    out = out.withColumn(lower, F.when(F.col(zz) < 0, small).otherwise(big))
+    out = out.withColumn(upper, F.when(F.col(zz) > 0, small).otherwise(big))
+    return out.drop(az, t, le, zz)
+
+
+def with_ndtri(df, p: Column, out_name: str, tmp: str = "_ni"):
+    """Add ``out_name`` = Φ⁻¹(p) (AS241) with staged intermediates."""
+    pp, q, rc, r = f"{tmp}_p", f"{tmp}_q", f"{tmp}_rc", f"{tmp}_r"
+
+    def poly(coefs_high_first, x):
+        return _horner(list(reversed(coefs_high_first)), x)
+
+    out = df.withColumn(pp, p).withColumn(q, F.col(pp) - F.lit(0.5))
+    out = out.withColumn(rc, F.lit(0.180625) - F.col(q) * F.col(q))
+    out = out.withColumn(r, F.sqrt(-F.log(F.when(F.col(q) <= 0, F.col(pp)).otherwise(F.lit(1.0) - F.col(pp)))))
+    central = F.col(q) * poly(_CENTRAL_NUM, F.col(rc)) / poly(_CENTRAL_DEN, F.col(rc))
+    rm, rf = F.col(r) - F.lit(1.6), F.col(r) - F.lit(5.0)
+    out = out.withColumn(f"{tmp}_m", rm).withColumn(f"{tmp}_f", rf)
+    mid = poly(_MID_NUM, F.col(f"{tmp}_m")) / poly(_MID_DEN, F.col(f"{tmp}_m"))
+    far = poly(_FAR_NUM, F.col(f"{tmp}_f")) / poly(_FAR_DEN, F.col(f"{tmp}_f"))
+    tail = F.when(F.col(r) <= 5.0, mid).otherwise(far)
+    res = F.when(F.abs(F.col(q)) <= 0.425, central).otherwise(F.when(F.col(q) < 0, -tail).otherwise(tail))
+    return out.withColumn(out_name, res).drop(pp, q, rc, r, f"{tmp}_m", f"{tmp}_f")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import c
-from .normal import log_ndtr, log_ndtr_upper
+from .normal import with_log_ndtr_pair
 from .ordered import ordered_counts
 
 # Anderson-Darling critical values for the normal case with
@@ -51,10 +51,11 @@ def anderson_from_ordered(oc: DataFrame, keys, value: str = "value") -> DataFram
     mom = moments(oc, keys, value)
     j = oc.join(F.broadcast(mom), keys)
     w = F.when(F.col("std") > 0, (c(value) - F.col("mean")) / F.col("std"))
+    j = with_log_ndtr_pair(j, w, "_lphi", "_lphic")
     k = F.col("cnt").cast("double")
     cb = F.col("cum_before").cast("double")
     n = F.col("total").cast("double")
-    term = log_ndtr(w) * k * (2 * cb + k) + log_ndtr_upper(w) * k * (2 * n - 2 * cb - k)
+    term = F.col("_lphi") * k * (2 * cb + k) + F.col("_lphic") * k * (2 * n - 2 * cb - k)
     agg = j.groupBy(*[c(k_) for k_ in keys]).agg(F.first("total").alias("n"), F.sum(term).alias("_s"))
     nn = F.col("n").cast("double")
     crit = F.lit(AD_NORMAL_CRITICAL[AD_LEVEL_INDEX]) / (1 + 4 / nn - 25 / (nn * nn))
@@ -171,12 +172,14 @@ def yeo_johnson_lambda(counts: DataFrame, keys=("column",), value: str = "value"
         cen = counts.sparkSession.createDataFrame(
             [(*key, float(v) if ri else 0.0, float(base_rows[key]["_xbar"])) for key, v in centers.items()],
             [*keys, "_center", "_xbar"])
-        lam = F.col("_center") + F.col("_off")
-        y = yeo_johnson(x, lam) - yeo_johnson(F.col("_xbar"), lam)
+        lam = F.col("_lam")
         res = (counts.join(F.broadcast(cen), keys)
                .withColumn("_off", F.explode(F.array(*[F.lit(float(o)) for o in offsets])))
+               .withColumn("_lam", F.col("_center") + F.col("_off"))
+               .withColumn("_y", yeo_johnson(x, lam) - yeo_johnson(F.col("_xbar"), lam))
                .groupBy(*[c(k) for k in keys], "_off")
-               .agg(F.first(lam).alias("lam"), F.sum(cnt * y).alias("s"), F.sum(cnt * y * y).alias("q"))
+               .agg(F.first(lam).alias("lam"), F.sum(cnt * F.col("_y")).alias("s"),
+                    F.sum(cnt * F.col("_y") * F.col("_y")).alias("q"))
                .collect())
         best = {key: (centers[key], -math.inf) for key in centers}
         for r in res:

@@ -26,6 +26,10 @@ from ..session import cut_lineage
 # shuffle join.  The row count is taken from the checkpointed table, so the
 # check costs one metadata-sized job.
 BROADCAST_ROW_LIMIT = 200_000
+# Fitted lookup tables up to this many entries are kept as literal maps in
+# the model (no join, no broadcast job at transform time); the count is
+# known from the fit, so the bound is checked, not assumed.
+LITERAL_MAP_LIMIT = 512
 
 
 class Stage(Estimator):
@@ -102,3 +106,12 @@ def join_dimension(df: DataFrame, dim: DataFrame, keys, how: str = "left", rows:
         rows = dim.count()
     side = F.broadcast(dim) if rows <= BROADCAST_ROW_LIMIT else dim
     return df.join(side, list(keys), how)
+
+
+def literal_lookup(mapping: dict, key_col, default=None):
+    """``mapping[key]`` as a native expression over a literal map."""
+    if not mapping:
+        return F.lit(default) if default is not None else F.lit(None).cast("double")
+    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
+    val = m[key_col]
+    return F.coalesce(val, F.lit(default)) if default is not None else val

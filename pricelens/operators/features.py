@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import c, nan_to_null
-from ..functions.normal import ndtri
+from ..functions.normal import with_ndtri
 from ..functions.ordered import exact_quantiles, long_values, ordered_counts
 from ..functions.stats import (BOUNDS_THRESHOLD, NORMAL_CLIP, anderson_darling,
                                anderson_from_ordered, grid_quantiles, is_gaussian,
                                yeo_johnson, yeo_johnson_lambda)
-from .base import FittedStage, Stage, join_dimension, materialise
+from .base import LITERAL_MAP_LIMIT, FittedStage, Stage, join_dimension, literal_lookup, materialise
 
 
 # ---------------------------------------------------------------- F1 ------
@@ -131,11 +131,16 @@ def _quantile_udf(grids: dict):
     return ecdf
 
 
-def quantile_normal(ecdf_value):
-    """Φ⁻¹ of the empirical CDF, clipped like the reference's transform."""
-    p = ecdf_value
-    z = F.when(p <= 0, F.lit(NORMAL_CLIP)).when(p >= 1, F.lit(-NORMAL_CLIP)).otherwise(ndtri(p))
-    return F.least(F.greatest(z, F.lit(NORMAL_CLIP)), F.lit(-NORMAL_CLIP))
+def with_quantile_normal(df: DataFrame, ecdf_value, out: str, tmp: str = "_qn") -> DataFrame:
+    """Φ⁻¹ of the empirical CDF, clipped like the reference's transform
+    (staged columns, see ``functions.normal``)."""
+    d = df.withColumn(f"{tmp}_p", ecdf_value)
+    p = F.col(f"{tmp}_p")
+    safe = F.when((p > 0) & (p < 1), p).otherwise(F.lit(0.5))
+    d = with_ndtri(d, safe, f"{tmp}_z")
+    z = F.when(p <= 0, F.lit(NORMAL_CLIP)).when(p >= 1, F.lit(-NORMAL_CLIP)).otherwise(F.col(f"{tmp}_z"))
+    return d.withColumn(out, F.least(F.greatest(z, F.lit(NORMAL_CLIP)), F.lit(-NORMAL_CLIP))).drop(
+        f"{tmp}_p", f"{tmp}_z")
 
 
 class GaussianTransformer(Stage):
@@ -181,17 +186,19 @@ class GaussianTransformer(Stage):
         # (the reference's transformers refuse such columns).
         x = F.col("value")
         lam = F.create_map(*[e for k, v in lambdas.items() for e in (F.lit(k), F.lit(float(v)))])[F.col("column")]
+        staged = counts.where(in_non).withColumn("_lam", lam)
+        staged = with_quantile_normal(staged, ecdf(F.col("column"), x), "_tq")
         cands = {
             "logarithmic": F.when(x > 0, F.log(x)),
             "reciprocal": F.when(x != 0, F.lit(1.0) / x),
             "square-root": F.when(x >= 0, F.sqrt(x)),
-            "yeo-johnson": yeo_johnson(x, lam),
+            "yeo-johnson": yeo_johnson(x, F.col("_lam")),
             "square": x * x,
-            "quantile": quantile_normal(ecdf(F.col("column"), x)),
+            "quantile": F.col("_tq"),
         }
         arr = F.array(*[F.struct(F.lit(name).alias("transform"), nan_to_null(e).alias("tv"))
                         for name, e in cands.items()])
-        cand = (counts.where(in_non).select("column", "cnt", F.explode(arr).alias("_t"))
+        cand = (staged.select("column", "cnt", F.explode(arr).alias("_t"))
                 .select("column", F.col("_t.transform").alias("transform"), F.col("_t.tv").alias("value"), "cnt"))
         cand_oc = materialise(ordered_counts(cand, ["column", "transform"], "value", weight="cnt"))
         tests = anderson_from_ordered(cand_oc, ["column", "transform"]).collect()
@@ -225,15 +232,16 @@ class GaussianTransformerModel(FittedStage):
                                  .otherwise(0)).alias(f"g{i}") for i, k in enumerate(guarded)]).first()
             skip = {k for i, k in enumerate(guarded) if (row[f"g{i}"] or 0) > 0}
         out = {}
+        res = df
         ecdf = _quantile_udf(self.grids) if self.grids else None
-        for col, name in self.chosen.items():
+        for i, (col, name) in enumerate(self.chosen.items()):
             if col in skip:
                 continue
             if name == "quantile":
-                out[col] = quantile_normal(ecdf(F.lit(col), c(col).cast("double")))
+                res = with_quantile_normal(res, ecdf(F.lit(col), c(col).cast("double")), col, f"_qn{i}")
             else:
                 out[col] = _apply_simple(name, c(col), self.lambdas.get(col))
-        return df.withColumns(out) if out else df
+        return res.withColumns(out) if out else res
 
 
 # ---------------------------------------------------------------- F4 ------
@@ -322,8 +330,15 @@ class GroupStatFeatures(Stage):
         stats = materialise(stats)
         sizes = {r["grp"]: r["n"] for r in stats.groupBy("grp").agg(F.countDistinct("gval").alias("n")).collect()}
         suffix = dict(self.groups)
+        maps = None
+        if sum(sizes.values()) <= LITERAL_MAP_LIMIT:
+            maps = {}
+            for r in stats.collect():
+                for st in GROUP_STATS:
+                    if r[st] is not None:
+                        maps.setdefault(f"{r['grp']}\u0001{r['column']}\u0001{st}", {})[r["gval"]] = float(r[st])
         return GroupStatModel(groups, [sizes.get(k, 0) for k in groups], stats, self.continuous, suffix,
-                              [(k, n) for k, _, n in self.nunique])
+                              [(k, n) for k, _, n in self.nunique], maps)
 
 
 def group_stats(df: DataFrame, key: str, cols, suffix: str) -> DataFrame:
@@ -347,10 +362,11 @@ class GroupStatModel(FittedStage):
 
     _frames = ("stats",)
 
-    def __init__(self, keys, sizes, stats, continuous, suffix, nunique):
+    def __init__(self, keys, sizes, stats, continuous, suffix, nunique, maps=None):
         super().__init__()
         self.keys, self.sizes, self.stats = keys, sizes, stats
         self.continuous, self.suffix, self.nunique = continuous, suffix, nunique
+        self.maps = maps
 
     def _dimension(self, key):
         sub = self.stats.where(F.col("grp") == key)
@@ -364,6 +380,18 @@ class GroupStatModel(FittedStage):
         return sub.groupBy(F.col("gval").alias(key)).agg(*aggs)
 
     def _transform(self, df):
+        if self.maps is not None:
+            new = {}
+            for key in self.keys:
+                kc = c(key).cast("string")
+                for col in self.continuous:
+                    for st in GROUP_STATS:
+                        new[f"{col}_{st}_{self.suffix[key]}"] = literal_lookup(
+                            self.maps.get(f"{key}\u0001{col}\u0001{st}", {}), kc)
+                for k, name in self.nunique:
+                    if k == key:
+                        new[name] = literal_lookup(self.maps.get(f"{key}\u0001{name}\u0001mean", {}), kc).cast("long")
+            return df.withColumns(new)
         out = df
         for key, rows in zip(self.keys, self.sizes):
             dim = self._dimension(key)
@@ -440,17 +468,27 @@ class TargetEncoder(Stage):
                 if var <= 10e-5:
                     drop.append(r["column"])
             drop += [col for col in self.columns if col not in seen]
-        return TargetEncoderModel(self.columns, prior, drop, size, stats)
+        maps = None
+        if size <= LITERAL_MAP_LIMIT:
+            maps = {col: {} for col in self.columns}
+            for r in stats.select("column", "category", "enc").collect():
+                maps[r["column"]][r["category"]] = float(r["enc"])
+        return TargetEncoderModel(self.columns, prior, drop, size, stats, maps)
 
 
 class TargetEncoderModel(FittedStage):
     _frames = ("stats",)
 
-    def __init__(self, columns, prior, drop, size, stats):
+    def __init__(self, columns, prior, drop, size, stats, maps=None):
         super().__init__()
         self.columns, self.prior, self.drop, self.size, self.stats = columns, prior, drop, size, stats
+        self.maps = maps
 
     def _transform(self, df):
+        if self.maps is not None:
+            enc = {col: literal_lookup(self.maps.get(col, {}), c(col).cast("string"), float(self.prior))
+                   for col in self.columns if col not in self.drop}
+            return df.withColumns(enc).drop(*[d for d in self.drop if d in df.columns])
         out = df
         for col in self.columns:
             if col in self.drop:

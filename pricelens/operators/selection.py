@@ -21,6 +21,12 @@ from .base import FittedStage, Stage
 SEED = 120
 
 
+def _finite(x):
+    """NULL for NaN and ±infinity."""
+    d = x.cast("double")
+    return F.when(F.isnan(d) | (F.abs(d) == float("inf")), F.lit(None).cast("double")).otherwise(d)
+
+
 def f_regression(df: DataFrame, features, label: str) -> DataFrame:
     """V5: ``feature, r, f_score`` with F = r²/(1-r²)·(n-2), one aggregate."""
     features = list(features)
@@ -201,18 +207,27 @@ class FeatureSelector(Stage):
         else:
             raise ValueError(self.method)
         chosen = [f for f in feats if f in set(chosen)] if self.method in ("ANOVA", "FeatureImportance_ET") else chosen
-        return FeatureSelectorModel(chosen or feats, dropped, self.outputCol)
+        chosen = chosen or feats
+        # Learners refuse NaN / infinite inputs (e.g. the std of a one-row
+        # group): they are filled with the feature's mean on the fitting rows.
+        row = df.agg(*[F.avg(_finite(c(f))).alias(f"m{i}") for i, f in enumerate(chosen)]).first()
+        fill = {f: (row[f"m{i}"] if row[f"m{i}"] is not None else 0.0) for i, f in enumerate(chosen)}
+        return FeatureSelectorModel(chosen, dropped, self.outputCol, fill)
 
 
 class FeatureSelectorModel(FittedStage):
     """Drops the correlated columns and assembles the selected ones into
     ``outputCol`` (missing values pass through as NaN)."""
 
-    def __init__(self, selected, dropped, outputCol="features"):
+    def __init__(self, selected, dropped, outputCol="features", fill=None):
         super().__init__()
         self.selected, self.dropped, self.outputCol = selected, dropped, outputCol
+        self.fill = fill or {}
 
     def _transform(self, df):
         out = df.drop(*[d for d in self.dropped if d in df.columns])
-        return VectorAssembler(inputCols=list(self.selected), outputCol=self.outputCol,
-                               handleInvalid="keep").transform(out)
+        tmp = {f"_sel{i}": F.coalesce(_finite(c(f)), F.lit(float(self.fill.get(f, 0.0))))
+               for i, f in enumerate(self.selected)}
+        out = out.withColumns(tmp)
+        res = VectorAssembler(inputCols=list(tmp), outputCol=self.outputCol, handleInvalid="keep").transform(out)
+        return res.drop(*tmp)

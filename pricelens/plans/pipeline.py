@@ -87,6 +87,36 @@ def build_pipeline(ch: Choice, spec: FeatureSpec = SALES, rare_tol: float = 0.05
     return Pipeline(stages=stages)
 
 
+def fit_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """``Pipeline.fit`` with the intermediate table persisted between stages.
+
+    Plain ``Pipeline.fit`` hands each stage the lazily transformed input, so
+    every aggregate of stage k recomputes stages 1..k-1 (and fuses their
+    expressions into one generated class).  Here each stage's output is
+    persisted (memory, spilling to disk) until the next stage has been
+    fitted, then released; a lost executor recomputes it from lineage.
+    """
+    from pyspark import StorageLevel
+    from pyspark.ml import Estimator
+    stages = pipeline.getStages()
+    cur, prev, models = df, None, []
+    for i, st in enumerate(stages):
+        t0 = time.time()
+        model = st.fit(cur) if isinstance(st, Estimator) else st
+        if os.environ.get("PRICELENS_TRACE"):
+            print(f"  fit {type(st).__name__}: {time.time() - t0:.2f}s", flush=True)
+        models.append(model)
+        if prev is not None:
+            prev.unpersist()
+            prev = None
+        if i < len(stages) - 1:
+            cur = model.transform(cur).persist(StorageLevel.MEMORY_AND_DISK)
+            prev = cur
+    if prev is not None:
+        prev.unpersist()
+    return PipelineModel(models)
+
+
 # ------------------------------------------------------------- folds -------
 
 def assign_folds(df: DataFrame, k: int = 5, seed: int = SEED, key: str = "row_id", name: str = "fold") -> DataFrame:
@@ -145,15 +175,19 @@ def cross_validate(train: DataFrame, ch: Choice, spec: FeatureSpec, folds: int =
     preds = None
     for f in range(folds):
         tr = data.where(F.col("inner_fold") != f)
-        model = build_pipeline(ch, spec, rare_tol).fit(tr)
+        model = fit_pipeline(build_pipeline(ch, spec, rare_tol), tr)
         # score train and validation rows of this fold in one pass
         scored = model.transform(data).select(
             F.lit(f).alias("fold"),
             F.when(F.col("inner_fold") == f, F.lit("val")).otherwise(F.lit("train")).alias("model"),
             c(spec.label).alias("actual"), F.col("prediction").alias("predicted"))
         preds = scored if preds is None else preds.unionByName(scored)
-    # every fold's metrics in one job set (exact median AE included)
+    # every fold's metrics in one job set (exact median AE included); the
+    # scored rows are persisted so the metric jobs do not re-score
+    from pyspark import StorageLevel
+    preds = preds.persist(StorageLevel.MEMORY_AND_DISK)
     rows = BL.fold_metrics(preds).collect()
+    preds.unpersist()
     res = {f"{s}_{m}": [] for s in ("train", "val") for m in ("rmse", "mae", "median_ae")}
     for r in rows:
         for m in ("rmse", "mae", "median_ae"):
@@ -200,7 +234,7 @@ def choice_from(trial: dict) -> Choice:
 
 def refit(train: DataFrame, ch: Choice, spec: FeatureSpec = SALES, rare_tol: float = 0.05) -> PipelineModel:
     """T4: fit the chosen pipeline on all training rows."""
-    return build_pipeline(ch, spec, rare_tol).fit(train)
+    return fit_pipeline(build_pipeline(ch, spec, rare_tol), train)
 
 
 def nested_cv(table: DataFrame, family: str, n_trials: int = 20, spec: FeatureSpec = SALES, outer: int = 5,

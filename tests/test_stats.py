@@ -60,13 +60,17 @@ def test_quantiles_and_ranks_match_numpy(spark):
         ref = np.percentile(v[g == k], [p * 100 for p in probs])
         for p, rv in zip(probs, ref):
             assert abs(q[(k, p)] - rv) < 1e-9
-    oc = ordered_counts(df, ["g"], "value", partitions=7)
-    ranks = {(r["g"], r["value"]): r["rank"] for r in average_rank_table(oc, ["g"], "value").collect()}
-    for k in range(3):
-        sub = pdf[pdf.g == k]
-        pr = sub["value"].rank(method="average")
-        for val, rk in zip(sub["value"], pr):
-            assert ranks[(k, val)] == pytest.approx(rk)
+    for limit in (None, 10_000):  # range-partitioned path and size-checked window path
+        oc = ordered_counts(df, ["g"], "value", partitions=7, small_limit=limit)
+        ranks = {(r["g"], r["value"]): r["rank"] for r in average_rank_table(oc, ["g"], "value").collect()}
+        for k in range(3):
+            sub = pdf[pdf.g == k]
+            pr = sub["value"].rank(method="average")
+            for val, rk in zip(sub["value"], pr):
+                assert ranks[(k, val)] == pytest.approx(rk)
+    q2 = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(
+        df, ["g"], "value", probs, ordered=ordered_counts(df, ["g"], "value", partitions=5, small_limit=None)).collect()}
+    assert all(abs(q2[k] - q[k]) < 1e-12 for k in q)
 
 
 def test_grid_quantiles(spark):
@@ -85,7 +89,7 @@ def test_grid_quantiles(spark):
 
 def test_skewness_bias_corrected(spark):
     from pricelens.operators.profile import skewness
-    df = spark.createDataFrame([(v,) for v in [1, 2, 4, 7.5, 20]], "x double")
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 4, 7.5, 20]], "x double")
     assert skewness(df, ["x"]).first()["skewness"] == pytest.approx(1.71275, abs=1e-5)
 
 
