@@ -13,14 +13,13 @@ DataFrame attribute; ``load_stage(path)`` restores any stage.
 from __future__ import annotations
 
 import importlib
-import json
 import os
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, read_json, write_json
 
 # Dimension tables up to this many rows are broadcast; bigger ones take a
 # shuffle join.  The row count is taken from the checkpointed table, so the
@@ -53,24 +52,23 @@ class FittedStage(Model):
                 if not k.startswith("_") and k not in self._frames and k != "uid"}
 
     def save(self, path: str) -> None:
-        os.makedirs(path, exist_ok=True)
+        spark = SparkSession.active()
+        present = [n for n in self._frames if getattr(self, n) is not None]
         meta = {"class": f"{type(self).__module__}.{type(self).__qualname__}", "state": self._state(),
-                "frames": list(self._frames)}
-        with open(os.path.join(path, "state.json"), "w") as fh:
-            json.dump(meta, fh, default=_jsonable)
-        for name in self._frames:
-            frame = getattr(self, name)
-            if frame is not None:
-                frame.write.mode("overwrite").parquet(os.path.join(path, name))
+                "frames": list(self._frames), "present": present}
+        write_json(spark, os.path.join(path, "state.json"), meta, default=_jsonable)
+        for name in present:
+            getattr(self, name).write.mode("overwrite").parquet(os.path.join(path, name))
 
     @classmethod
     def _restore(cls, spark: SparkSession, path: str, meta: dict):
         obj = cls.__new__(cls)
         FittedStage.__init__(obj)
         obj.__dict__.update(meta["state"])
+        present = set(meta.get("present", ()))
         for name in meta["frames"]:
             p = os.path.join(path, name)
-            setattr(obj, name, spark.read.parquet(p) if os.path.exists(p) else None)
+            setattr(obj, name, spark.read.parquet(p) if name in present else None)
         return obj
 
 
@@ -83,8 +81,7 @@ def _jsonable(o):
 
 
 def load_stage(spark: SparkSession, path: str) -> FittedStage:
-    with open(os.path.join(path, "state.json")) as fh:
-        meta = json.load(fh)
+    meta = read_json(spark, os.path.join(path, "state.json"))
     mod, _, name = meta["class"].rpartition(".")
     cls = getattr(importlib.import_module(mod), name)
     return cls._restore(spark, path, meta)

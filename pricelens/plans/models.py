@@ -226,20 +226,20 @@ class AdaBoostR2Model(Model):
         return out.withColumn(self.predictionCol, med["res"]).drop(*names)
 
     def save(self, path):
-        import json
         import os
-        os.makedirs(path, exist_ok=True)
+        from pyspark.sql import SparkSession
+        from ..session import write_json
         for i, t in enumerate(self.trees):
             t.write().overwrite().save(os.path.join(path, f"tree{i}"))
-        with open(os.path.join(path, "weights.json"), "w") as fh:
-            json.dump({"weights": self.weights, "featuresCol": self.featuresCol}, fh)
+        write_json(SparkSession.active(), os.path.join(path, "weights.json"),
+                   {"weights": self.weights, "featuresCol": self.featuresCol})
 
     @classmethod
     def load(cls, path):
-        import json
         import os
-        with open(os.path.join(path, "weights.json")) as fh:
-            meta = json.load(fh)
+        from pyspark.sql import SparkSession
+        from ..session import read_json
+        meta = read_json(SparkSession.active(), os.path.join(path, "weights.json"))
         trees = [DecisionTreeRegressionModel.load(os.path.join(path, f"tree{i}")) for i in range(len(meta["weights"]))]
         return cls(trees, meta["weights"], meta["featuresCol"])
 

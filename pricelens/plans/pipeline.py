@@ -25,7 +25,7 @@ from ..operators import features as FE
 from ..operators.base import FittedStage, load_stage
 from ..operators.clean import with_row_id
 from ..operators.selection import FeatureSelector
-from ..session import cut_lineage
+from ..session import cut_lineage, read_json, write_json
 from ..spec import SALES, FeatureSpec
 from . import baselines as BL
 from .models import (CAPPABLE, FAMILIES, LINEAR, SEED, TRANSFORMED, AdaBoostR2Model, make_regressor,
@@ -296,7 +296,6 @@ def final_model(table: DataFrame, family: str, n_trials: int = 20, spec: Feature
 def save_pipeline_model(model: PipelineModel, path: str) -> None:
     """Stages are saved one by one: Spark ML stages with their own writer,
     custom stages as JSON + parquet, plus a manifest."""
-    os.makedirs(path, exist_ok=True)
     manifest = []
     for i, st in enumerate(model.stages):
         sub = os.path.join(path, f"stage{i:02d}")
@@ -310,14 +309,12 @@ def save_pipeline_model(model: PipelineModel, path: str) -> None:
             st.write().overwrite().save(sub)
             kind = f"{type(st).__module__}.{type(st).__name__}"
         manifest.append({"path": sub, "kind": kind})
-    with open(os.path.join(path, "manifest.json"), "w") as fh:
-        json.dump(manifest, fh)
+    write_json(SparkSession.active(), os.path.join(path, "manifest.json"), manifest)
 
 
 def load_pipeline_model(spark: SparkSession, path: str) -> PipelineModel:
     import importlib
-    with open(os.path.join(path, "manifest.json")) as fh:
-        manifest = json.load(fh)
+    manifest = read_json(spark, os.path.join(path, "manifest.json"))
     stages = []
     for m in manifest:
         if m["kind"] == "custom":

@@ -77,3 +77,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# Small metadata (stage state, manifests) goes through Spark's own writers so
+# any path the cluster can reach works (``file:``, ``hdfs:``, object stores);
+# Python's ``open`` would only see the driver's local disk.
+
+def write_json(spark: SparkSession, path: str, obj, default=None) -> None:
+    import json
+    text = json.dumps(obj, default=default)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_json(spark: SparkSession, path: str):
+    import json
+    return json.loads(spark.read.text(path).first()["value"])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.format("binaryFile").load(path).limit(1).count()
+        return True
+    except AnalysisException:
+        return False
