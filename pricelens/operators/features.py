@@ -328,10 +328,13 @@ class GroupStatFeatures(Stage):
         for e in extra:
             stats = stats.unionByName(e)
         stats = materialise(stats)
-        sizes = {r["grp"]: r["n"] for r in stats.groupBy("grp").agg(F.countDistinct("gval").alias("n")).collect()}
+        counted = stats.groupBy("grp").agg(F.countDistinct("gval").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+        sizes = {r["grp"]: r["n"] for r in counted}
         suffix = dict(self.groups)
         maps = None
-        if sum(sizes.values()) <= LITERAL_MAP_LIMIT:
+        # the bound is on literals in the plan (one per group, column and
+        # statistic), not on groups: wide literal maps overflow codegen
+        if sum(r["rows"] for r in counted) * len(GROUP_STATS) <= LITERAL_MAP_LIMIT:
             maps = {}
             for r in stats.collect():
                 for st in GROUP_STATS:
