@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel  # noqa: F401  (re-exported for operators)
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,6 +169,40 @@ def binaries(values: np.ndarray, off: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer((off * raw.itemsize).astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())])
 
 
+# ------------------------------------------ sums of keyed numbers between tasks
+# A chunk of the corpus sends each distinct key (a 64-bit hash) once to the key's
+# bucket; the bucket answers every chunk in the order of its sorted keys.
+
+SENT = "chunk long, bucket int, keys binary, vals binary"
+REPLY = "chunk long, bucket int, vals binary"
+
+
+def packed(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+
+
+def unpacked(x: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
+
+
+def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's keys begin: buckets are ranges of the hash."""
+    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], dtype=np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+
+
+def sent(number: int, keys: np.ndarray, vals: np.ndarray, buckets: int) -> list[tuple]:
+    at = bucket_bounds(keys, buckets)
+    return [(number, b, packed(keys[x:y]), packed(vals[x:y])) for b, (x, y) in enumerate(zip(at, at[1:])) if y > x]
+
+
+def arrow_table(rows: list[tuple], spec: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [f.split() for f in spec.split(", ")]
+    cols = list(zip(*rows)) if rows else [[] for _ in fields]
+    return pa.Table.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields)], names=[n for n, _ in fields])
+
+
 # ------------------------------------------------------------------ Spark side
 
 def word_count(text: Column | str) -> Column:
