@@ -16,9 +16,10 @@ d(x, y) = 1 - |x & y| / |x | y| is a metric; two sets link when d <= 1 - thresho
    their sets become pivots of a Voronoi partition, a set goes to its nearest pivot
    and, by the triangle inequality, to every pivot that is farther by at most twice
    the link distance.  Sets within the link distance of a pivot are linked to it, so
-   parts whose sets are all connected already are done.  Parts that a partition
-   doesn't make smaller are joined in blocks of ``leaf`` by ``leaf`` sets, where pairs
-   already connected, or that a pivot's distances rule out, are passed over.
+   only pairs with a set outside the region's largest component are left; up to
+   ``leaf`` such outsiders are joined with the region's blocks at once.  Parts that a
+   partition doesn't make smaller are joined in blocks of ``leaf`` by ``leaf`` sets.
+   Pairs already connected, or that a pivot's distances rule out, are passed over.
 
 Shingles are compared by 64-bit hashes: a pair of sets of a thousand shingles is
 judged wrongly with a probability below 1e-13.
@@ -178,28 +179,22 @@ def _leaf_links(threshold):
     return links
 
 
-def _voronoi(threshold):
-    """Distances of a block of a region's sets to the region's pivots: a row for each
-    part that a set goes to."""
-    wide = 2 * (1 - threshold[0] / threshold[1]) + 1e-9
-
-    def assign(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if not len(pivots):  # none of its sets is at home: its pairs meet elsewhere
-            rows = rows.iloc[:0]
+def _measured(threshold):
+    """Distances of a block of a region's sets to the region's pivots, and the pivots
+    that each is linked to."""
+    def measure(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(pivots):
+            return pd.DataFrame(columns=["region", "doc", "shingles", "home", "near", "far"])
         pivots = pivots.sort_values("doc")
-        if len(rows):
-            linked, far = _similar(_decode(rows["shingles"]), _decode(pivots["shingles"]), threshold)
-        for k in range(len(rows)):
-            home = int(far[k].argmin())
-            for p in np.flatnonzero(far[k] <= far[k, home] + wide):
-                out.append((rows["region"].iat[k], f"{rows['region'].iat[k]}.{p}", rows["doc"].iat[k], rows["shingles"].iat[k], bool(rows["home"].iat[k]) and p == home,
-                            [int(x) for x in pivots["doc"].to_numpy()[linked[k]]] if p == home else [], far[k].tolist()))
-        return pd.DataFrame(out, columns=["parent", "region", "doc", "shingles", "home", "near", "far"])
-    return assign
+        linked, far = _similar(_decode(rows["shingles"]), _decode(pivots["shingles"]), threshold)
+        ids = pivots["doc"].to_numpy()
+        out = rows[["region", "doc", "shingles", "home"]].copy()
+        out["near"], out["far"] = [[int(x) for x in ids[row]] for row in linked], far.tolist()
+        return out
+    return measure
 
 
-PARTS = "parent string, region string, doc long, shingles binary, home boolean, near array<long>, far array<double>"
+MEASURED = "region string, doc long, shingles binary, home boolean, near array<long>, far array<double>"
 
 
 def _block_links(threshold):
@@ -235,37 +230,56 @@ def region_links(rows: DataFrame, threshold=THRESHOLD, leaf: int = LEAF, pivots:
         large = sizes.where(F.col("size") > leaf)
         if large.isEmpty():
             return found
-        rows = sized_join(rows, large, "region")
         blocks = F.ceil(F.col("size") / leaf).cast("int")
-        block = F.pmod(F.xxhash64("doc", F.lit(depth)), blocks).cast("int")
-        rows = rows.withColumn("block", block)
+        rows = sized_join(rows, large, "region").withColumn("block", F.pmod(F.xxhash64("doc", F.lit(depth)), blocks).cast("int"))
         # one pivot from each of so many hash classes of a region's own sets
         draw = F.struct(F.xxhash64("doc", F.lit(depth + 100)).alias("o"), "doc", "shingles")
         drawn = cut(rows.where("home").groupBy("region", F.pmod(F.xxhash64("doc", F.lit(depth + 200)), F.lit(pivots)).alias("class"))
-                 .agg(F.min(draw).alias("p"), F.max("size").alias("size")).select("region", "p.doc", "p.shingles", "size"))
+                    .agg(F.min(draw).alias("p"), F.max("size").alias("size")).select("region", "p.doc", "p.shingles", "size"))
         drawn = drawn.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        parts = (rows.select("region", "block", "doc", "shingles", "home").groupBy("region", "block")
-                 .cogroup(drawn.select(*[F.col(c).alias(c) for c in ("region", "block", "doc", "shingles")]).groupBy("region", "block")).applyInPandas(_voronoi(threshold), PARTS))
-        parts = written(parts, "regions")
-        links = parts.select(F.col("doc").alias("a"), F.explode("near").alias("b")).where("a <> b")
+        drawn = drawn.select(*[F.col(c).alias(c) for c in ("region", "block", "doc", "shingles")])
+        measured = written(rows.select("region", "block", "doc", "shingles", "home").groupBy("region", "block")
+                           .cogroup(drawn.groupBy("region", "block")).applyInPandas(_measured(threshold), MEASURED), "measured")
+        links = measured.select(F.col("doc").alias("a"), F.explode("near").alias("b")).where("a <> b")
         found = cut(found.union(links))
-        label = components(found)
-        parts = parts.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        state = parts.groupBy("region", "parent").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-        parent = large.withColumnsRenamed({"region": "parent", "size": "whole"})
-        state = cut(state.where("low <> high").join(parent, "parent").withColumn("stuck", (F.col("size") > leaf) & ((F.col("size") > 0.8 * F.col("whole")) | F.lit(depth >= deepest))))
-        parts = cut(sized_join(parts, state.select("region", "size", "stuck"), "region"))
+        label = components(found).withColumnRenamed("node", "doc")
+        measured = measured.drop("near").join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        # a region's largest component needs no pairs of its own: only pairs with an
+        # outsider are left, and they are found where the outsider is at home
+        share = measured.groupBy("region", "component").agg(F.count("*").alias("n")).groupBy("region").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("size"), F.max("n").alias("most"))
+        state = cut(share.where("size > most"))
+        measured = cut(sized_join(measured, state, "region").withColumn("outside", F.col("component") != F.col("main")))
+        few = F.col("size") - F.col("most") <= leaf
+        found = found.union(_against_outsiders(measured.where(few), threshold, leaf))
+        # Voronoi parts with windows
+        wide = 2 * (1 - threshold[0] / threshold[1]) + 1e-9
+        nearest = F.array_min("far")
+        parts = measured.where(~few).withColumn("nearest", nearest).withColumn("home_part", F.array_position("far", F.col("nearest")) - 1)
+        parts = parts.select("*", F.posexplode("far").alias("part", "d")).where(F.col("d") <= F.col("nearest") + wide)
+        parts = parts.select("doc", "shingles", "far", "component", F.col("size").alias("whole"), F.concat_ws(".", "region", "part").alias("region"),
+                             (F.col("outside") & (F.col("part") == F.col("home_part"))).alias("home"))
+        state = parts.groupBy("region").agg(F.count("*").alias("size"), F.max("home").alias("any"), F.max("whole").alias("whole"))
+        state = cut(state.where("any").select("region", "size", ((F.col("size") > leaf) & ((F.col("size") > 0.8 * F.col("whole")) | F.lit(depth >= deepest))).alias("stuck")))
+        parts = cut(sized_join(parts.drop("whole"), state, "region"))
         found = found.union(_blocked(parts.where("stuck"), threshold, leaf))
         rows = parts.where("not stuck").select("region", "doc", "shingles", "home")
 
 
+def _against_outsiders(rows: DataFrame, threshold, leaf: int) -> DataFrame:
+    """Regions of at most ``leaf`` outsiders: each block of a region's sets with all of them."""
+    blocks = F.ceil(F.col("size") / leaf).cast("int")
+    columns = ["region", "block", "side", "doc", "shingles", "home", "far", "component"]
+    own = rows.withColumn("block", F.pmod(F.xxhash64("doc", F.lit(7)), blocks).cast("int")).withColumn("side", F.lit(0))
+    out = rows.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(1))
+    return own.select(columns).union(out.select(columns)).groupBy("region", "block").applyInPandas(_block_links(threshold), EDGES)
+
+
 def _blocked(parts: DataFrame, threshold, leaf: int) -> DataFrame:
     """Parts joined block by block; a block pair is a group of at most about 2 leaf sets."""
     n = F.ceil(F.col("size") / leaf).cast("int")
     own = F.pmod(F.xxhash64("doc", F.lit(7)), n).cast("int")
     rows = parts.withColumns({"n": n, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    lo, hi = F.least("own", "other"), F.greatest("own", "other")
-    rows = rows.withColumns({"lo": lo, "hi": hi})
+    rows = rows.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
     twice = F.when(F.col("own") == F.col("other"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.when(F.col("own") < F.col("other"), 0).otherwise(1)))
     rows = rows.withColumn("side", F.explode(twice))
     return rows.select("region", "lo", "hi", "side", "doc", "shingles", "home", "far", "component").groupBy("region", "lo", "hi").applyInPandas(_block_links(threshold), EDGES)
