@@ -1065,7 +1065,7 @@ def stream_scoring(spark, sf):
     from .streaming import score_stream as SS
     raw = sales_view(spark, sf)
     src = scratch_path(spark, "stream-src")
-    raw.repartition(4).write.parquet(src)
+    raw.write.parquet(src)
     t = _training(spark, sf)
     model = PL.refit(t, _default_choice("DecisionTreeRegressor"), TEST_SALES, RARE_TOL)
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")

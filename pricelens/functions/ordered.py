@@ -14,11 +14,9 @@ Instead:
    so every task holds one range slice only);
 4. per-partition totals -> offsets (a table of at most partitions + groups rows).
 
-Size-checked fast path: when the distinct ``(keys, value)`` table has at most
-``SMALL_DISTINCT`` rows (counted), no task can hold more than that many rows,
-so a window keyed by ``keys`` alone is safe and saves the range sampling and
-two shuffles.  The hot-key guarantee holds either way: a key group is never
-larger than the counted bound on the fast path, and is range-split otherwise.
+The counts of step 1 are checkpointed, so the input is evaluated once: the range
+sampling and both readers of step 3 and 4 start from the written counts.  There is
+one path whatever the size.
 
 The result has one row per distinct ``(keys, value)`` with ``cnt``,
 ``cum_before`` (rows strictly below) and ``total`` (rows in the key group).
@@ -29,12 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .columns import c
 
 
-SMALL_DISTINCT = 4_000_000
-
-
 def _partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return partitions
@@ -46,7 +42,7 @@ def _window(keys):
 
 
 def ordered_counts(df: DataFrame, keys, value: str, partitions: int | None = None,
-                   weight: str | None = None, small_limit: int | None = SMALL_DISTINCT) -> DataFrame:
+                   weight: str | None = None) -> DataFrame:
     """``weight`` names a row-count column when ``df`` is already a count
     table (one row per distinct value, possibly split over several rows)."""
     keys = list(keys)
@@ -55,12 +51,7 @@ def ordered_counts(df: DataFrame, keys, value: str, partitions: int | None = Non
     counts = (df.where(c(value).isNotNull())
               .groupBy(*kcols, c(value))
               .agg(n_expr.cast("long").alias("cnt")))
-    if small_limit and counts.count() <= small_limit:
-        w_all = _window(keys)
-        w_before = w_all.orderBy(c(value)).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(*kcols, c(value), "cnt",
-                             F.coalesce(F.sum("cnt").over(w_before), F.lit(0)).alias("cum_before"),
-                             F.sum("cnt").over(w_all).alias("total"))
+    counts = cut_lineage(counts)
     ranged = (counts.repartitionByRange(_partitions(df, partitions), *kcols, c(value))
               .withColumn("_pid", F.spark_partition_id()))
     w_local = (Window.partitionBy(F.col("_pid"), *kcols).orderBy(c(value))

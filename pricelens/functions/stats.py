@@ -150,7 +150,9 @@ def yeo_johnson_lambda(counts: DataFrame, keys=("column",), value: str = "value"
     count table (``keys, value, cnt``): the grid is exploded as rows (a
     generator, not a join), so the expression stays small and the partial
     aggregate ships one row per (key, λ).  Later rounds refine around the
-    best λ.  Sums are taken about y(x̄) for numerical stability.
+    best λ.  While a key's best λ lies at an end of the grid, its grid moves
+    there and the round is repeated, so λ isn't bound to the first range.
+    Sums are taken about y(x̄) for numerical stability.
     """
     keys = list(keys)
     x = c(value)
@@ -161,16 +163,24 @@ def yeo_johnson_lambda(counts: DataFrame, keys=("column",), value: str = "value"
         (F.sum(cnt * x) / F.sum(cnt)).alias("_xbar"))
     base_rows = {tuple(r[k] for k in keys): r for r in base.collect()}
     centers = {key: 0.0 for key in base_rows}
-    for ri, spec in enumerate(rounds):
-        if ri == 0:
+    reached = {key: -math.inf for key in base_rows}
+    todo = []
+    for spec in rounds:
+        if len(spec) == 3:
             lo, hi, step = spec
             offsets = [lo + i * step for i in range(int(round((hi - lo) / step)) + 1)]
         else:
             half, step = spec
             m = int(round(half / step))
             offsets = [i * step for i in range(-m, m + 1)]
+        todo.append((offsets, None))
+    while todo:
+        offsets, only = todo.pop(0)
+        active = [key for key in centers if only is None or key in only]
+        if not active:
+            continue
         cen = counts.sparkSession.createDataFrame(
-            [(*key, float(v) if ri else 0.0, float(base_rows[key]["_xbar"])) for key, v in centers.items()],
+            [(*key, float(centers[key]), float(base_rows[key]["_xbar"])) for key in active],
             [*keys, "_center", "_xbar"])
         lam = F.col("_lam")
         res = (counts.join(F.broadcast(cen), keys)
@@ -181,7 +191,7 @@ def yeo_johnson_lambda(counts: DataFrame, keys=("column",), value: str = "value"
                .agg(F.first(lam).alias("lam"), F.sum(cnt * F.col("_y")).alias("s"),
                     F.sum(cnt * F.col("_y") * F.col("_y")).alias("q"))
                .collect())
-        best = {key: (centers[key], -math.inf) for key in centers}
+        best = {key: (centers[key], -math.inf, 0.0) for key in active}
         for r in res:
             key = tuple(r[k] for k in keys)
             n, slog = base_rows[key]["_n"], base_rows[key]["_slog"]
@@ -193,8 +203,16 @@ def yeo_johnson_lambda(counts: DataFrame, keys=("column",), value: str = "value"
                 continue
             llf = -n / 2.0 * math.log(var) + (r["lam"] - 1) * slog
             if llf > best[key][1]:
-                best[key] = (r["lam"], llf)
-        centers = {key: v[0] for key, v in best.items()}
+                best[key] = (r["lam"], llf, r["_off"])
+        ends = set()
+        for key, (lam_best, llf, off) in best.items():
+            better = llf > reached[key] + 1e-9 * abs(reached[key]) if math.isfinite(reached[key]) else math.isfinite(llf)
+            if llf >= reached[key]:
+                centers[key], reached[key] = lam_best, llf
+            if better and off in (offsets[0], offsets[-1]):
+                ends.add(key)
+        if ends:
+            todo.insert(0, (offsets, ends))
     return {k[0] if len(k) == 1 else k: v for k, v in centers.items()}
 
 

@@ -64,6 +64,8 @@ class OutlierCapper(Stage):
             qs = exact_quantiles(long_values(df, non), ["column"], "value", [0.25, 0.75]).collect()
             q = {(r["column"], r["p"]): r["q"] for r in qs}
             for col in non:
+                if (col, 0.25) not in q:  # no value at all: nothing to cap
+                    continue
                 q1, q3 = q[(col, 0.25)], q[(col, 0.75)]
                 iqr = q3 - q1
                 bounds[col] = (q1 - self.iqr_fold * iqr, q3 + self.iqr_fold * iqr)

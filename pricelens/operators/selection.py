@@ -140,11 +140,11 @@ def f_scores(df, features, label) -> dict:
     return {r["feature"]: r["f_score"] for r in f_regression(df, features, label).collect()}
 
 
-def uncorrelated_recursive(df: DataFrame, features, label: str, threshold: float = 0.7, rounds: int = 3,
+def uncorrelated_recursive(df: DataFrame, features, label: str, threshold: float = 0.7,
                            seed: int = SEED) -> list:
     """V6 (re-aimed): of every highly correlated pair keep the member with
     the higher mutual information, then repeatedly fit a boosted-tree model
-    and drop features without importance (at most ``rounds`` refits)."""
+    and drop features without importance, until none is dropped."""
     features = list(features)
     mi = mi_scores(df, features, label)
     rho = spearman_rows(df, features)
@@ -154,7 +154,7 @@ def uncorrelated_recursive(df: DataFrame, features, label: str, threshold: float
             v = rho.get((a, b))
             if a in keep and b in keep and v is not None and abs(v) > threshold:
                 keep.remove(b if (mi.get(a) or 0) >= (mi.get(b) or 0) else a)
-    for _ in range(rounds):
+    while True:
         gbt = GBTRegressor(featuresCol="_features", labelCol=label, maxIter=20, maxDepth=5, seed=seed)
         imp = gbt.fit(_assemble(df, keep)).featureImportances.toArray()
         nxt = [f for f, v in zip(keep, imp) if v > 0]

@@ -10,7 +10,7 @@ penalty by the label scale σ_y):
 * ElasticNet (α, l1_ratio): A = α·l1, B = α(1-l1)·σ_y -> regParam A+B,
   elasticNet A/(A+B)
 * linear SVR, squared ε-insensitive loss with ε = 0 == ridge with α = 1/(2C)
-* Huber: Spark's huber loss (same scale-estimating form), regParam = 2α/n
+* Huber: Spark's huber loss (same scale-estimating form), regParam = α/n
 """
 
 from __future__ import annotations
@@ -77,6 +77,10 @@ def _label_stats(df: DataFrame, label: str):
     return row["n"], row["sp"] or 1.0, row["ss"] or 1.0
 
 
+#: Iterations that a linear family may take.
+MAX_ITER = 10_000
+
+
 class LinearFamily(Estimator):
     """M1-M5: converts the reference's penalty parameters to Spark's scale at
     fit time (needs n and σ_y of the training rows: one aggregate)."""
@@ -88,7 +92,7 @@ class LinearFamily(Estimator):
     def _fit(self, df):
         n, s_pop, _ = _label_stats(df, self.labelCol)
         fam, p = self.family, self.hp
-        common = dict(featuresCol=self.featuresCol, labelCol=self.labelCol, standardization=False, maxIter=200)
+        common = dict(featuresCol=self.featuresCol, labelCol=self.labelCol, standardization=False, maxIter=MAX_ITER)
         if fam in ("Ridge", "LinearSVR"):
             alpha = p["alpha"] if fam == "Ridge" else 1.0 / (2.0 * p["C"])
             est = LinearRegression(regParam=alpha * s_pop / n, elasticNetParam=0.0, solver="normal", **common)
@@ -99,13 +103,17 @@ class LinearFamily(Estimator):
             b = p["alpha"] * (1 - p["l1_ratio"]) * s_pop
             est = LinearRegression(regParam=a + b, elasticNetParam=a / (a + b), tol=1e-8, **common)
         elif fam == "HuberRegressor":
-            est = LinearRegression(loss="huber", epsilon=max(p["epsilon"], 1.000001), regParam=2 * p["alpha"] / n,
+            est = LinearRegression(loss="huber", epsilon=max(p["epsilon"], 1.000001), regParam=p["alpha"] / n,
                                    elasticNetParam=0.0, **common)
         else:
             raise ValueError(fam)
         return est.fit(df)
 
 
+#: Spark's own bound of a tree's depth; the families have none.
+MAX_DEPTH = 30
+
+
 def make_regressor(family: str, params: dict, featuresCol="features", labelCol="SP", seed: int = SEED):
     """A Spark estimator for one family + parameter draw."""
     p = params
@@ -113,7 +121,7 @@ def make_regressor(family: str, params: dict, featuresCol="features", labelCol="
     if family in LINEAR:
         return LinearFamily(family, p, featuresCol, labelCol)
     if family == "DecisionTreeRegressor":
-        return DecisionTreeRegressor(maxDepth=15, minInfoGain=p.get("ccp_alpha", 0.0), seed=seed, **common)
+        return DecisionTreeRegressor(maxDepth=MAX_DEPTH, minInfoGain=p.get("ccp_alpha", 0.0), seed=seed, **common)
     if family == "RandomForestRegressor":
         return RandomForestRegressor(numTrees=50, maxDepth=10, featureSubsetStrategy="all",
                                      minInfoGain=p.get("ccp_alpha", 0.0), seed=seed, **common)

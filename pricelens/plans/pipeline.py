@@ -16,6 +16,7 @@ import random
 import time
 from dataclasses import asdict, dataclass, field
 
+from pyspark.errors import ArithmeticException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,27 +94,29 @@ def fit_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
     Plain ``Pipeline.fit`` hands each stage the lazily transformed input, so
     every aggregate of stage k recomputes stages 1..k-1 (and fuses their
     expressions into one generated class).  Here each stage's output is
-    persisted (memory, spilling to disk) until the next stage has been
-    fitted, then released; a lost executor recomputes it from lineage.
+    persisted (memory, spilling to disk).  The next fit materialises it from
+    the table before, which is released only then; a lost executor
+    recomputes it from lineage.
     """
     from pyspark import StorageLevel
     from pyspark.ml import Estimator
     stages = pipeline.getStages()
-    cur, prev, models = df, None, []
+    cur, held, models = df, [], []
     for i, st in enumerate(stages):
         t0 = time.time()
         model = st.fit(cur) if isinstance(st, Estimator) else st
         if os.environ.get("PRICELENS_TRACE"):
             print(f"  fit {type(st).__name__}: {time.time() - t0:.2f}s", flush=True)
         models.append(model)
-        if prev is not None:
-            prev.unpersist()
-            prev = None
+        if isinstance(st, Estimator):  # its fit has read, and so filled, the last table
+            for older in held[:-1]:
+                older.unpersist()
+            held = held[-1:]
         if i < len(stages) - 1:
             cur = model.transform(cur).persist(StorageLevel.MEMORY_AND_DISK)
-            prev = cur
-    if prev is not None:
-        prev.unpersist()
+            held.append(cur)
+    for older in held:
+        older.unpersist()
     return PipelineModel(models)
 
 
@@ -195,6 +198,10 @@ def cross_validate(train: DataFrame, ch: Choice, spec: FeatureSpec, folds: int =
     return {k: sum(v) / len(v) for k, v in res.items()}
 
 
+#: What a draw of parameters itself can cause; anything else stops the study.
+DRAW_ERRORS = (IllegalArgumentException, ArithmeticException, ValueError, ArithmeticError)
+
+
 def tune(train: DataFrame, family: str, n_trials: int = 20, spec: FeatureSpec = SALES, seed: int = SEED,
          inner_folds: int = 3, rare_tol: float = 0.05, done: list | None = None) -> list:
     """Seeded random search minimising mean validation RMSE.  ``done``
@@ -214,7 +221,7 @@ def tune(train: DataFrame, family: str, n_trials: int = 20, spec: FeatureSpec =
         try:
             res = cross_validate(train, ch, spec, inner_folds, seed, rare_tol)
             row.update(value=res["val_rmse"], state="COMPLETE", **{f"user_attrs_{k}": v for k, v in res.items()})
-        except Exception as e:  # a failing draw is recorded, like a failed trial
+        except DRAW_ERRORS as e:  # a draw that can't be fitted is recorded as a failed trial
             row.update(value=None, state="FAIL", error=str(e)[:200])
         row["datetime_complete"] = time.time()
         row["duration"] = row["datetime_complete"] - start

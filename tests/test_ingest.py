@@ -37,3 +37,16 @@ def test_schema_json():
     s = load_schema()
     assert len(s.names) == 20 and s.max_lengths["ZONE"] == 5
     assert s.struct["Fdate"].dataType.simpleString() == "date"
+
+
+def test_missing_columns_keep_their_type(spark):
+    schema = load_schema()
+    path = os.path.join(tempfile.mkdtemp(prefix="table-"), "t")
+    cols = IN.ensure_table(spark, path, schema)
+    narrow = spark.createDataFrame([(1, "a")], f"{cols[0]} {schema.struct[cols[0]].dataType.simpleString()}, {cols[1]} string")
+    IN.append_positional(narrow, path, cols)
+    full = spark.createDataFrame([], schema.struct).select(*[f"`{c}`" for c in cols])
+    IN.append_positional(full, path, cols)
+    back = IN.read_table(spark, path)
+    assert back.count() == 1
+    assert {f.name: f.dataType for f in back.schema} == {f.name: f.dataType for f in schema.struct}

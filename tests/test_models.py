@@ -95,3 +95,39 @@ def test_search_space_draws_are_in_range():
                 assert 1e-6 <= p["alpha"] <= 2
             if "learning_rate" in p:
                 assert 0.01 <= p["learning_rate"] <= 1
+
+
+def test_huber_matches_its_objective(spark):
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+
+    from pricelens.plans.models import LinearFamily
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 2))
+    y = 3 * x[:, 0] - 2 * x[:, 1] + 1 + rng.normal(scale=0.3, size=300)
+    y[:20] += 15
+    alpha, eps = 30.0, 1.35
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, SP double")
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    m = LinearFamily("HuberRegressor", {"alpha": alpha, "epsilon": eps}).fit(df)
+
+    def objective(w, c, s):
+        r = np.abs(y - x @ w - c) / s
+        return float((s + s * np.where(r < eps, r * r, 2 * eps * r - eps * eps)).sum() + alpha * (w @ w))
+
+    w, c, s = np.array(m.coefficients.toArray()), m.intercept, m.scale
+    here = objective(w, c, s)
+    for step in (1e-2, 3e-2):
+        for k in range(2):
+            for sign in (-1, 1):
+                e = np.zeros(2)
+                e[k] = sign * step
+                assert objective(w + e, c, s) > here - 1e-6
+
+
+def test_cooks_distance_at_leverage_one(spark):
+    from pricelens.plans.diagnose import cooks_distance
+    rows = [(1.0, 0.0, 2.0), (2.0, 0.0, 3.9), (3.0, 0.0, 6.1), (4.0, 0.0, 8.2), (0.0, 5.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    out = {r["b"]: r for r in cooks_distance(df, ["a", "b"], "y").collect() if r["b"] > 0}
+    assert out[5.0]["leverage"] > 1 - 1e-9 and out[5.0]["influential"] in (True, False)

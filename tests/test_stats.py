@@ -60,16 +60,15 @@ def test_quantiles_and_ranks_match_numpy(spark):
         ref = np.percentile(v[g == k], [p * 100 for p in probs])
         for p, rv in zip(probs, ref):
             assert abs(q[(k, p)] - rv) < 1e-9
-    for limit in (None, 10_000):  # range-partitioned path and size-checked window path
-        oc = ordered_counts(df, ["g"], "value", partitions=7, small_limit=limit)
-        ranks = {(r["g"], r["value"]): r["rank"] for r in average_rank_table(oc, ["g"], "value").collect()}
-        for k in range(3):
-            sub = pdf[pdf.g == k]
-            pr = sub["value"].rank(method="average")
-            for val, rk in zip(sub["value"], pr):
-                assert ranks[(k, val)] == pytest.approx(rk)
+    oc = ordered_counts(df, ["g"], "value", partitions=7)
+    ranks = {(r["g"], r["value"]): r["rank"] for r in average_rank_table(oc, ["g"], "value").collect()}
+    for k in range(3):
+        sub = pdf[pdf.g == k]
+        pr = sub["value"].rank(method="average")
+        for val, rk in zip(sub["value"], pr):
+            assert ranks[(k, val)] == pytest.approx(rk)
     q2 = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(
-        df, ["g"], "value", probs, ordered=ordered_counts(df, ["g"], "value", partitions=5, small_limit=None)).collect()}
+        df, ["g"], "value", probs, ordered=ordered_counts(df, ["g"], "value", partitions=5)).collect()}
     assert all(abs(q2[k] - q[k]) < 1e-12 for k in q)
 
 
@@ -110,3 +109,27 @@ def test_yeo_johnson_lambda(spark):
     counts = df.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
     lam = ST.yeo_johnson_lambda(counts)["c"]
     assert abs(lam - best) < 2e-3
+
+
+def test_yeo_johnson_lambda_beyond_the_first_grid(spark):
+    rng = np.random.default_rng(3)
+    x = 10.0 - rng.exponential(0.5, 2000)  # its best lambda lies far above 3
+    x = x[x > 0]
+    grid = np.linspace(0.0, 40.0, 40001)
+    slog = np.log1p(x).sum()
+    best = grid[np.argmax([-len(x) / 2 * np.log((((x + 1) ** lam - 1) / lam if lam else np.log1p(x)).var()) + (lam - 1) * slog for lam in grid])]
+    assert best > 3.5
+    df = spark.createDataFrame([("c", float(v)) for v in x], "column string, value double")
+    lam = ST.yeo_johnson_lambda(df.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))["c"]
+    assert abs(lam - best) < 2e-2
+
+
+def test_ordered_counts_has_no_single_task_over_the_rows(spark):
+    df = spark.range(5000).select(F.lit("k").alias("g"), (F.col("id") % 700).cast("double").alias("value"))
+    oc = ordered_counts(df, [], "value", partitions=6)
+    rows = oc.collect()
+    assert len(rows) == 700 and all(r["total"] == 5000 for r in rows)
+    plan = oc._jdf.queryExecution().executedPlan().toString()
+    # the one window without keys is over a row for each range partition
+    for part in plan.split("SinglePartition")[1:]:
+        assert "_ptot" in part
