@@ -24,31 +24,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm import jaccard_join, langid, mixing, packing, quality_fm
-from pricelens.llm.common import written
-
-
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+from pricelens.llm.common import row_of, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_fm.fit(docs, quality_fm.training_labels(spark, sf_dir))
-    return quality_fm.score(docs, model).where(F.col("_score") >= quality_fm.THRESHOLD).select(*_columns(docs))
+    return quality_fm.score(docs, model).where(F.col("_score") >= quality_fm.THRESHOLD).select("_row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = langid.predict(docs, langid.fit(langid.training_rows(docs)))
-    return judged.where((F.col("_lang_pred") != "und") & (F.col("_score") >= langid.ACCEPT)).select(*_columns(docs))
+    return judged.where((F.col("_lang_pred") != "und") & (F.col("_score") >= langid.ACCEPT)).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = jaccard_join.jaccard_components(docs)
     first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_keep"), "left").where("_keep is not null or doc_id is null")
+    rows = docs.select(row_of(docs), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+    kept = rows.join(first, F.col("_id") == F.col("_keep"), "left").where("_keep is not null or _id is null")
     # one row of those that share a doc_id; rows without one are each their own
-    own = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null "), F.monotonically_increasing_id().cast("string")))
-    order = Window.partitionBy("_own").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_own", own).withColumn("_row", F.row_number().over(order)).where("_row = 1").select(*_columns(docs))
+    own = F.coalesce(F.col("_id").cast("string"), F.concat(F.lit("null "), F.monotonically_increasing_id().cast("string")))
+    order = Window.partitionBy("_own").orderBy("_hash")
+    return kept.withColumn("_own", own).withColumn("_place", F.row_number().over(order)).where("_place = 1").select("_row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

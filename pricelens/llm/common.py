@@ -205,6 +205,12 @@ def arrow_table(rows: list[tuple], spec: str) -> pa.Table:
 
 # ------------------------------------------------------------------ Spark side
 
+def row_of(df: DataFrame, keep: list[str] | None = None) -> Column:
+    """``keep`` (all columns by default) as one struct column ``_row``: whatever their
+    names, they can't clash with an operator's own columns beside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)]).alias("_row")
+
+
 def word_count(text: Column | str) -> Column:
     """Number of words of a text (0 for null), on the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")

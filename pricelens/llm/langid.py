@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
-from .common import in_fold, slices, text_buffer
+from .common import in_fold, row_of, slices, text_buffer
 
 SWITCH = 10.0
 SMOOTH = 0.5
@@ -177,7 +177,7 @@ def _word_scores(x: Letters, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return out, known
 
 
-def _judged(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str], spans: bool) -> Iterator[pa.RecordBatch]:
+def _judged(batches: Iterator[pa.RecordBatch], model: Model, spans: bool) -> Iterator[pa.RecordBatch]:
     langs = np.array([*model.langs, "und"], object)
     for batch in batches:
         buf, off = text_buffer(batch.column("_text"))
@@ -198,8 +198,8 @@ def _judged(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str], sp
             for k in np.flatnonzero(~_has_ascii_letter(buf[off[i] : off[j]], off[i : j + 1] - off[i])):
                 if not any(c.isalpha() for c in buf[off[i + k] : off[i + k + 1]].tobytes().decode("utf-8", "replace")):
                     pick[k], share[k] = len(model.langs), 0
-            columns = [*(batch.column(k).slice(i, n) for k in range(len(keep))), pa.array(langs[pick], pa.string()), pa.array(share)]
-            names = [*keep, "_lang_pred", "_score"]
+            columns = [batch.column("_row").slice(i, n), pa.array(langs[pick], pa.string()), pa.array(share)]
+            names = ["_row", "_lang_pred", "_score"]
             if spans:
                 columns.append(pa.array([_spans(path[a:b], begin[a:b] - (off[i + k] - base), size[a:b], langs) for k, (a, b) in enumerate(zip(first, first[1:]))],
                                         pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))))
@@ -222,19 +222,17 @@ def _spans(path, begin, size, langs) -> list[dict]:
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None, spans: bool = False) -> DataFrame:
-    """``keep`` (all columns by default), _lang_pred, _score and, if asked, spans
-    (array of lang, start, end in UTF-8 bytes)."""
-    keep = docs.columns if keep is None else keep
-    kept = [F.col(f"`{c}`") for c in keep]
+    """_row (a struct of ``keep``, by default all columns), _lang_pred, _score and, if
+    asked, spans (array of lang, start, end in UTF-8 bytes)."""
     span = ArrayType(StructType().add("lang", StringType()).add("start", LongType()).add("end", LongType()))
     if model is None:
         more = [F.array().cast(span).alias("spans")] if spans else []
-        return docs.select(*kept, F.lit("und").alias("_lang_pred"), F.lit(0.0).alias("_score"), *more)
-    ready = docs.select(*kept, F.col("text").cast("string").alias("_text"))
-    schema = StructType(ready.schema.fields[:-1]).add("_lang_pred", StringType()).add("_score", DoubleType())
+        return docs.select(row_of(docs, keep), F.lit("und").alias("_lang_pred"), F.lit(0.0).alias("_score"), *more)
+    ready = docs.select(row_of(docs, keep), F.col("text").cast("string").alias("_text"))
+    schema = StructType([ready.schema["_row"]]).add("_lang_pred", StringType()).add("_score", DoubleType())
     if spans:
         schema = schema.add("spans", span)
-    return ready.mapInArrow(lambda b: _judged(b, model, keep, spans), schema)
+    return ready.mapInArrow(lambda b: _judged(b, model, spans), schema)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -244,4 +242,5 @@ def training_rows(docs: DataFrame) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     out = predict(docs, fit(training_rows(docs)), keep=["doc_id"])
+    out = out.select("_row.doc_id", "_lang_pred", "_score")
     return out.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, sized_join, word_count, written
+from .common import cut, row_of, sized_join, word_count, written
 
 WEIGHTS = (3, 1, 2)
 SEED = "mix-1"
@@ -97,10 +97,10 @@ def _copies(keyed: DataFrame, mixture: DataFrame) -> DataFrame:
 
 def mix_sources(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     """The mixture itself: every document as often as it is taken, all its columns."""
-    keyed = _keyed(docs, seed)
+    keyed = _keyed(docs.select(row_of(docs), "doc_id", "source", "text"), seed)
     sized = written(keyed.select("_src", "_hash", word_count("text").alias("size")), "mix-sizes")
-    taken = _copies(keyed, plan(sized, **how)).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = _copies(keyed.select("_row", "_src", "_hash"), plan(sized, **how)).where("_copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,9 +125,9 @@ filled AS (  -- the first k sources in the order of cap / weight are clamped
          sum(weight) OVER () - (sum(weight) OVER w - weight) AS free
   FROM src WINDOW w AS (ORDER BY source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
 level AS (
-  SELECT max((1.5::DOUBLE * (SELECT sum(source_size)::DOUBLE FROM src) - held) / free) AS lambda FROM filled),
+  SELECT max((1.5::DOUBLE * (SELECT sum(source_size)::DOUBLE FROM src) - held) / free) AS height FROM filled),
 plan AS (
-  SELECT source, source_size, least(weight * lambda, 2.0::DOUBLE * source_size) AS target FROM src, level),
+  SELECT source, source_size, least(weight * height, 2.0::DOUBLE * source_size) AS target FROM src, level),
 whole AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM plan),
 taken AS (

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .common import Words, in_fold, mix, word_slices
+from .common import Words, in_fold, mix, row_of, word_slices
 
 BUCKETS = 1 << 13
 FACTORS = 4
@@ -122,9 +122,9 @@ def _features(batch: pa.RecordBatch, buckets: int):
         yield i, j, word_features(words, buckets), structure(words, declared[i:j])
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
+def _inputs(docs: DataFrame) -> list:
     n_chars = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
-    return docs.withColumns({"_text": F.col("text").cast("string"), "_n_chars": n_chars})
+    return [F.col("text").cast("string").alias("_text"), n_chars.alias("_n_chars")]
 
 
 def _collected(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, buckets: i
     """``labels``: doc_id, label 0 or 1; the rows to learn from."""
     chosen = labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("label").cast("int").alias("_label"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)  # the documented bound; so it can be broadcast
-    rows = _prepared(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "_label", "_text", "_n_chars")
+    rows = docs.select(F.col("doc_id").alias("_id"), *_inputs(docs)).join(F.broadcast(chosen), "_id").select("_id", "_label", "_text", "_n_chars")
     got = rows.mapInArrow(lambda b: _collected(b, buckets), "_id long, _label int, col binary, val binary, stats binary").toPandas()
     if not len(got):
         return None
@@ -181,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, buckets: i
     return Model(float(bias), params[0], params[1:], mean, scale)
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Model, buckets: int, keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model: Model, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         scores = [np.zeros(0)]
         for i, j, (row, col, val), stats in _features(batch, buckets):
@@ -190,19 +190,16 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model, buckets: int, keep:
             row = np.concatenate([row, np.repeat(np.arange(n), STATS)])
             col = np.concatenate([col, np.tile(buckets + np.arange(STATS), n)])
             scores.append(model.score(n, row, col, np.concatenate([val, z.ravel()])))
-        columns = [batch.column(k) for k in range(len(keep))]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(scores))], names=[*keep, "_score"])
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(np.concatenate(scores))], names=["_row", "_score"])
 
 
 def score(docs: DataFrame, model: Model | None, buckets: int = BUCKETS, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns by default) and _score."""
-    keep = docs.columns if keep is None else keep
+    """_row (a struct of ``keep``, by default all columns) and _score."""
     if model is None:
-        return docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(1.0).alias("_score"))
-    ready = _prepared(docs)
-    ready = ready.select(*[F.col(f"`{c}`") for c in keep], "_text", "_n_chars")
-    schema = StructType(ready.schema.fields[: len(keep)]).add("_score", DoubleType())
-    return ready.mapInArrow(lambda b: _scored(b, model, buckets, keep), schema)
+        return docs.select(row_of(docs, keep), F.lit(1.0).alias("_score"))
+    ready = docs.select(row_of(docs, keep), *_inputs(docs))
+    schema = StructType([ready.schema["_row"]]).add("_score", DoubleType())
+    return ready.mapInArrow(lambda b: _scored(b, model, buckets), schema)
 
 
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,4 +210,5 @@ def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "n_chars")
     scored = score(docs, fit(docs, training_labels(spark, sf_dir)), keep=["doc_id"])
+    scored = scored.select("_row.doc_id", "_score")
     return scored.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
-from .common import chunk_hashes, slices, text_buffer
+from .common import chunk_hashes, row_of, slices, text_buffer
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -110,21 +110,21 @@ class UnigramCounter:
         return np.bincount(text, weights=self.counts[at], minlength=n).astype(np.int64), np.bincount(text, weights=self.scores[at], minlength=n)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], path: str, keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     counter = UnigramCounter.from_sentencepiece(path)
     for batch in batches:
         buf, off = text_buffer(batch.column("_text"))
         got = [counter.slice_counts(buf[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in slices(off, 1 << 22)]
         counts, scores = (np.concatenate([np.zeros(0, kind), *(g[k] for g in got)]) for k, kind in enumerate((np.int64, np.float64)))
-        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(counts), pa.array(scores)], names=[*keep, "n_pieces", "best_score"])
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(counts), pa.array(scores)], names=["_row", "n_pieces", "best_score"])
 
 
 def count_pieces(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns by default), n_pieces and best_score of each whole text."""
-    keep = docs.columns if keep is None else keep
-    ready = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_text"))
-    schema = StructType(ready.schema.fields[:-1]).add("n_pieces", LongType()).add("best_score", DoubleType())
-    return ready.mapInArrow(lambda b: _counted(b, path, keep), schema)
+    """_row (a struct of ``keep``, by default all columns), n_pieces and best_score of
+    each whole text."""
+    ready = docs.select(row_of(docs, keep), F.col("text").cast("string").alias("_text"))
+    schema = StructType([ready.schema["_row"]]).add("n_pieces", LongType()).add("best_score", DoubleType())
+    return ready.mapInArrow(lambda b: _counted(b, path), schema)
 
 
 def vocabulary_path() -> str:
@@ -135,4 +135,4 @@ def vocabulary_path() -> str:
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return count_pieces(docs, vocabulary_path(), keep=["doc_id"])
+    return count_pieces(docs, vocabulary_path(), keep=["doc_id"]).select("_row.doc_id", "n_pieces", "best_score")
