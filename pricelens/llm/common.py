@@ -46,7 +46,7 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers["up"]) < n:
-        m = max(n, 1 << 21)
+        m = max(n, (1 << 20) + (1 << 17))
         for k, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             p = np.full(m, base, _U)
             p[0] = 1

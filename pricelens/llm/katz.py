@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import REPLY, SENT, Words, arrow_table, in_fold, mix, packed, partitions, sent, slices, text_buffer, unpacked, written
 
 K = 5
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 END, START = np.uint64(0xE4D0FF1CE0000001), np.uint64(0x57A27000000000FF)
 _LEFT, _RIGHT = np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F)
 CHUNK = "chunk long, ids binary, known_ids binary, train binary, first binary, tokens binary, vocabulary binary"

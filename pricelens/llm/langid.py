@@ -181,7 +181,7 @@ def _judged(batches: Iterator[pa.RecordBatch], model: Model, spans: bool) -> Ite
     langs = np.array([*model.langs, "und"], object)
     for batch in batches:
         buf, off = text_buffer(batch.column("_text"))
-        for i, j in slices(off, 1 << 23):  # Viterbi runs over many texts at once
+        for i, j in slices(off, 1 << 22):  # Viterbi runs over many texts at once
             base, parts = off[i], []
             for a, b in slices(off[i : j + 1]):
                 x = Letters(buf[off[i + a] : off[i + b]], off[i + a : i + b + 1] - off[i + a])

@@ -58,11 +58,10 @@ class ByteBpe:
         import base64
 
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.whole = Tokenizer.from_file(path)
+        self.path, self._tokenizer = path, None
         self.bpe = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
@@ -73,6 +72,13 @@ class ByteBpe:
         self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, place in off
         self.ids, self.off = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def _whole(self, text: str) -> np.ndarray:
+        """By the tokenizer itself, which is only loaded if a text needs it."""
+        from tokenizers import Tokenizer
+
+        self._tokenizer = self._tokenizer or Tokenizer.from_file(self.path)
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def _ids(self, text: str) -> np.ndarray:
         return self.bpe.encode_to_numpy(text).astype(np.uint32)
 
@@ -144,7 +150,7 @@ class ByteBpe:
         for k in range(len(off) - 1):
             if odd[k]:
                 raw = buf[off[k] : off[k + 1]].tobytes()
-                ids = np.array(self.whole.encode(raw.decode(), add_special_tokens=False).ids, np.uint32) if _SPECIAL in raw else self._ids(raw.decode())
+                ids = self._whole(raw.decode()) if _SPECIAL in raw else self._ids(raw.decode())
                 lengths[k] = len(ids)
                 parts.append(ids)
             else:
@@ -158,7 +164,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], files: tuple[str, str, str], capa
     for batch in batches:
         buf, off = text_buffer(batch.column("text"))
         names = batch.column("doc_id").to_pylist()
-        for i, j in slices(off, 1 << 22):
+        for i, j in slices(off):
             rows: list[tuple] = []
             ids, at = bpe.encode(buf[off[i] : off[j]], off[i : j + 1] - off[i])
             for k in range(j - i):

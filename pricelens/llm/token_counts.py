@@ -114,7 +114,7 @@ def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     counter = UnigramCounter.from_sentencepiece(path)
     for batch in batches:
         buf, off = text_buffer(batch.column("_text"))
-        got = [counter.slice_counts(buf[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in slices(off, 1 << 22)]
+        got = [counter.slice_counts(buf[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in slices(off)]
         counts, scores = (np.concatenate([np.zeros(0, kind), *(g[k] for g in got)]) for k, kind in enumerate((np.int64, np.float64)))
         yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(counts), pa.array(scores)], names=["_row", "n_pieces", "best_score"])
 
