@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm import jaccard_join, langid, mixing, packing, quality_fm
-from pricelens.llm.common import row_of, written
+from pricelens.llm.common import cut, row_of, sized_join, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +39,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = jaccard_join.jaccard_components(docs)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.select(row_of(docs), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    kept = rows.join(first, F.col("_id") == F.col("_keep"), "left").where("_keep is not null or _id is null")
-    # one row of those that share a doc_id; rows without one are each their own
-    own = F.coalesce(F.col("_id").cast("string"), F.concat(F.lit("null "), F.monotonically_increasing_id().cast("string")))
-    order = Window.partitionBy("_own").orderBy("_hash")
-    return kept.withColumn("_own", own).withColumn("_place", F.row_number().over(order)).where("_place = 1").select("_row.*")
+    first = cut(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_times")))
+    rows = docs.select(row_of(docs), F.col("doc_id").alias("_id"))
+    kept = sized_join(rows, first, "_id", "left")
+    single = kept.where("_times = 1 or _id is null").select("_row.*")
+    # only rows that share a doc_id are gathered: one of them stays
+    order = Window.partitionBy("_id").orderBy(F.xxhash64("_row.text"))
+    many = kept.where("_times > 1").withColumn("_place", F.row_number().over(order))
+    return single.union(many.where("_place = 1").select("_row.*"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
