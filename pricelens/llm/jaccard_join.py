@@ -18,7 +18,7 @@ d(x, y) = 1 - |x & y| / |x | y| is a metric; two sets link when d <= 1 - thresho
    the link distance.  Sets within the link distance of a pivot are linked to it, so
    only pairs with a set outside the region's largest component are left; up to
    ``leaf`` such outsiders are joined with the region's blocks at once.  Parts that a
-   partition doesn't make smaller are joined in blocks of ``leaf`` by ``leaf`` sets.
+   partition doesn't make smaller are joined, those at home with all, in blocks of ``leaf``.
    Pairs already connected, or that a pivot's distances rule out, are passed over.
 
 Shingles are compared by 64-bit hashes: a pair of sets of a thousand shingles is
@@ -250,7 +250,7 @@ def region_links(rows: DataFrame, threshold=THRESHOLD, leaf: int = LEAF, pivots:
         state = cut(share.where("size > most"))
         measured = cut(sized_join(measured, state, "region").withColumn("outside", F.col("component") != F.col("main")))
         few = F.col("size") - F.col("most") <= leaf
-        found = found.union(_against_outsiders(measured.where(few), threshold, leaf))
+        found = found.union(_against(measured.where(few).withColumn("outsiders", F.col("size") - F.col("most")), "outside", "outsiders", threshold, leaf))
         # Voronoi parts with windows
         wide = 2 * (1 - threshold[0] / threshold[1]) + 1e-9
         nearest = F.array_min("far")
@@ -258,31 +258,22 @@ def region_links(rows: DataFrame, threshold=THRESHOLD, leaf: int = LEAF, pivots:
         parts = parts.select("*", F.posexplode("far").alias("part", "d")).where(F.col("d") <= F.col("nearest") + wide)
         parts = parts.select("doc", "shingles", "far", "component", F.col("size").alias("whole"), F.concat_ws(".", "region", "part").alias("region"),
                              (F.col("outside") & (F.col("part") == F.col("home_part"))).alias("home"))
-        state = parts.groupBy("region").agg(F.count("*").alias("size"), F.max("home").alias("any"), F.max("whole").alias("whole"))
-        state = cut(state.where("any").select("region", "size", ((F.col("size") > leaf) & ((F.col("size") > 0.8 * F.col("whole")) | F.lit(depth >= deepest))).alias("stuck")))
+        state = parts.groupBy("region").agg(F.count("*").alias("size"), F.sum(F.col("home").cast("int")).alias("homes"), F.max("whole").alias("whole"))
+        state = cut(state.where("homes > 0").select("region", "size", "homes", ((F.col("size") > leaf) & ((F.col("size") > 0.8 * F.col("whole")) | F.lit(depth >= deepest))).alias("stuck")))
         parts = cut(sized_join(parts.drop("whole"), state, "region"))
-        found = found.union(_blocked(parts.where("stuck"), threshold, leaf))
+        found = found.union(_against(parts.where("stuck"), "home", "homes", threshold, leaf))
         rows = parts.where("not stuck").select("region", "doc", "shingles", "home")
 
 
-def _against_outsiders(rows: DataFrame, threshold, leaf: int) -> DataFrame:
-    """Regions of at most ``leaf`` outsiders: each block of a region's sets with all of them."""
-    blocks = F.ceil(F.col("size") / leaf).cast("int")
-    columns = ["region", "block", "side", "doc", "shingles", "home", "far", "component"]
-    own = rows.withColumn("block", F.pmod(F.xxhash64("doc", F.lit(7)), blocks).cast("int")).withColumn("side", F.lit(0))
-    out = rows.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(1))
-    return own.select(columns).union(out.select(columns)).groupBy("region", "block").applyInPandas(_block_links(threshold), EDGES)
-
-
-def _blocked(parts: DataFrame, threshold, leaf: int) -> DataFrame:
-    """Parts joined block by block; a block pair is a group of at most about 2 leaf sets."""
-    n = F.ceil(F.col("size") / leaf).cast("int")
-    own = F.pmod(F.xxhash64("doc", F.lit(7)), n).cast("int")
-    rows = parts.withColumns({"n": n, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    rows = rows.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
-    twice = F.when(F.col("own") == F.col("other"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.when(F.col("own") < F.col("other"), 0).otherwise(1)))
-    rows = rows.withColumn("side", F.explode(twice))
-    return rows.select("region", "lo", "hi", "side", "doc", "shingles", "home", "far", "component").groupBy("region", "lo", "hi").applyInPandas(_block_links(threshold), EDGES)
+def _against(rows: DataFrame, few: str, count: str, threshold, leaf: int) -> DataFrame:
+    """The sets of each region that are marked by ``few`` (``count`` of them) with all
+    of the region's: every block of at most about ``leaf`` of the one with every such
+    block of the other."""
+    n, m = (F.ceil(F.col(c) / leaf).cast("int") for c in ("size", count))
+    columns = ["region", "block", "few_block", "side", "doc", "shingles", "home", "far", "component"]
+    every = rows.withColumns({"block": F.pmod(F.xxhash64("doc", F.lit(7)), n).cast("int"), "side": F.lit(0)}).withColumn("few_block", F.explode(F.sequence(F.lit(0), m - 1)))
+    marked = rows.where(few).withColumns({"few_block": F.pmod(F.xxhash64("doc", F.lit(8)), m).cast("int"), "side": F.lit(1)}).withColumn("block", F.explode(F.sequence(F.lit(0), n - 1)))
+    return every.select(columns).union(marked.select(columns)).groupBy("region", "block", "few_block").applyInPandas(_block_links(threshold), EDGES)
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD, leaf: int = LEAF) -> DataFrame:
