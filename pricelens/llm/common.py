@@ -9,13 +9,16 @@ position, finalised), so unrelated words collide with probability 2**-64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pricelens.session import ensure_checkpoint_dir, scratch_path
 
@@ -106,6 +109,27 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return buf[off[0] : off[-1]], off - off[0]
 
 
+def row_texts(batch: pa.RecordBatch):
+    """The texts of a batch made from ``rows_and_texts``."""
+    if "_text" in batch.schema.names:
+        return batch.column("_text")
+    rows = batch.column("_row")
+    return pc.struct_field(rows, [rows.type.get_field_index("text")])
+
+
+def lean(work: Callable, *args) -> Callable:
+    """``work`` (batches, *args) for mapInArrow.  Python workers outlive their tasks,
+    so what the allocators keep is handed back to the machine at a task's end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches, *args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+    return run
+
+
 def slices(off: np.ndarray, target: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``target`` bytes together, one text at least: numpy
     works on pieces that fit the processor's cache, and memory stays bounded."""
@@ -211,6 +235,13 @@ def row_of(df: DataFrame, keep: list[str] | None = None) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)]).alias("_row")
 
 
+def rows_and_texts(docs: DataFrame, keep: list[str] | None, *more: Column) -> DataFrame:
+    """``_row`` of ``docs``, ``more`` columns, and ``_text`` unless the row holds the
+    text as a string already: texts go to Python once."""
+    held = "text" in (docs.columns if keep is None else keep) and docs.schema["text"].dataType == StringType()
+    return docs.select(row_of(docs, keep), *([] if held else [F.col("text").cast("string").alias("_text")]), *more)
+
+
 def word_count(text: Column | str) -> Column:
     """Number of words of a text (0 for null), on the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")

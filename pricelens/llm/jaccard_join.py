@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binaries, components, cut, partitions, ragged, shingle_sets, sized_join, word_slices, written
+from .common import binaries, components, cut, lean, partitions, ragged, shingle_sets, sized_join, word_slices, written
 
 THRESHOLD = (75, 100)
 SHINGLE = 5
@@ -280,7 +280,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = written(docs.mapInArrow(lambda b: _signatures(b, size, threshold), "doc_id long, n long, sig binary, head array<long>"), "signatures")
+    signed = written(docs.mapInArrow(lean(_signatures, size, threshold), "doc_id long, n long, sig binary, head array<long>"), "signatures")
     sig64 = F.conv(F.hex(F.substring("sig", 1, 7)), 16, 10).cast("long").alias("sig64")
     sets = signed.where("doc_id is not null and n > 0")
     node = cut(sets.groupBy("sig").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")).withColumn("sig64", sig64))
@@ -288,7 +288,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD
     # step 2: shingles of the heads that two sets or more hold
     heads = sets.select(F.explode("head").alias("token"), sig64)
     heads = heads.repartitionByRange(partitions(spark), "token", "sig64").sortWithinPartitions("token", "sig64")
-    shared = written(heads.mapInArrow(_shared, "token long, sig64 long"), "shared")
+    shared = written(heads.mapInArrow(lean(_shared), "token long, sig64 long"), "shared")
     df = shared.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     held = shared.join(df, "token").groupBy("sig64").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
     # shingles that no other set holds come first in the order; of the others, a set
@@ -304,7 +304,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD
     follow = cut(follow)
     members = cut(follow.select("doc").distinct().join(node.select("doc", "sig"), "doc"))
     texts = sized_join(docs.withColumnRenamed("doc_id", "doc"), members, "doc")
-    shingles = written(texts.select("doc", "sig", "text").mapInArrow(lambda b: _sets(b, size), "doc long, shingles binary"), "sets").dropDuplicates(["doc"])
+    shingles = written(texts.select("doc", "sig", "text").mapInArrow(lean(_sets, size), "doc long, shingles binary"), "sets").dropDuplicates(["doc"])
     regions = written(follow.join(shingles, "doc").select(F.col("pivot").cast("string").alias("region"), "doc", "shingles"), "regions")
 
     links = region_links(regions, threshold, leaf)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
-from .common import in_fold, row_of, slices, text_buffer
+from .common import in_fold, lean, row_of, row_texts, rows_and_texts, slices, text_buffer
 
 SWITCH = 10.0
 SMOOTH = 0.5
@@ -117,7 +117,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame) -> Model | None:
     """``docs``: text and lang of the rows to learn from."""
     rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).where("text is not null and lang is not null")
-    got = rows.mapInArrow(_counted, "lang string, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
+    got = rows.mapInArrow(lean(_counted), "lang string, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
     if not len(got):
         return None
     langs = sorted(got["lang"].unique())
@@ -180,7 +180,7 @@ def _word_scores(x: Letters, model: Model) -> tuple[np.ndarray, np.ndarray]:
 def _judged(batches: Iterator[pa.RecordBatch], model: Model, spans: bool) -> Iterator[pa.RecordBatch]:
     langs = np.array([*model.langs, "und"], object)
     for batch in batches:
-        buf, off = text_buffer(batch.column("_text"))
+        buf, off = text_buffer(row_texts(batch))
         for i, j in slices(off, 1 << 22):  # Viterbi runs over many texts at once
             base, parts = off[i], []
             for a, b in slices(off[i : j + 1]):
@@ -228,11 +228,11 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None,
     if model is None:
         more = [F.array().cast(span).alias("spans")] if spans else []
         return docs.select(row_of(docs, keep), F.lit("und").alias("_lang_pred"), F.lit(0.0).alias("_score"), *more)
-    ready = docs.select(row_of(docs, keep), F.col("text").cast("string").alias("_text"))
+    ready = rows_and_texts(docs, keep)
     schema = StructType([ready.schema["_row"]]).add("_lang_pred", StringType()).add("_score", DoubleType())
     if spans:
         schema = schema.add("spans", span)
-    return ready.mapInArrow(lambda b: _judged(b, model, spans), schema)
+    return ready.mapInArrow(lean(_judged, model, spans), schema)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

@@ -28,11 +28,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .common import Words, in_fold, mix, row_of, word_slices
+from .common import Words, in_fold, lean, mix, row_of, row_texts, rows_and_texts, word_slices
 
 BUCKETS = 1 << 13
 FACTORS = 4
@@ -118,13 +118,13 @@ def structure(words: Words, n_chars: np.ndarray) -> np.ndarray:
 def _features(batch: pa.RecordBatch, buckets: int):
     """Slices of a batch: (first row, row after, words' features, statistics)."""
     declared = batch.column("_n_chars").to_numpy(zero_copy_only=False).astype(float)
-    for i, j, words in word_slices(batch.column("_text")):
+    for i, j, words in word_slices(row_texts(batch)):
         yield i, j, word_features(words, buckets), structure(words, declared[i:j])
 
 
-def _inputs(docs: DataFrame) -> list:
+def _declared(docs: DataFrame) -> Column:
     n_chars = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
-    return [F.col("text").cast("string").alias("_text"), n_chars.alias("_n_chars")]
+    return n_chars.alias("_n_chars")
 
 
 def _collected(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -142,8 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, buckets: i
     """``labels``: doc_id, label 0 or 1; the rows to learn from."""
     chosen = labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("label").cast("int").alias("_label"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)  # the documented bound; so it can be broadcast
-    rows = docs.select(F.col("doc_id").alias("_id"), *_inputs(docs)).join(F.broadcast(chosen), "_id").select("_id", "_label", "_text", "_n_chars")
-    got = rows.mapInArrow(lambda b: _collected(b, buckets), "_id long, _label int, col binary, val binary, stats binary").toPandas()
+    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text"), _declared(docs)).join(F.broadcast(chosen), "_id").select("_id", "_label", "_text", "_n_chars")
+    got = rows.mapInArrow(lean(_collected, buckets), "_id long, _label int, col binary, val binary, stats binary").toPandas()
     if not len(got):
         return None
     got = got.sort_values(["_id", "col", "val", "stats"]).reset_index(drop=True)
@@ -197,9 +197,9 @@ def score(docs: DataFrame, model: Model | None, buckets: int = BUCKETS, keep: li
     """_row (a struct of ``keep``, by default all columns) and _score."""
     if model is None:
         return docs.select(row_of(docs, keep), F.lit(1.0).alias("_score"))
-    ready = docs.select(row_of(docs, keep), *_inputs(docs))
+    ready = rows_and_texts(docs, keep, _declared(docs))
     schema = StructType([ready.schema["_row"]]).add("_score", DoubleType())
-    return ready.mapInArrow(lambda b: _scored(b, model, buckets), schema)
+    return ready.mapInArrow(lean(_scored, model, buckets), schema)
 
 
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
