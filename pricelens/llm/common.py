@@ -25,6 +25,9 @@ from pricelens.session import ensure_checkpoint_dir, scratch_path
 WORD_RE = r"[^\x20\x09-\x0D]+"
 #: Rows that a side of a join may have at most to be broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of texts that go to Python at a time.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _U = np.uint64
 
@@ -229,6 +232,16 @@ def arrow_table(rows: list[tuple], spec: str) -> pa.Table:
 
 # ------------------------------------------------------------------ Spark side
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, in a session whose Arrow batches hold about ``BATCH_BYTES`` unless it
+    sets a size itself.  Spark builds a batch in buffers that double as they grow, on
+    both sides of the pipe and once per task, so a partition's texts are not sent at once."""
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return docs
+
+
 def row_of(df: DataFrame, keep: list[str] | None = None) -> Column:
     """``keep`` (all columns by default) as one struct column ``_row``: whatever their
     names, they can't clash with an operator's own columns beside it."""
@@ -239,7 +252,7 @@ def rows_and_texts(docs: DataFrame, keep: list[str] | None, *more: Column) -> Da
     """``_row`` of ``docs``, ``more`` columns, and ``_text`` unless the row holds the
     text as a string already: texts go to Python once."""
     held = "text" in (docs.columns if keep is None else keep) and docs.schema["text"].dataType == StringType()
-    return docs.select(row_of(docs, keep), *([] if held else [F.col("text").cast("string").alias("_text")]), *more)
+    return small_batches(docs).select(row_of(docs, keep), *([] if held else [F.col("text").cast("string").alias("_text")]), *more)
 
 
 def word_count(text: Column | str) -> Column:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binaries, components, cut, lean, partitions, ragged, shingle_sets, sized_join, word_slices, written
+from .common import binaries, components, cut, lean, partitions, ragged, shingle_sets, sized_join, small_batches, word_slices, written
 
 THRESHOLD = (75, 100)
 SHINGLE = 5
@@ -279,7 +279,7 @@ def _against(rows: DataFrame, few: str, count: str, threshold, leaf: int) -> Dat
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD, leaf: int = LEAF) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = written(docs.mapInArrow(lean(_signatures, size, threshold), "doc_id long, n long, sig binary, head array<long>"), "signatures")
     sig64 = F.conv(F.hex(F.substring("sig", 1, 7)), 16, 10).cast("long").alias("sig64")
     sets = signed.where("doc_id is not null and n > 0")

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import REPLY, SENT, Words, arrow_table, in_fold, mix, packed, partitions, sent, slices, text_buffer, unpacked, written
+from .common import REPLY, SENT, Words, arrow_table, in_fold, mix, packed, partitions, sent, slices, small_batches, text_buffer, unpacked, written
 
 K = 5
 CHUNK_TOKENS = 1 << 20
@@ -282,7 +282,7 @@ def katz_scores(docs: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """``docs``: doc_id, text, train (boolean).  One row per row: doc_id, n_tokens,
     n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce("train", F.lit(True)).alias("train"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce("train", F.lit(True)).alias("train"))
     chunks = written(rows.mapInArrow(lambda b: _chunked(b, chunk_tokens), CHUNK), "chunks")
     buckets = max(chunks.count(), partitions(spark))
     replies = [written(chunks.mapInArrow(_sender(buckets, order), SENT).groupBy("bucket").applyInArrow(_add_up, REPLY), f"counts{order}") for order in (1, 2)]

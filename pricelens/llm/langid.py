@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
-from .common import in_fold, lean, row_of, row_texts, rows_and_texts, slices, text_buffer
+from .common import in_fold, lean, row_of, row_texts, rows_and_texts, slices, small_batches, text_buffer
 
 SWITCH = 10.0
 SMOOTH = 0.5
@@ -116,7 +116,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame) -> Model | None:
     """``docs``: text and lang of the rows to learn from."""
-    rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).where("text is not null and lang is not null")
+    rows = small_batches(docs).select(F.col("text").cast("string"), F.col("lang").cast("string")).where("text is not null and lang is not null")
     got = rows.mapInArrow(lean(_counted), "lang string, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
     if not len(got):
         return None

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunk_hashes, cut, lean, partitions, slices, text_buffer, written
+from .common import chunk_hashes, cut, lean, partitions, slices, small_batches, text_buffer, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -188,7 +188,7 @@ def tokenizer_files() -> tuple[str, str, str]:
 
 def token_pieces(docs: DataFrame, files: tuple[str, str, str] | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     files = files or tokenizer_files()
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(_pieces, files, capacity, end_id), PIECES)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(_pieces, files, capacity, end_id), PIECES)
 
 
 def _best_pair(left: np.ndarray, gap: int, more_than: int) -> tuple[int, int] | None:

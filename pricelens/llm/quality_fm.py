@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .common import Words, in_fold, lean, mix, row_of, row_texts, rows_and_texts, word_slices
+from .common import Words, in_fold, lean, mix, row_of, row_texts, rows_and_texts, small_batches, word_slices
 
 BUCKETS = 1 << 13
 FACTORS = 4
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, buckets: i
     """``labels``: doc_id, label 0 or 1; the rows to learn from."""
     chosen = labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("label").cast("int").alias("_label"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)  # the documented bound; so it can be broadcast
-    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text"), _declared(docs)).join(F.broadcast(chosen), "_id").select("_id", "_label", "_text", "_n_chars")
+    rows = small_batches(docs).select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text"), _declared(docs)).join(F.broadcast(chosen), "_id").select("_id", "_label", "_text", "_n_chars")
     got = rows.mapInArrow(lean(_collected, buckets), "_id long, _label int, col binary, val binary, stats binary").toPandas()
     if not len(got):
         return None
