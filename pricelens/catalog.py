@@ -167,6 +167,13 @@ def one_hot_encoding(spark, sf):
     return FE.OneHotEncoder(["ZONE", "MC"]).fit(t).transform(t)
 
 
+@q("one_hot_nominals")
+def one_hot_nominals(spark, sf):
+    """P12 over all four nominals (the SQL of one_hot_encoding has two of them)."""
+    t = clean_table(spark, sf)
+    return FE.OneHotEncoder(NOMINAL).fit(t).transform(t)
+
+
 def _rare_case(col):
     return (f'CASE WHEN (SELECT count(DISTINCT "{col}") FROM clean) <= 10 '
             f'OR "{col}" IN (SELECT "{col}" FROM clean GROUP BY 1 '
@@ -861,7 +868,7 @@ def tree_importance(spark, sf):
     """V3: extra-trees-style forest importances, top 3 selected."""
     from .operators import selection as SE
     t = clean_table(spark, sf)
-    sc = SE.tree_importances(t, FEATS7, "SP", trees=20)
+    sc = SE.tree_importances(t, FEATS7, "SP")
     return _score_table(spark, sc, set(SE._top(sc, 3, FEATS7)))
 
 
@@ -958,40 +965,33 @@ def _trial_frame(spark, trials):
 
 @q("hyperparameter_search")
 def hyperparameter_search(spark, sf):
-    """Seeded random search (2 trials, 2 inner folds) minimising CV RMSE."""
+    """Seeded random search (20 trials, 3 inner folds) minimising CV RMSE."""
     from .plans import pipeline as PL
     t = _training(spark, sf).where(F.col("fold") != 0)
-    trials = PL.tune(t, "DecisionTreeRegressor", n_trials=2, spec=TEST_SALES, inner_folds=2, rare_tol=RARE_TOL)
+    trials = PL.tune(t, "DecisionTreeRegressor", spec=TEST_SALES, rare_tol=RARE_TOL)
     return _trial_frame(spark, trials)
 
 
 @q("nested_cv_leaderboard")
 def nested_cv_leaderboard(spark, sf):
-    """T3 + T4 + T5 + A18 + A19: nested CV (2 outer folds, 1 trial, 2 inner
-    folds) for two families; leaderboard of fold averages and the best model
+    """T3 + T4 + T5 + A18 + A19: nested CV (5 outer folds, 20 trials, 3 inner
+    folds) of all 13 families; leaderboard of fold averages and the best model
     per test metric."""
-    from .plans import baselines as BL2
     from .plans import pipeline as PL
-    t = _training(spark, sf)
-    rows = []
-    for fam in ("DecisionTreeRegressor", "LinearSVR"):
-        fr, _ = PL.nested_cv(t, fam, 1, TEST_SALES, inner=2, rare_tol=RARE_TOL, folds=[0, 1])
-        rows += fr
-    board = PL.leaderboard(spark, rows)
-    best = BL2.best_per_metric(board, "model", ["avg_test_rmse", "avg_test_mae", "avg_test_median_ae"])
+    _, _, best = PL.select_model(spark, _training(spark, sf), spec=TEST_SALES, rare_tol=RARE_TOL)
     return best
 
 
 @q("final_model_scoring")
 def final_model_scoring(spark, sf):
-    """T6 + Q1: tune on all rows (1 trial), refit, save, load the saved
+    """T6 + Q1: tune on all rows (20 trials, 3 inner folds), refit, save, load the saved
     pipeline and score every row (prediction rounded to 2 places)."""
     from .plans import pipeline as PL
     from .plans import score as SC
     from .session import scratch_path
     t = _training(spark, sf)
     path = scratch_path(spark, "final-model")
-    PL.final_model(t, "DecisionTreeRegressor", 1, TEST_SALES, inner=2, rare_tol=RARE_TOL, path=path)
+    PL.final_model(t, "DecisionTreeRegressor", spec=TEST_SALES, rare_tol=RARE_TOL, path=path)
     loaded = PL.load_pipeline_model(spark, path)
     req = t.drop("Gross Sales", "Fdate_quarter")
     return SC.score(loaded, req).select("row_id", "SP", "predicted_price")
@@ -999,12 +999,13 @@ def final_model_scoring(spark, sf):
 
 @q("learning_curve")
 def learning_curve(spark, sf):
-    """Train / test RMSE for nested training fractions over outer folds."""
+    """Train / test RMSE for 10 nested training fractions over the 5 outer folds."""
     from .plans import diagnose as DG
     from .plans import pipeline as PL
     t = _training(spark, sf)
     ch = _default_choice("DecisionTreeRegressor")
-    rows = DG.learning_curve(t, lambda tr: PL.refit(tr, ch, TEST_SALES, RARE_TOL), [0.3, 1.0], folds=[0, 1])
+    sizes = [0.3 + i * 0.7 / 9 for i in range(10)]
+    rows = DG.learning_curve(t, lambda tr: PL.refit(tr, ch, TEST_SALES, RARE_TOL), sizes)
     return spark.createDataFrame(rows, "size double, fold int, train_rmse double, test_rmse double")
 
 
@@ -1014,7 +1015,7 @@ def _forest_shap(spark, sf):
     from .plans import explain as EX
     t = clean_table(spark, sf)
     d = VectorAssembler(inputCols=FEATS7, outputCol="features").transform(t)
-    model = RandomForestRegressor(labelCol="SP", numTrees=10, maxDepth=6, seed=120).fit(d)
+    model = RandomForestRegressor(labelCol="SP", numTrees=50, maxDepth=10, seed=120).fit(d)
     scored = model.transform(d)
     shap = EX.tree_shap(scored, EX.model_trees(spark, model), keep=["SP", "prediction"] + FEATS7)
     return shap
@@ -1051,7 +1052,7 @@ def adaboost_stage_shap(spark, sf):
     from .plans.models import AdaBoostR2
     t = clean_table(spark, sf)
     d = VectorAssembler(inputCols=FEATS7, outputCol="features").transform(t)
-    ada = AdaBoostR2(0.5, "linear", n_estimators=5, labelCol="SP").fit(d)
+    ada = AdaBoostR2(0.5, "linear", labelCol="SP").fit(d)
     s = EX.tree_shap(d, EX.stage_average_trees(ada), keep=["SP"])
     return s.select("SP", "base", *[s["phi"][i].alias(f"phi_{i}") for i in range(len(FEATS7))])
 

@@ -538,21 +538,18 @@ class CyclicalModel(FittedStage):
 
 class OneHotEncoder(Stage):
     """One 0/1 column ``<col>_<category>`` per category seen in fit (no
-    drop-last); unseen -> all zeros; originals dropped.  Wide columns are only
-    sensible for bounded categories (after F4); ``max_categories`` guards it
-    (use ``pyspark.ml.feature.OneHotEncoder`` for sparse vectors beyond)."""
+    drop-last, no limit); unseen -> all zeros; originals dropped.  The categories
+    are the names of the result's columns, so the driver holds them; with very
+    many, group the rare ones first (F4)."""
 
-    def __init__(self, columns, max_categories: int = 1000):
+    def __init__(self, columns):
         super().__init__()
-        self.columns, self.max_categories = list(columns), max_categories
+        self.columns = list(columns)
 
     def _fit(self, df):
         pairs = [F.struct(F.lit(col).alias("column"), c(col).cast("string").alias("value")) for col in self.columns]
-        d = (df.select(F.explode(F.array(*pairs)).alias("kv")).select("kv.column", "kv.value")
-             .where(F.col("value").isNotNull()).distinct())
-        rows = d.limit(self.max_categories * len(self.columns) + 1).collect()
-        if len(rows) > self.max_categories * len(self.columns):
-            raise ValueError("too many categories for wide one-hot columns; group rare labels first")
+        rows = (df.select(F.explode(F.array(*pairs)).alias("kv")).select("kv.column", "kv.value")
+                .where(F.col("value").isNotNull()).distinct().collect())
         cats = {col: [] for col in self.columns}
         for r in rows:
             cats[r["column"]].append(r["value"])
