@@ -3,7 +3,8 @@
 d(x, y) = 1 - |x & y| / |x | y| is a metric; two sets link when d <= 1 - threshold.
 
 1. Sets.  Rows with equal sets (a 128-bit digest of the sorted shingle hashes) are
-   one node, so copies are never compared with one another.
+   one node with a number of its own, so copies are never compared with one another;
+   doc_ids only name the components.
 2. Isolated sets leave.  Linked sets share at least l shingles among the first
    n - ceil(t n) + l of each in hash order (l is about a tenth of n).  A set of whose
    first shingles fewer than that occur in any other set has no link.
@@ -114,8 +115,7 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         for i, j, words in word_slices(batch.column("text")):
             h, off = shingle_sets(words, size)
             sig = [hashlib.blake2b(h[a:b], digest_size=16).digest() for a, b in zip(off, off[1:])]
-            same = pa.array([a == b for a, b in zip(sig, batch.column("sig").slice(i, j - i).to_pylist())])
-            yield pa.RecordBatch.from_arrays([batch.column("doc").slice(i, j - i), binaries(h, off)], names=["doc", "shingles"]).filter(same)
+            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), binaries(h, off)], names=["sig", "shingles"])
 
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray], step: int = 4096) -> np.ndarray:
@@ -283,7 +283,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD
     signed = written(docs.mapInArrow(lean(_signatures, size, threshold), "doc_id long, n long, sig binary, head array<long>"), "signatures")
     sig64 = F.conv(F.hex(F.substring("sig", 1, 7)), 16, 10).cast("long").alias("sig64")
     sets = signed.where("doc_id is not null and n > 0")
-    node = cut(sets.groupBy("sig").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")).withColumn("sig64", sig64))
+    node = _numbered(cut(sets.groupBy("sig").agg(F.min("doc_id").alias("name"), F.first("n").alias("n")).withColumn("sig64", sig64)))
 
     # step 2: shingles of the heads that two sets or more hold
     heads = sets.select(F.explode("head").alias("token"), sig64)
@@ -302,23 +302,43 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD
     lead = tokens.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("doc").alias("o"), "doc")).alias("p")).where("k > 1")
     follow = tokens.join(lead.select("token", F.col("p.doc").alias("pivot")), "token").select("pivot", "doc").distinct()
     follow = cut(follow)
-    members = cut(follow.select("doc").distinct().join(node.select("doc", "sig"), "doc"))
-    texts = sized_join(docs.withColumnRenamed("doc_id", "doc"), members, "doc")
-    shingles = written(texts.select("doc", "sig", "text").mapInArrow(lean(_sets, size), "doc long, shingles binary"), "sets").dropDuplicates(["doc"])
-    regions = written(follow.join(shingles, "doc").select(F.col("pivot").cast("string").alias("region"), "doc", "shingles"), "regions")
+    members = cut(follow.select("doc").distinct().join(node.select("doc", "name", "sig"), "doc"))
+    texts = sized_join(docs.withColumnRenamed("doc_id", "name"), cut(members.select("name").distinct()), "name")
+    shingles = written(texts.select("text").mapInArrow(lean(_sets, size), "sig binary, shingles binary"), "sets").dropDuplicates(["sig"])
+    follow = follow.join(members.select("doc", "sig"), "doc")
+    regions = written(follow.join(shingles, "sig").select(F.col("pivot").cast("string").alias("region"), "doc", "shingles"), "regions")
 
     links = region_links(regions, threshold, leaf)
     same = components(cut(links.union(_repeated(signed, node))))
-    label = same.withColumnRenamed("node", "doc")
-    named = node.join(label, "doc", "left").select("sig", F.coalesce("component", "doc").alias("component"))
+    # a component's name is the smallest of its sets' names
+    label = cut(same.withColumnRenamed("node", "doc").join(node.select("doc", "name"), "doc"))
+    lowest = cut(label.groupBy("component").agg(F.min("name").alias("lowest")))
+    label = sized_join(label.select("doc", "component"), lowest, "component").select("doc", "lowest")
+    named = node.join(label, "doc", "left").select("sig", F.coalesce("lowest", "name").alias("component"))
     out = signed.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("sig")).alias("sig"))
     return out.join(named, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _numbered(node: DataFrame) -> DataFrame:
+    """Sets (sig, name, ...) with their numbers ``doc``: the name, or for the later ones
+    of several sets of one name a hash of the digest that no other set has."""
+    twice = cut(node.groupBy("name").agg(F.count("*").alias("k"), F.min("sig").alias("first")).where("k > 1").select("name", "first"))
+    if twice.isEmpty():
+        return node.withColumn("doc", F.col("name"))
+    later = cut(sized_join(node, twice, "name").where("sig <> first").select("sig"))
+    for salt in count():
+        other = cut(later.withColumn("other", F.xxhash64("sig", F.lit(salt))))
+        taken = other.join(node.select(F.col("name").alias("other")), "other")
+        if taken.isEmpty() and other.groupBy("other").count().where("count > 1").isEmpty():
+            return cut(node.join(other, "sig", "left").withColumn("doc", F.coalesce("other", "name")).drop("other"))
+
+
 def _repeated(signed: DataFrame, node: DataFrame) -> DataFrame:
     """Links between the sets that one doc_id has, where rows repeat it."""
     many = signed.where("doc_id is not null and n > 0").groupBy("doc_id").agg(F.collect_set("sig").alias("sigs")).where(F.size("sigs") > 1)
-    return many.select("doc_id", F.explode("sigs").alias("sig")).join(node.select("sig", "doc"), "sig").select(F.col("doc").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
+    pairs = many.select(F.explode("sigs").alias("sig"), F.array_min("sigs").alias("hub")).where("sig <> hub")
+    number = node.select("sig", "doc")
+    return pairs.join(number.withColumnRenamed("doc", "a"), "sig").join(number.select(F.col("sig").alias("hub"), F.col("doc").alias("b")), "hub").select("a", "b")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

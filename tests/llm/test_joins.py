@@ -80,6 +80,14 @@ def test_jaccard_odd_rows(odd, none):
     assert jaccard_join.jaccard_components(none).count() == 0
 
 
+def test_jaccard_two_texts_of_one_id(spark):
+    a, b = ([f"{c}{k}" for k in range(80)] for c in "ab")
+    rows = [(5, a), (5, b), (9, a[:-1] + ["x"]), (10, b[:-1] + ["y"]), (-4, [f"c{k}" for k in range(80)]), (11, a)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(docs).collect())
+    assert got == [(-4, -4), (5, 5), (5, 5), (9, 5), (10, 5), (11, 5)]
+
+
 def brute_vectors(rows):
     ok = {i: np.array(v, float) for i, v, g in rows if v is not None and g is not None and len(v) and None not in v and np.isfinite(np.array(v, float)).all() and np.any(np.array(v, float))}
     label = {i: g for i, _, g in rows}
