@@ -12,8 +12,9 @@ a tree:
 2. A node with more than ``fan_out`` different children, or with more than half as
    many as it has urls, is variable: its children become one wildcard.  Levels are
    handled from the root down, each from per-node counts.
-3. Sibling branches whose labelled shares of bad urls don't differ from that of all
-   of them together (two-proportion z below ``z_merge``) are merged into one branch.
+3. Sibling branches below a node, with the same path after them, whose labelled shares
+   of bad urls don't differ from that of the others (two-proportion z below ``z_merge``)
+   are merged into one branch, at every node, from the root down to the deepest path.
 4. A template is rejected (block) if its smoothed purity of bad urls,
    (bad + prior * strength) / (labelled + strength), is at least ``reject``; prior is
    the share of bad urls among all labelled ones.
@@ -41,7 +42,6 @@ FAN_OUT = 64
 Z_MERGE = 2.0
 STRENGTH = 20.0
 REJECT = 0.6
-LEVELS = 6
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -72,15 +72,13 @@ def _segments(path: Column) -> Column:
     return F.transform(parts, lambda s: F.when(code(s), F.concat(F.lit("*"), ending(s))).otherwise(s))
 
 
-def templates(urls: DataFrame, fan_out: int = FAN_OUT, levels: int = LEVELS) -> DataFrame:
+def templates(urls: DataFrame, fan_out: int = FAN_OUT) -> DataFrame:
     """Distinct (host, segments) of ``urls`` (host, path, bad: null, 0 or 1) with their
     template and counts: host, path template, n, labelled, bad.
 
     One row per distinct generalised path; level by level its segment is kept or, if
-    the node above is variable, replaced.  Segments beyond ``levels`` are one wildcard."""
-    seg = F.col("seg")
-    short = F.when(F.size(seg) > levels, F.concat(F.slice(seg, 1, levels), F.array(F.lit("**")))).otherwise(seg)
-    rows = urls.select("host", _segments(F.col("path")).alias("seg"), "bad").select("host", short.alias("seg"), "bad")
+    the node above is variable, replaced, down to the deepest path."""
+    rows = urls.select("host", _segments(F.col("path")).alias("seg"), "bad")
     rows = cut(rows.groupBy("host", "seg").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
     rows = rows.withColumn("node", F.lit(""))
     deepest = rows.agg(F.max(F.size("seg"))).first()[0] or 0
@@ -97,26 +95,35 @@ def templates(urls: DataFrame, fan_out: int = FAN_OUT, levels: int = LEVELS) ->
 
 
 def merged(paths: DataFrame, z_merge: float = Z_MERGE) -> DataFrame:
-    """Branches merged below each node, as a first segment of the template that has
-    siblings: adds ``branch``, the template with that segment replaced by ``{*}`` where
-    its share of bad urls is like that of all the siblings."""
-    head = F.regexp_extract("template", r"^/([^/]*)", 1)
-    tail = F.regexp_replace("template", r"^/[^/]*", "")
-    rows = paths.withColumns({"head": head, "tail": tail})
-    per = rows.groupBy("host", "tail", "head").agg(F.sum("labelled").alias("m"), F.sum("bad").alias("b"))
-    all_ = per.groupBy("host", "tail").agg(F.sum("m").alias("all_m"), F.sum("b").alias("all_b"), F.count("*").alias("siblings"))
-    rest_m, rest_b = F.col("all_m") - F.col("m"), F.col("all_b") - F.col("b")
-    pooled = F.when(F.col("all_m") > 0, F.col("all_b") / F.col("all_m")).otherwise(F.lit(0.0))
-    spread = F.sqrt(pooled * (1 - pooled) * (F.when(F.col("m") > 0, 1 / F.col("m")) + F.when(rest_m > 0, 1 / rest_m)))
-    differs = F.when(F.col("m") > 0, F.abs(F.col("b") / F.col("m") - F.when(rest_m > 0, rest_b / rest_m)) > F.lit(z_merge) * spread)
-    like = per.join(all_, ["host", "tail"]).select("host", "tail", "head", ((F.col("siblings") > 1) & ~F.coalesce(differs, F.lit(False))).alias("like"))
-    rows = rows.join(like, ["host", "tail", "head"])
-    return rows.withColumn("branch", F.when(F.col("like"), F.concat(F.lit("/{*}"), F.col("tail"))).otherwise(F.col("template")))
-
-
-def judged_templates(urls: DataFrame, fan_out: int = FAN_OUT, levels: int = LEVELS, z_merge: float = Z_MERGE, strength: float = STRENGTH, reject: float = REJECT) -> DataFrame:
+    """Branches merged below each node: adds ``branch``, the template with each segment
+    replaced by ``{*}`` that has siblings (below the same, already merged node, with the
+    same path after it) and whose share of bad urls is like that of the siblings."""
+    rows = paths.groupBy("host", "template").agg(F.sum("labelled").alias("m"), F.sum("bad").alias("b"))
+    rows = cut(rows.withColumns({"parts": F.filter(F.split("template", "/"), lambda s: s != ""), "node": F.lit("")}))
+    deepest = rows.agg(F.max(F.size("parts"))).first()[0] or 0
+    keys = ["host", "node", "tail"]
+    for level in range(deepest):
+        here = F.size("parts") > level
+        tail = F.when(here, F.concat_ws("/", F.slice("parts", level + 2, deepest)))
+        rows = rows.withColumns({"head": F.when(here, F.col("parts")[level]), "tail": tail})
+        per = rows.where("head is not null").groupBy(*keys, "head").agg(F.sum("m").alias("own_m"), F.sum("b").alias("own_b"))
+        all_ = per.groupBy(*keys).agg(F.sum("own_m").alias("all_m"), F.sum("own_b").alias("all_b"), F.count("*").alias("siblings")).where("siblings > 1")
+        m, b = F.col("own_m"), F.col("own_b")
+        rest_m, rest_b = F.col("all_m") - m, F.col("all_b") - b
+        pooled = F.when(F.col("all_m") > 0, F.col("all_b") / F.col("all_m")).otherwise(F.lit(0.0))
+        spread = F.sqrt(pooled * (1 - pooled) * (F.when(m > 0, 1 / m) + F.when(rest_m > 0, 1 / rest_m)))
+        differs = F.when(m > 0, F.abs(b / m - F.when(rest_m > 0, rest_b / rest_m)) > F.lit(z_merge) * spread)
+        like = per.join(all_, keys).where(~F.coalesce(differs, F.lit(False))).select(*keys, "head", F.lit(True).alias("like"))
+        rows = rows.join(like, [*keys, "head"], "left")
+        step = F.when(F.col("like"), F.lit("{*}")).otherwise(F.col("head"))
+        node = F.when(F.col("head").isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), step))
+        rows = cut(rows.select("host", "template", "m", "b", "parts", node.alias("node")))
+    return sized_join(paths, rows.select("host", "template", F.col("node").alias("branch")), ["host", "template"])
+
+
+def judged_templates(urls: DataFrame, fan_out: int = FAN_OUT, z_merge: float = Z_MERGE, strength: float = STRENGTH, reject: float = REJECT) -> DataFrame:
     """host, seg (distinct generalised paths), template, branch, purity, blocked."""
-    rows = cut(merged(templates(urls, fan_out, levels), z_merge))
+    rows = cut(merged(templates(urls, fan_out), z_merge))
     total = rows.agg(F.sum("labelled").alias("m"), F.sum("bad").alias("b")).first()
     prior = (total["b"] / total["m"]) if total["m"] else 0.0
     branch = rows.groupBy("host", "branch").agg(F.sum("labelled").alias("m"), F.sum("bad").alias("b"))
@@ -126,7 +133,7 @@ def judged_templates(urls: DataFrame, fan_out: int = FAN_OUT, levels: int = LEVE
     return out.withColumn("blocked", (F.col("purity") >= reject) & F.lit(bool(total["b"])))
 
 
-def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules=RULES, levels: int = LEVELS, **how) -> DataFrame:
+def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules=RULES, **how) -> DataFrame:
     """page_id, host, path, rule, verdict of each row of ``pages`` (page_id, url).
     ``labels``: url_key, bad (0 or 1); a url's key is the last number of its path."""
     url = F.col("url").cast("string")
@@ -141,10 +148,8 @@ def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules=RULES,
         key = F.regexp_extract("path", r"(\d{1,18})[^\d]*$", 1)
         marked = rows.withColumn("url_key", F.when(key != "", key.cast("long"))).join(known, "url_key", "left")
     marked = written(marked.select("page_id", "host", "path", "rule", "listed", "bad"), "urls")
-    verdicts = judged_templates(marked.where("host <> ''"), levels=levels, **how).select("host", "seg", "blocked")
-    seg = _segments(F.col("path"))
-    short = F.when(F.size(seg) > levels, F.concat(F.slice(seg, 1, levels), F.array(F.lit("**")))).otherwise(seg)
-    keyed = marked.select("page_id", "host", "path", "rule", "listed", short.alias("seg"))
+    verdicts = judged_templates(marked.where("host <> ''"), **how).select("host", "seg", "blocked")
+    keyed = marked.select("page_id", "host", "path", "rule", "listed", _segments(F.col("path")).alias("seg"))
     out = sized_join(keyed, cut(verdicts), ["host", "seg"], "left")
     method = F.when(F.col("blocked"), "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("listed", method).alias("verdict"))

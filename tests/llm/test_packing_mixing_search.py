@@ -158,6 +158,20 @@ def test_url_templates_reject_bad_branches(spark):
     assert {r["template"] for r in paths.select("template").distinct().collect()} == {"/item/*", "/item"}
 
 
+def test_url_branches_below_deeper_nodes(spark):
+    rows = [("h.com", f"/shop/{'ab'[k % 2]}/x", k // 2 % 2) for k in range(20)] + [("h.com", "/shop/c/x", 1) for _ in range(6)] + [("h.com", "/shop/d/y", 0)]
+    judged = url_filter.judged_templates(spark.createDataFrame(rows, "host string, path string, bad long"))
+    branch = {r["template"]: r["branch"] for r in judged.collect()}
+    assert branch == {"/shop/a/x": "/shop/{*}/x", "/shop/b/x": "/shop/{*}/x", "/shop/c/x": "/shop/c/x", "/shop/d/y": "/shop/d/y"}
+
+
+def test_url_paths_of_any_depth(spark):
+    rows = [(k, f"http://host.com/a/b/c/d/e/f/g/{'junk' if k % 2 else 'good'}/{k}.html") for k in range(200)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "url_key long, bad int")
+    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
+    assert len(got) == 200 and all(r["verdict"] == ("block" if r["page_id"] % 2 else "allow") for r in got)
+
+
 def test_pipeline_stages(spark, odd):
     """Each stage on what the one before kept, held against its operator's rule."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
