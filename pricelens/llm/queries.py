@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import embed_dedup, jaccard_join, katz, langid, mixing, packing, quality_fm, token_counts, topk_search, url_filter
+from . import (embed_dedup, hard_negatives, jaccard_join, katz, langid, mixing, packing, prefix_trie, quality_fm, suffix_dedup,
+               token_counts, topk_search, url_filter)
 
 QUERIES = {
     "op1_bm25_search": topk_search.op1_bm25_search,
@@ -15,10 +16,16 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_language_id": langid.op9_language_id,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
 }
 
 SQL = {
     "op1_bm25_search": topk_search.SQL,
     "op7_embedding_neardup": embed_dedup.SQL,
     "op10_mix_sources": mixing.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
+    "op13_suffix_dedup": suffix_dedup.SQL,
 }
