@@ -107,6 +107,28 @@ _RAW_DOUBLES = ["NSU", "NSV", "GST Value", "NSV-GST", "Sales at Cost", "(NSV-GST
                 "Gross Sales", "Gross RGM(P-L)", "Gross Margin %(Q/P*100)", "MRP", "SP", "DIS", "DIS%"]
 
 
+_APPENDED_SQL = ("appended AS (SELECT * FROM clean UNION ALL SELECT * FROM clean WHERE Fdate_quarter = 1 "
+                 "UNION ALL SELECT * FROM clean WHERE Fdate_month = 2)")
+
+
+def _appended(spark, sf):
+    """The cleaned table with one quarter in it twice and one month of that three times."""
+    t = clean_table(spark, sf)
+    return t.unionByName(t.where("Fdate_quarter = 1")).unionByName(t.where("Fdate_month = 2"))
+
+
+@q("appended_repeats", NUM5, with_clean(_DUP_SQL.replace("FROM clean", "FROM appended"), _APPENDED_SQL))
+def appended_repeats(spark, sf):
+    """D1 on a table that holds repeats: the k-1 repeats of every row present k times."""
+    return CL.split_duplicates(_appended(spark, sf))[1]
+
+
+@q("appended_deduplicated", NUM5, with_clean("SELECT DISTINCT * FROM appended", _APPENDED_SQL))
+def appended_deduplicated(spark, sf):
+    """D1 on a table that holds repeats: one row per distinct row."""
+    return CL.split_duplicates(_appended(spark, sf))[0]
+
+
 def _ingested(spark, sf, check_lengths):
     from .session import scratch_path
     from .sources import ingest as IN
@@ -123,6 +145,60 @@ def sales_ingest(spark, sf):
     return compiled
 
 
+def _raw_text(spark, sf):
+    """The raw sales rows as text with blanks, ``null`` and unreadable numbers among them."""
+    t = sales_view(spark, sf)
+    text = t.select(*[c(n).cast("string").alias(n) for n in t.columns])
+    uid = c("UID").cast("long")
+    return text.withColumns({"Brand": F.when(uid % 31 == 0, "   ").when(uid % 37 == 0, "null").otherwise(c("Brand")),
+                             "NSU": F.when(uid % 50 == 0, "n/a").otherwise(c("NSU"))})
+
+
+def _batch_table(spark, sf):
+    """Three loads: half of the rows, the same batch again, and all rows."""
+    from .session import scratch_path
+    from .sources import batches as BA
+    table = BA.BatchTable(spark, scratch_path(spark, "batch-table"))
+    text = _raw_text(spark, sf)
+    for name, rows in (("half", text.where(c("UID").cast("long") % 2 == 0)), ("half", text), ("all", text.unionByName(text.where(c("UID").cast("long") % 5 == 0)))):
+        path = scratch_path(spark, "batch-csv")
+        rows.write.option("header", True).csv(path)
+        table.load(name, path)
+    return table
+
+
+_BATCH_SQL = "WITH " + SALES_SQL + """, raw AS (
+  SELECT * REPLACE (CAST("UID" AS INTEGER) AS "UID", CASE WHEN "UID" % 50 <> 0 THEN "NSU" END AS "NSU",
+                    CASE WHEN "UID" % 31 <> 0 AND "UID" % 37 <> 0 THEN "Brand" END AS "Brand"),
+         concat_ws('; ', CASE WHEN "UID" % 50 = 0 THEN 'unparseable row' END, CASE WHEN length("ZONE") > 5 THEN 'ZONE longer than 5' END) AS reason
+  FROM sales)"""
+
+
+@q("batch_rows", _RAW_DOUBLES, _BATCH_SQL + " SELECT DISTINCT * EXCLUDE (reason) FROM raw WHERE reason = ''")
+def batch_rows(spark, sf):
+    """Three loads through the commit log, each row once."""
+    return _batch_table(spark, sf).rows()
+
+
+@q("batch_rejects", _RAW_DOUBLES, _BATCH_SQL + " SELECT raw.* FROM raw, range(0, CASE WHEN \"UID\" % 2 = 0 THEN 2 ELSE 1 END + CASE WHEN \"UID\" % 5 = 0 THEN 1 ELSE 0 END) AS r(i) WHERE reason <> ''")
+def batch_rejects(spark, sf):
+    """The rejects of all loads with their reasons."""
+    return _batch_table(spark, sf).rejects()
+
+
+@q("batch_log", (), _BATCH_SQL + """
+SELECT batch, "rows"::BIGINT AS "rows", repeats::BIGINT AS repeats, rejects::BIGINT AS rejects FROM (
+  SELECT 'half' AS batch, (SELECT count(*) FROM (SELECT DISTINCT * FROM raw WHERE reason = '' AND "UID" % 2 = 0)) AS "rows",
+    (SELECT count(*) FROM raw WHERE reason = '' AND "UID" % 2 = 0) - "rows" AS repeats, (SELECT count(*) FROM raw WHERE reason <> '' AND "UID" % 2 = 0) AS rejects
+  UNION ALL
+  SELECT 'all', (SELECT count(*) FROM (SELECT DISTINCT * FROM raw WHERE reason = '' AND "UID" % 2 <> 0)) AS "rows",
+    (SELECT count(*) + sum(CASE WHEN "UID" % 5 = 0 THEN 1 ELSE 0 END) FROM raw WHERE reason = '') - "rows",
+    (SELECT count(*) + sum(CASE WHEN "UID" % 5 = 0 THEN 1 ELSE 0 END) FROM raw WHERE reason <> ''))""")
+def batch_log(spark, sf):
+    """The commit log: rows kept, repeats left out and rejects of each batch."""
+    return _batch_table(spark, sf).log().select("batch", "rows", "repeats", "rejects")
+
+
 @q("ingest_rejects", _RAW_DOUBLES, "WITH " + SALES_SQL +
    ' SELECT * REPLACE (CAST("UID" AS INTEGER) AS "UID"), \'ZONE longer than 5\' AS reason '
    'FROM sales WHERE length("ZONE") > 5')
@@ -963,6 +1039,61 @@ def _trial_frame(spark, trials):
                                  "number int, family string, value double, state string, duration double, params string")
 
 
+_GRAM_FITS = [("Ridge", {"alpha": 2.0}), ("LinearSVR", {"C": 0.001}), ("Lasso", {"alpha": 50.0}), ("ElasticNet", {"alpha": 0.01, "l1_ratio": 0.5})]
+_GRAM_SQL = """, f AS (SELECT Fdate_quarter AS fold, MRP / 100 AS a, NSU AS b, SP AS y FROM clean),
+total AS (SELECT count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM f),
+z AS (SELECT fold, a - ma AS a, b - mb AS b, y - my AS y FROM f, total),
+s AS (SELECT fold, count(*)::DOUBLE AS n, sum(a) AS sa, sum(b) AS sb, sum(y) AS sy, sum(a * a) AS aa, sum(b * b) AS bb, sum(y * y) AS yy,
+             sum(a * b) AS ab, sum(a * y) AS ay, sum(b * y) AS sby FROM z GROUP BY fold),
+t AS (SELECT v.fold, v.n AS vn, v.sa AS va, v.sb AS vb, v.sy AS vy, v.aa AS vaa, v.bb AS vbb, v.yy AS vyy, v.ab AS vab, v.ay AS vay, v.sby AS vby,
+             sum(o.n) AS n, sum(o.sa) AS sa, sum(o.sb) AS sb, sum(o.sy) AS sy, sum(o.aa) AS aa, sum(o.bb) AS bb, sum(o.ab) AS ab, sum(o.ay) AS ay, sum(o.sby) AS sby
+      FROM s v JOIN s o ON o.fold <> v.fold GROUP BY ALL),
+cv AS (SELECT *, aa - sa * sa / n AS caa, bb - sb * sb / n AS cbb, ab - sa * sb / n AS cab, ay - sa * sy / n AS cay, sby - sb * sy / n AS cby FROM t),
+alpha AS (SELECT * FROM (VALUES ('Ridge', 2.0::DOUBLE), ('LinearSVR', 500.0::DOUBLE)) x(family, l2)),
+w AS (SELECT family, cv.*, ((cbb + l2) * cay - cab * cby) / ((caa + l2) * (cbb + l2) - cab * cab) AS wa,
+             ((caa + l2) * cby - cab * cay) / ((caa + l2) * (cbb + l2) - cab * cab) AS wb FROM cv, alpha),
+i AS (SELECT *, (sy - wa * sa - wb * sb) / n AS c FROM w)
+SELECT family, fold::VARCHAR AS fold, wa, wb,
+  sqrt((vyy + wa * wa * vaa + wb * wb * vbb + vn * c * c + 2 * wa * wb * vab + 2 * c * wa * va + 2 * c * wb * vb - 2 * wa * vay - 2 * wb * vby - 2 * c * vy) / vn) AS val_rmse
+FROM i"""
+
+
+def _gram_folds(spark, sf, fits):
+    from .plans import gram as GR
+    t = clean_table(spark, sf).select((c("MRP") / 100).alias("a"), c("NSU").alias("b"), "SP", "Fdate_quarter")
+    rows = GR.folds_solved(GR.moments(t, ["a", "b"], "SP", c("Fdate_quarter")), fits)
+    return spark.createDataFrame([(r["family"], r["fold"], float(r["coefficients"][0]), float(r["coefficients"][1]), r["val_rmse"]) for r in rows],
+                                 "family string, fold string, wa double, wb double, val_rmse double")
+
+
+@q("gram_cross_validation", ["wa", "wb", "val_rmse"], with_clean("", "").rstrip() + _GRAM_SQL, 6)
+def gram_cross_validation(spark, sf):
+    """T2, M2, M5 on two features: every fold's fit and error from one table of moments."""
+    return _gram_folds(spark, sf, _GRAM_FITS[:2])
+
+
+@q("gram_cross_validation_l1")
+def gram_cross_validation_l1(spark, sf):
+    """T2, M3, M4 on two features: the same with coordinate descent."""
+    return _gram_folds(spark, sf, _GRAM_FITS[2:])
+
+
+@q("linear_search")
+def linear_search(spark, sf):
+    """T1-T3 for M2-M5: 20 trials of each family in 3 inner folds of each of 5 outer folds,
+    all fitted from moments; the best trial of each."""
+    from .plans import pipeline as PL
+    from .plans.gram import QUADRATIC
+    t = _training(spark, sf)
+    best = []
+    for family in QUADRATIC:
+        for fold in range(5):
+            trials = PL.tune(t.where(F.col("fold") != fold), family, spec=TEST_SALES, rare_tol=RARE_TOL)
+            b = PL.best_of(trials)
+            best.append((family, fold, b["number"], b["params"], b["value"], b["user_attrs_val_mae"], b["user_attrs_val_median_ae"]))
+    return spark.createDataFrame(best, "family string, fold int, number int, params string, val_rmse double, val_mae double, val_median_ae double")
+
+
 @q("hyperparameter_search")
 def hyperparameter_search(spark, sf):
     """Seeded random search (20 trials, 3 inner folds) minimising CV RMSE."""
@@ -1044,6 +1175,14 @@ def tree_shap_summary(spark, sf):
     return EX.importance(pts, 40)
 
 
+@q("tree_shap_points")
+def tree_shap_points(spark, sf):
+    """E5: (feature, value, φ) of every row and feature of the forest."""
+    from .plans import explain as EX
+    s = _forest_shap(spark, sf).withColumn("_x", F.array(*[c(x).cast("double") for x in FEATS7]))
+    return EX.summary_points(s, FEATS7, "_x")
+
+
 @q("adaboost_stage_shap")
 def adaboost_stage_shap(spark, sf):
     """AdaBoost stages explained with equal weights 1/n."""

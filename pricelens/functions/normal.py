@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,6 +96,20 @@ def ndtri(p: Column) -> Column:
     return F.when(F.abs(q) <= 0.425, central).otherwise(F.when(q < 0, -tail).otherwise(tail))
 
 
+def ndtri_array(p: np.ndarray) -> np.ndarray:
+    """Φ⁻¹ of an array with 0 < p < 1 (AS241), for Arrow functions: as a column
+    expression its polynomials overflow a generated method."""
+    q = p - 0.5
+    r = 0.180625 - q * q
+    out = q * np.polyval(_CENTRAL_NUM, r) / np.polyval(_CENTRAL_DEN, r)
+    tail = np.abs(q) > 0.425
+    r = np.sqrt(-np.log(np.where(q[tail] <= 0, p[tail], 1.0 - p[tail])))
+    mid = np.polyval(_MID_NUM, r - 1.6) / np.polyval(_MID_DEN, r - 1.6)
+    far = np.polyval(_FAR_NUM, r - 5.0) / np.polyval(_FAR_DEN, r - 5.0)
+    out[tail] = np.sign(q[tail]) * np.where(r <= 5.0, mid, far)
+    return out
+
+
 # -- staged forms -----------------------------------------------------------
 # Horner evaluation repeats its argument once per coefficient; when the
 # argument is itself a large expression, the inlined tree grows until the
@@ -114,23 +130,3 @@ def with_log_ndtr_pair(df, z: Column, lower: str, upper: str, tmp: str = "_nd"):
     out = out.withColumn(lower, F.when(F.col(zz) < 0, small).otherwise(big))
     out = out.withColumn(upper, F.when(F.col(zz) > 0, small).otherwise(big))
     return out.drop(az, t, le, zz)
-
-
-def with_ndtri(df, p: Column, out_name: str, tmp: str = "_ni"):
-    """Add ``out_name`` = Φ⁻¹(p) (AS241) with staged intermediates."""
-    pp, q, rc, r = f"{tmp}_p", f"{tmp}_q", f"{tmp}_rc", f"{tmp}_r"
-
-    def poly(coefs_high_first, x):
-        return _horner(list(reversed(coefs_high_first)), x)
-
-    out = df.withColumn(pp, p).withColumn(q, F.col(pp) - F.lit(0.5))
-    out = out.withColumn(rc, F.lit(0.180625) - F.col(q) * F.col(q))
-    out = out.withColumn(r, F.sqrt(-F.log(F.when(F.col(q) <= 0, F.col(pp)).otherwise(F.lit(1.0) - F.col(pp)))))
-    central = F.col(q) * poly(_CENTRAL_NUM, F.col(rc)) / poly(_CENTRAL_DEN, F.col(rc))
-    rm, rf = F.col(r) - F.lit(1.6), F.col(r) - F.lit(5.0)
-    out = out.withColumn(f"{tmp}_m", rm).withColumn(f"{tmp}_f", rf)
-    mid = poly(_MID_NUM, F.col(f"{tmp}_m")) / poly(_MID_DEN, F.col(f"{tmp}_m"))
-    far = poly(_FAR_NUM, F.col(f"{tmp}_f")) / poly(_FAR_DEN, F.col(f"{tmp}_f"))
-    tail = F.when(F.col(r) <= 5.0, mid).otherwise(far)
-    res = F.when(F.abs(F.col(q)) <= 0.425, central).otherwise(F.when(F.col(q) < 0, -tail).otherwise(tail))
-    return out.withColumn(out_name, res).drop(pp, q, rc, r, f"{tmp}_m", f"{tmp}_f")

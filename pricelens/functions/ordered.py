@@ -119,7 +119,7 @@ def long_values(df: DataFrame, columns, names=None, extra=()) -> DataFrame:
             .select(*[c(e) for e in extra], "_kv.column", "_kv.value"))
 
 
-def average_rank_table(oc: DataFrame, keys, value: str) -> DataFrame:
+def average_rank_table(oc: DataFrame, keys, value: str, *more: str) -> DataFrame:
     """1-based average rank of each distinct value (ties share the mean rank)."""
-    return oc.select(*[c(k) for k in keys], c(value),
+    return oc.select(*[c(k) for k in keys], c(value), *more,
                      (F.col("cum_before") + (F.col("cnt") + 1) / 2.0).alias("rank"))

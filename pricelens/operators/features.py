@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import c, nan_to_null
-from ..functions.normal import with_ndtri
+from ..functions.normal import ndtri_array
 from ..functions.ordered import exact_quantiles, long_values, ordered_counts
 from ..functions.stats import (BOUNDS_THRESHOLD, NORMAL_CLIP, anderson_darling,
                                anderson_from_ordered, grid_quantiles, is_gaussian,
@@ -111,11 +111,12 @@ def _quantile_udf(grids: dict):
     """Arrow-batched interpolation of a value into its column's quantile
     grid (the quantile transform's empirical CDF), averaging the forward and
     backward interpolation so repeated quantiles map to their middle.  The
-    grids are bounded (≤ 1000 points per column) and shipped with the UDF."""
+    grids are bounded (≤ 1000 points per column) and shipped with the UDF.  The result is
+    Φ⁻¹ of that, clipped like the reference's transform."""
     prepared = {k: (np.asarray(v, dtype=float), np.linspace(0.0, 1.0, len(v))) for k, v in grids.items()}
 
     @F.pandas_udf(T.DoubleType())
-    def ecdf(col: pd.Series, x: pd.Series) -> pd.Series:
+    def normal(col: pd.Series, x: pd.Series) -> pd.Series:
         out = np.full(len(x), np.nan)
         xv = x.to_numpy(dtype=float, na_value=np.nan)
         for name in pd.unique(col):
@@ -127,22 +128,13 @@ def _quantile_udf(grids: dict):
             r = 0.5 * (np.interp(v, q, ref) - np.interp(-v, -q[::-1], -ref[::-1]))
             r = np.where(v + BOUNDS_THRESHOLD > q[-1], 1.0, r)
             r = np.where(v - BOUNDS_THRESHOLD < q[0], 0.0, r)
-            out[m] = r
+            z = np.where(r <= 0, NORMAL_CLIP, -NORMAL_CLIP)  # the ends, and NaN below
+            inner = (r > 0) & (r < 1)
+            z[inner] = ndtri_array(r[inner])
+            out[m] = np.where(np.isnan(r), np.nan, np.clip(z, NORMAL_CLIP, -NORMAL_CLIP))
         return pd.Series(out)
 
-    return ecdf
-
-
-def with_quantile_normal(df: DataFrame, ecdf_value, out: str, tmp: str = "_qn") -> DataFrame:
-    """Φ⁻¹ of the empirical CDF, clipped like the reference's transform
-    (staged columns, see ``functions.normal``)."""
-    d = df.withColumn(f"{tmp}_p", ecdf_value)
-    p = F.col(f"{tmp}_p")
-    safe = F.when((p > 0) & (p < 1), p).otherwise(F.lit(0.5))
-    d = with_ndtri(d, safe, f"{tmp}_z")
-    z = F.when(p <= 0, F.lit(NORMAL_CLIP)).when(p >= 1, F.lit(-NORMAL_CLIP)).otherwise(F.col(f"{tmp}_z"))
-    return d.withColumn(out, F.least(F.greatest(z, F.lit(NORMAL_CLIP)), F.lit(-NORMAL_CLIP))).drop(
-        f"{tmp}_p", f"{tmp}_z")
+    return normal
 
 
 class GaussianTransformer(Stage):
@@ -181,7 +173,7 @@ class GaussianTransformer(Stage):
         for r in grid_quantiles(oc.where(in_non), ["column"], self.quantiles).collect():
             grids.setdefault(r["column"], []).append((r["j"], r["q"]))
         grids = {k: [q for _, q in sorted(v)] for k, v in grids.items()}
-        ecdf = _quantile_udf(grids)
+        normal = _quantile_udf(grids)
 
         # Every candidate of every column in ONE projection: a transform that
         # is undefined somewhere yields NULL there and is rejected below
@@ -189,7 +181,7 @@ class GaussianTransformer(Stage):
         x = F.col("value")
         lam = F.create_map(*[e for k, v in lambdas.items() for e in (F.lit(k), F.lit(float(v)))])[F.col("column")]
         staged = counts.where(in_non).withColumn("_lam", lam)
-        staged = with_quantile_normal(staged, ecdf(F.col("column"), x), "_tq")
+        staged = staged.withColumn("_tq", normal(F.col("column"), x))
         cands = {
             "logarithmic": F.when(x > 0, F.log(x)),
             "reciprocal": F.when(x != 0, F.lit(1.0) / x),
@@ -235,12 +227,12 @@ class GaussianTransformerModel(FittedStage):
             skip = {k for i, k in enumerate(guarded) if (row[f"g{i}"] or 0) > 0}
         out = {}
         res = df
-        ecdf = _quantile_udf(self.grids) if self.grids else None
-        for i, (col, name) in enumerate(self.chosen.items()):
+        normal = _quantile_udf(self.grids) if self.grids else None
+        for col, name in self.chosen.items():
             if col in skip:
                 continue
             if name == "quantile":
-                res = with_quantile_normal(res, ecdf(F.lit(col), c(col).cast("double")), col, f"_qn{i}")
+                res = res.withColumn(col, normal(F.lit(col), c(col).cast("double")))
             else:
                 out[col] = _apply_simple(name, c(col), self.lambdas.get(col))
         return res.withColumns(out) if out else res
@@ -573,7 +565,7 @@ class Scaler(Stage):
     """F8: ``standard`` ((x-μ)/σ, population σ, σ=0 -> 1), ``minmax``
     ((x-min)/(max-min), constant -> 0), ``robust`` ((x-median)/IQR, exact
     quartiles, IQR=0 -> 1), ``combine`` (standard on F1-gaussian columns,
-    min-max on the rest).  Column order is kept."""
+    min-max on the rest).  Column order is kept; a column without values passes through."""
 
     def __init__(self, method: str = "standard", columns=None, exclude=()):
         super().__init__()
@@ -595,6 +587,8 @@ class Scaler(Stage):
             qs = exact_quantiles(long_values(df, cols), ["column"], "value", [0.25, 0.5, 0.75]).collect()
             q = {(r["column"], r["p"]): r["q"] for r in qs}
             for col in cols:
+                if (col, 0.5) not in q:  # no value at all: nothing to scale by
+                    continue
                 iqr = q[(col, 0.75)] - q[(col, 0.25)]
                 params[col] = (q[(col, 0.5)], iqr if iqr != 0 else 1.0)
         else:
@@ -607,7 +601,7 @@ def _standard(df, cols):
         return {}
     row = df.agg(*[F.avg(c(x)).alias(f"m{i}") for i, x in enumerate(cols)],
                  *[F.stddev_pop(c(x)).alias(f"s{i}") for i, x in enumerate(cols)]).first()
-    return {x: (row[f"m{i}"], row[f"s{i}"] if row[f"s{i}"] else 1.0) for i, x in enumerate(cols)}
+    return {x: (row[f"m{i}"], row[f"s{i}"] if row[f"s{i}"] else 1.0) for i, x in enumerate(cols) if row[f"m{i}"] is not None}
 
 
 def _minmax(df, cols):
@@ -617,6 +611,8 @@ def _minmax(df, cols):
                  *[F.max(c(x)).alias(f"b{i}") for i, x in enumerate(cols)]).first()
     out = {}
     for i, x in enumerate(cols):
+        if row[f"a{i}"] is None:
+            continue
         rng = row[f"b{i}"] - row[f"a{i}"]
         out[x] = (row[f"a{i}"], rng if rng != 0 else 1.0)
     return out

@@ -13,12 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, nan_to_null
 from ..functions.ordered import (average_rank_table, exact_quantiles, long_values,
                                  ordered_counts)
+from ..session import cut_lineage
 from .base import join_dimension
 
 
@@ -207,46 +209,95 @@ def scatter_bins(df: DataFrame, cols, target: str = "SP", bins: int = 50) -> Dat
 
 # -- A14 / A15 ---------------------------------------------------------------
 
-def with_average_ranks(df: DataFrame, cols, return_sizes: bool = False):
-    """Add ``_rank_<i>`` (average rank, ties share the mean) for each column:
-    the rank tables come from one ordered-count pass over all columns, and
-    each is joined back on the value (broadcast when its distinct count is
-    small, shuffle otherwise)."""
-    long = long_values(df, cols)
-    oc = ordered_counts(long, ["column"], "value")
-    ranks = average_rank_table(oc, ["column"], "value")
-    from ..session import cut_lineage
+def _block(batch: pa.RecordBatch, p: int) -> np.ndarray:
+    return np.array(batch.column("x").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, p)
+
+
+def _heavy_ranks(x: np.ndarray, heavy: dict) -> np.ndarray:
+    """Ranks of heavy values; NaN for the others."""
+    out = np.full(x.shape, np.nan)
+    for i, (values, ranks) in heavy.items():
+        at = np.minimum(np.searchsorted(values, x[:, i]), len(values) - 1)
+        hit = values[at] == x[:, i]
+        out[hit, i] = ranks[at[hit]]
+    return out
+
+
+def _light_values(batches: Iterator[pa.RecordBatch], heavy: dict, p: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x = _block(batch, p)
+        row, place = np.nonzero(~np.isnan(x) & np.isnan(_heavy_ranks(x, heavy)))
+        yield pa.RecordBatch.from_arrays([pa.array(batch.column("row").to_numpy()[row]), pa.array(place.astype(np.int32)), pa.array(x[row, place])], names=["row", "place", "value"])
+
+
+def _rank_products(batches: Iterator[pa.RecordBatch], heavy: dict, p: int, middle: float) -> Iterator[pa.RecordBatch]:
+    """This task's sums over rows, for each pair of columns and the rows that have both:
+    products of the ranks (less ``middle``), ranks and squares of the first one, rows."""
+    total = np.zeros((4, p, p))
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        r = _heavy_ranks(_block(batch, p), heavy)
+        lists = batch.column("light")
+        if len(flat := lists.flatten()):
+            sizes = np.diff(lists.offsets.to_numpy()) if not lists.null_count else np.array([len(v) if v else 0 for v in lists.to_pylist()])
+            r[np.repeat(np.arange(len(r)), sizes), flat.field("place").to_numpy()] = flat.field("rank").to_numpy()
+        there = ~np.isnan(r)
+        z, m = np.where(there, r - middle, 0.0), there.astype(float)
+        total += np.stack([z.T @ z, z.T @ m, (z * z).T @ m, m.T @ m])
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["k", "v"])
+
+
+def rank_moments(df: DataFrame, cols, partitions: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the columns' average ranks for every pair of columns (``_rank_products``),
+    and each column's number of distinct values.
+
+    One long pass over all columns counts their values and gives the ranks.  A value in
+    more than a partition's share of the rows (so at most ``partitions`` for a column) goes
+    with the tasks as a lookup; NULLs need no rank; the rest of the values, each below that
+    share, are joined by a shuffle.
+    """
+    cols = list(cols)
+    p = len(cols)
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = F.array(*[F.coalesce(c(n).cast("double"), F.lit(float("nan"))) for n in cols])
+    rows = cut_lineage(df.select(F.monotonically_increasing_id().alias("row"), x.alias("x")))
+    n = rows.count()
+    long = rows.select(F.posexplode("x").alias("place", "value")).where(~F.isnan("value"))
+    ranks = average_rank_table(ordered_counts(long, ["place"], "value", partitions), ["place"], "value", "cnt")
     ranks = cut_lineage(ranks)
-    sizes = {r["column"]: r["n"] for r in ranks.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out, names = df, []
-    for i, col in enumerate(cols):
-        rn = f"_rank_{i}"
-        dim = ranks.where(F.col("column") == col).select(F.col("value").alias(f"_v{i}"), F.col("rank").alias(rn))
-        out = out.withColumn(f"_v{i}", nan_to_null(c(col).cast("double")))
-        out = join_dimension(out, dim, [f"_v{i}"], rows=sizes.get(col, 0)).drop(f"_v{i}")
-        names.append(rn)
-    return (out, names, sizes) if return_sizes else (out, names)
+    distinct = np.zeros(p, int)
+    for r in ranks.groupBy("place").count().collect():
+        distinct[r["place"]] = r["count"]
+    heavy: dict = {}
+    for r in ranks.where(F.col("cnt") * parts > n).orderBy("place", "value").collect():
+        heavy.setdefault(r["place"], []).append((r["value"], r["rank"]))
+    heavy = {i: tuple(np.array(v, float).T) for i, v in heavy.items()}
+    light = rows.mapInArrow(lambda b: _light_values(b, heavy, p), "row long, place int, value double")
+    found = light.join(ranks.where(F.col("cnt") * parts <= n), ["place", "value"])
+    tail = found.groupBy("row").agg(F.collect_list(F.struct("place", "rank")).alias("light"))
+    sums = (rows.join(tail, "row", "left").select("x", "light")
+            .mapInArrow(lambda b: _rank_products(b, heavy, p, (n + 1) / 2), "k long, v double")
+            .groupBy("k").agg(F.sum("v").alias("v")))
+    total = np.zeros(4 * p * p)
+    for r in sums.collect():  # 4 p² numbers
+        total[r["k"]] = r["v"]
+    return total.reshape(4, p, p), distinct
 
 
 def spearman_matrix(df: DataFrame, cols) -> DataFrame:
-    """``col_a, col_b, rho`` for every ordered pair (diagonal = 1);
-    Pearson correlation of average ranks, all pairs in ONE aggregate."""
+    """``col_a, col_b, rho`` for every ordered pair (diagonal = 1); Pearson
+    correlation of average ranks over the rows that have both, all pairs in ONE
+    aggregate.  A column of one value has no correlation."""
     cols = list(cols)
-    ranked, rn, sizes = with_average_ranks(df.select(*[c(x) for x in cols]), cols, return_sizes=True)
-    # a column with one distinct value has constant ranks: no correlation
-    # (``corr`` would divide by zero under ANSI mode)
-    live = {i for i, x in enumerate(cols) if sizes.get(x, 0) > 1}
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols)) if i in live and j in live]
-    row = ranked.agg(F.count(F.lit(1)).alias("_n"), *[F.corr(rn[i], rn[j]).alias(f"p{i}_{j}") for i, j in pairs]).first()
+    (product, first, square, n), distinct = rank_moments(df, cols)
     out = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            if i == j:
-                v = 1.0
-            elif i in live and j in live:
-                v = row[f"p{min(i, j)}_{max(i, j)}"]
-            else:
-                v = None
+            v = 1.0 if i == j else None
+            if i != j and distinct[i] > 1 and distinct[j] > 1 and n[i, j]:
+                var = (square[i, j] - first[i, j] ** 2 / n[i, j]) * (square[j, i] - first[j, i] ** 2 / n[i, j])
+                v = float((product[i, j] - first[i, j] * first[j, i] / n[i, j]) / math.sqrt(var)) if var > 0 else None
             out.append((a, b, v))
     return df.sparkSession.createDataFrame(out, "col_a string, col_b string, rho double")
 

@@ -170,6 +170,23 @@ def _top(scores: dict, k: int, order) -> list:
     return [f for f, _ in ranked[:k]]
 
 
+def chosen_features(method: str, number: int | None, feats: list, scores) -> list:
+    """V7 + V8: the features that a method keeps of ``feats``; ``scores()`` gives a number
+    for each (``Uncorrelated``: the kept ones).  An empty choice keeps every feature."""
+    k = min(number or len(feats), len(feats))
+    if method == "Uncorrelated":
+        chosen = list(scores())
+    elif method == "ANOVA" and (number or 0) > len(feats):
+        chosen = list(feats)
+    elif method in ("Lasso", "FeatureImportance_ET", "MutualInformation", "ANOVA"):
+        chosen = _top(scores(), k, feats)
+    else:
+        raise ValueError(method)
+    if method in ("ANOVA", "FeatureImportance_ET"):
+        chosen = [f for f in feats if f in set(chosen)]
+    return chosen or list(feats)
+
+
 class FeatureSelector(Stage):
     """V1-V7 as one stage: optional correlated-feature drop, then a method
     (``Lasso``, ``FeatureImportance_ET``, ``MutualInformation``, ``ANOVA``,
@@ -192,22 +209,12 @@ class FeatureSelector(Stage):
             feats = [n for n, t in df.dtypes if t in ("double", "int", "bigint", "float") and n not in self.exclude]
         dropped = correlated_to_drop(df, feats) if self.drop_correlated else []
         feats = [f for f in feats if f not in dropped]
-        k = min(self.number or len(feats), len(feats))
-        if self.method == "Lasso":
-            chosen = _top(lasso_scores(df, feats, self.label, scaled=self.scaled), k, feats)
-        elif self.method == "FeatureImportance_ET":
-            imp = tree_importances(df, feats, self.label)
-            chosen = [f for f in _top(imp, k, feats) if imp[f] >= 0.0]
-        elif self.method == "MutualInformation":
-            chosen = _top(mi_scores(df, feats, self.label), k, feats)
-        elif self.method == "ANOVA":
-            chosen = feats if (self.number or 0) > len(feats) else _top(f_scores(df, feats, self.label), k, feats)
-        elif self.method == "Uncorrelated":
-            chosen = uncorrelated_recursive(df, feats, self.label)
-        else:
-            raise ValueError(self.method)
-        chosen = [f for f in feats if f in set(chosen)] if self.method in ("ANOVA", "FeatureImportance_ET") else chosen
-        chosen = chosen or feats
+        scores = {"Lasso": lambda: lasso_scores(df, feats, self.label, scaled=self.scaled),
+                  "FeatureImportance_ET": lambda: tree_importances(df, feats, self.label),
+                  "MutualInformation": lambda: mi_scores(df, feats, self.label),
+                  "ANOVA": lambda: f_scores(df, feats, self.label),
+                  "Uncorrelated": lambda: uncorrelated_recursive(df, feats, self.label)}
+        chosen = chosen_features(self.method, self.number, feats, scores.get(self.method))
         # Learners refuse NaN / infinite inputs (e.g. the std of a one-row
         # group): they are filled with the feature's mean on the fitting rows.
         row = df.agg(*[F.avg(_finite(c(f))).alias(f"m{i}") for i, f in enumerate(chosen)]).first()

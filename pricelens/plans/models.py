@@ -18,13 +18,18 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
-from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor,
-                                   LinearRegression, RandomForestRegressor)
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression,
+                                   RandomForestRegressor)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from .boosting import HistBooster
 
 SEED = 120
 # The thirteen model families, in the reference's order.
@@ -43,7 +48,7 @@ def _log_uniform(rng, lo, hi):
 
 
 def sample_model_params(family: str, rng: random.Random) -> dict:
-    """One draw from the family's search space."""
+    """One draw from the family's search space (fixed values: its ranges)."""
     r = rng
     if family == "HuberRegressor":
         return {"epsilon": _log_uniform(r, 1.01, 2), "alpha": _log_uniform(r, 1e-6, 1)}
@@ -58,17 +63,19 @@ def sample_model_params(family: str, rng: random.Random) -> dict:
     if family == "AdaBoostRegressor":
         return {"learning_rate": _log_uniform(r, 0.01, 1), "loss": r.choice(["linear", "square", "exponential"])}
     if family == "HistGradientBoostingRegressor":
-        return {"learning_rate": _log_uniform(r, 0.01, 1), "max_depth": r.randint(2, 10),
-                "min_samples_leaf": r.randint(20, 100)}
+        return {"learning_rate": _log_uniform(r, 0.01, 1), "max_leaf_nodes": r.randint(2, 50), "max_depth": r.randint(2, 10),
+                "min_samples_leaf": r.randint(20, 100), "l2_regularization": r.uniform(0, 1)}
     if family == "XGBRegressor":
-        return {"eta": _log_uniform(r, 0.1, 0.5), "gamma": _log_uniform(r, 0.1, 20), "max_depth": r.randint(1, 10),
+        return {"eta": _log_uniform(r, 0.1, 0.5), "gamma": _log_uniform(r, 0.1, 20), "min_child_weight": _log_uniform(r, 0.1, 1000),
+                "max_depth": r.randint(1, 10), "lambda": _log_uniform(r, 0.1, 1000), "alpha": _log_uniform(r, 0.1, 100),
                 "subsample": _log_uniform(r, 0.5, 1), "colsample_bytree": _log_uniform(r, 0.5, 1)}
     if family == "LGBMRegressor":
-        return {"learning_rate": _log_uniform(r, 0.01, 0.3), "max_depth": r.randint(3, 12),
-                "min_child_samples": r.randint(5, 100), "subsample": _log_uniform(r, 0.5, 1),
-                "min_split_gain": _log_uniform(r, 0.1, 15)}
+        return {"learning_rate": _log_uniform(r, 0.01, 0.3), "max_depth": r.randint(3, 12), "num_leaves": r.randint(8, 4096),
+                "min_child_samples": r.randint(5, 100), "subsample": _log_uniform(r, 0.5, 1), "subsample_freq": r.randint(1, 10),
+                "reg_alpha": _log_uniform(r, 0.1, 100), "reg_lambda": _log_uniform(r, 0.1, 100), "min_split_gain": _log_uniform(r, 0.1, 15)}
     if family == "CatBoostRegressor":
-        return {"depth": r.randint(4, 10), "learning_rate": _log_uniform(r, 0.01, 0.3)}
+        return {"depth": r.randint(4, 10), "l2_leaf_reg": r.randint(2, 10), "random_strength": _log_uniform(r, 0.1, 10),
+                "learning_rate": _log_uniform(r, 0.01, 0.3)}
     raise ValueError(family)
 
 
@@ -132,30 +139,55 @@ def make_regressor(family: str, params: dict, featuresCol="features", labelCol="
         return AdaBoostR2(p.get("learning_rate", 1.0), p.get("loss", "linear"), featuresCol=featuresCol,
                           labelCol=labelCol, seed=seed)
     if family == "HistGradientBoostingRegressor":
-        return GBTRegressor(maxIter=100, stepSize=p["learning_rate"], maxDepth=p["max_depth"],
-                            minInstancesPerNode=p["min_samples_leaf"], maxBins=255, seed=seed, **common)
+        return HistBooster(100, p["learning_rate"], p["max_depth"], p.get("max_leaf_nodes", 31), l2=p.get("l2_regularization", 0.0),
+                           min_child_rows=p["min_samples_leaf"], bins=255, seed=seed, **common)
     if family == "XGBRegressor":
-        frac = f"{min(1.0, p['colsample_bytree']):.3f}"
-        return GBTRegressor(maxIter=50, stepSize=p["eta"], maxDepth=p["max_depth"], minInfoGain=p["gamma"],
-                            subsamplingRate=min(1.0, p["subsample"]), featureSubsetStrategy=frac, seed=seed, **common)
+        return HistBooster(50, p["eta"], p["max_depth"], l1=p.get("alpha", 0.0), l2=p.get("lambda", 1.0), gamma=p["gamma"], factor=0.5,
+                           min_child_weight=p.get("min_child_weight", 1.0), bins=256, subsample=min(1.0, p["subsample"]),
+                           columns=min(1.0, p["colsample_bytree"]), seed=seed, **common)
     if family == "LGBMRegressor":
-        return GBTRegressor(maxIter=100, stepSize=p["learning_rate"], maxDepth=p["max_depth"], maxBins=63,
-                            minInstancesPerNode=p["min_child_samples"], minInfoGain=p["min_split_gain"],
-                            subsamplingRate=min(1.0, p["subsample"]), seed=seed, **common)
+        return HistBooster(100, p["learning_rate"], p["max_depth"], p.get("num_leaves", 31), l1=p.get("reg_alpha", 0.0), l2=p.get("reg_lambda", 0.0),
+                           gamma=p["min_split_gain"], min_child_rows=p["min_child_samples"], bins=63, subsample=min(1.0, p["subsample"]),
+                           subsample_every=p.get("subsample_freq", 1), seed=seed, **common)
     if family == "CatBoostRegressor":
-        return GBTRegressor(maxIter=50, maxDepth=p["depth"], stepSize=p["learning_rate"], seed=seed, **common)
+        return HistBooster(50, p["learning_rate"], p["depth"], l2=p.get("l2_leaf_reg", 3.0), bins=128, symmetric=True,
+                           random_strength=p.get("random_strength", 1.0), seed=seed, **common)
     raise ValueError(family)
 
 
 # ----------------------------------------------------------------- M9 -----
 
+def systematic_copies(data: DataFrame, total: float, n: int, start: float) -> DataFrame:
+    """``_copies`` of each row of ``data`` (with ``_part``, the partition it lies in, and a
+    weight ``_w``): weights are laid end to end on a line of length n, and a row gets the
+    points start, start + 1, ... that fall on its piece.  Its expected copies are n x its
+    share of the weights, and they differ from that by less than 1.  Pieces begin where the partitions
+    before end: one row per partition reaches the driver."""
+    begins, at = {}, 0.0
+    for r in data.groupBy("_part").agg(F.sum("_w").alias("w")).orderBy("_part").collect():
+        begins[r["_part"]], at = at, at + r["w"]
+
+    def copies(batches):
+        ends = dict(begins)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = batch.column("_part")[0].as_py()
+            line = ends[part] + np.concatenate([[0.0], np.cumsum(batch.column("_w").to_numpy())])
+            ends[part] = float(line[-1])
+            points = np.floor(line * (n / total) - start)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.diff(points))], names=[*batch.schema.names, "_copies"])
+
+    return data.mapInArrow(copies, T.StructType([*data.schema.fields, T.StructField("_copies", T.DoubleType())]))
+
+
 class AdaBoostR2(Estimator):
     """M9: AdaBoost.R2 with depth-3 regression trees.
 
-    Each stage fits a tree on the current sample weights (``weightCol``;
-    the reference's learner resamples by weight instead), then updates the
-    weights with one aggregate (max error, weighted mean loss) and a column
-    expression.  Lineage is cut every ``checkpoint_every`` stages.
+    Each stage fits a tree on rows resampled by weight (a row drawn k times has weight k
+    in the fit), then updates the weights with one aggregate (max error, weighted mean
+    loss) and a column expression.  The rows with their weights are one persisted table
+    per stage; lineage is cut every ``checkpoint_every`` stages.
     Prediction = weighted median of the stage predictions, computed per row
     with array functions (no UDF).
     """
@@ -168,15 +200,21 @@ class AdaBoostR2(Estimator):
         self.seed, self.checkpoint_every = seed, checkpoint_every
 
     def _fit(self, df):
-        n = df.count()
-        data = cut_lineage(df.select(self.featuresCol, F.col(self.labelCol).alias("_y")).withColumn("_w", F.lit(1.0 / n)))
+        # the checkpoint fixes which rows lie in which partition, and their order
+        data = cut_lineage(df.select(vector_to_array(self.featuresCol).alias("_x"), F.col(self.labelCol).cast("double").alias("_y"),
+                                     F.lit(1.0).alias("_w"), F.spark_partition_id().alias("_part")))
+        n = data.count()
+        total, kept = float(n), data
         trees, weights = [], []
         for k in range(self.n_estimators):
-            dt = DecisionTreeRegressor(featuresCol=self.featuresCol, labelCol="_y", weightCol="_w",
+            start = random.Random(f"{self.seed}-{k}").random()
+            drawn = systematic_copies(data, total, n, start).where("_copies > 0").select(array_to_vector("_x").alias(self.featuresCol), "_y", "_copies")
+            dt = DecisionTreeRegressor(featuresCol=self.featuresCol, labelCol="_y", weightCol="_copies",
                                        maxDepth=self.max_depth, seed=self.seed + k)
-            m = dt.fit(data)
-            scored = m.copy().setPredictionCol("_p").transform(data).withColumn("_e", F.abs(F.col("_p") - F.col("_y")))
-            emax = scored.agg(F.max("_e")).first()[0] or 0.0
+            m = dt.fit(drawn)
+            scored = m.copy().setPredictionCol("_p").transform(data.withColumn(self.featuresCol, array_to_vector("_x"))).withColumn("_e", F.abs(F.col("_p") - F.col("_y")))
+            scored = scored.select("_x", "_y", "_w", "_part", "_e").persist()
+            emax = scored.where("_w > 0").agg(F.max("_e")).first()[0] or 0.0
             if emax <= 0:
                 trees.append(m)
                 weights.append(1.0)
@@ -186,26 +224,23 @@ class AdaBoostR2(Estimator):
                 e = e * e
             elif self.loss == "exponential":
                 e = 1 - F.exp(-e)
-            scored = scored.withColumn("_l", e)
-            err = scored.agg((F.sum(F.col("_w") * F.col("_l")) / F.sum("_w")).alias("err")).first()["err"]
-            if err <= 0:
-                trees.append(m)
-                weights.append(1.0)
+            err = scored.agg((F.sum(F.col("_w") * e) / F.sum("_w")).alias("err")).first()["err"]
+            if err >= 0.5 and trees:
                 break
-            if err >= 0.5:
-                if not trees:
-                    trees.append(m)
-                    weights.append(1.0)
+            trees.append(m)
+            if err <= 0 or err >= 0.5:
+                weights.append(1.0)
                 break
             beta = err / (1.0 - err)
-            trees.append(m)
             weights.append(self.learning_rate * math.log(1.0 / beta))
-            upd = scored.select(self.featuresCol, "_y",
-                                (F.col("_w") * F.pow(F.lit(beta), (1 - F.col("_l")) * self.learning_rate)).alias("_w"))
+            upd = scored.select("_x", "_y", (F.col("_w") * F.pow(F.lit(beta), (1 - e) * self.learning_rate)).alias("_w"), "_part")
+            upd = cut_lineage(upd) if (k + 1) % self.checkpoint_every == 0 else upd.persist()
             total = upd.agg(F.sum("_w")).first()[0]
-            data = upd.withColumn("_w", F.col("_w") / F.lit(total))
-            if (k + 1) % self.checkpoint_every == 0:
-                data = cut_lineage(data)
+            scored.unpersist()
+            data.unpersist()
+            data = upd
+        kept.unpersist()
+        data.unpersist()
         return AdaBoostR2Model(trees, weights, self.featuresCol)
 
 
@@ -263,9 +298,9 @@ DEFAULT_PARAMS = {
     "RandomForestRegressor": {"ccp_alpha": 60.0},
     "ExtraTreesRegressor": {"ccp_alpha": 60.0},
     "AdaBoostRegressor": {"learning_rate": 0.1, "loss": "linear"},
-    "HistGradientBoostingRegressor": {"learning_rate": 0.1, "max_depth": 6, "min_samples_leaf": 20},
-    "XGBRegressor": {"eta": 0.3, "gamma": 1.0, "max_depth": 6, "subsample": 0.8, "colsample_bytree": 0.8},
-    "LGBMRegressor": {"learning_rate": 0.1, "max_depth": 6, "min_child_samples": 20, "subsample": 0.8,
-                      "min_split_gain": 1.0},
-    "CatBoostRegressor": {"depth": 6, "learning_rate": 0.1},
+    "HistGradientBoostingRegressor": {"learning_rate": 0.1, "max_leaf_nodes": 31, "max_depth": 6, "min_samples_leaf": 20, "l2_regularization": 0.0},
+    "XGBRegressor": {"eta": 0.3, "gamma": 1.0, "min_child_weight": 1.0, "max_depth": 6, "lambda": 1.0, "alpha": 0.1, "subsample": 0.8, "colsample_bytree": 0.8},
+    "LGBMRegressor": {"learning_rate": 0.1, "max_depth": 6, "num_leaves": 31, "min_child_samples": 20, "subsample": 0.8, "subsample_freq": 1,
+                      "reg_alpha": 0.1, "reg_lambda": 0.1, "min_split_gain": 1.0},
+    "CatBoostRegressor": {"depth": 6, "l2_leaf_reg": 3, "random_strength": 1.0, "learning_rate": 0.1},
 }

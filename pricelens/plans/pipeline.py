@@ -29,6 +29,9 @@ from ..operators.selection import FeatureSelector
 from ..session import cut_lineage, read_json, write_json
 from ..spec import SALES, FeatureSpec
 from . import baselines as BL
+from . import gram as GR
+from . import study as ST
+from .boosting import HistBoosterModel
 from .models import (CAPPABLE, FAMILIES, LINEAR, SEED, TRANSFORMED, AdaBoostR2Model, make_regressor,
                      sample_model_params)
 
@@ -37,6 +40,11 @@ SCALINGS = ["Standard", "MinMax", "Robust", "Combine"]
 SELECTIONS = ["Lasso", "FeatureImportance_ET", "MutualInformation", "ANOVA", "Uncorrelated"]
 
 
+def FOLDS(spec: FeatureSpec) -> tuple:
+    """Columns of the training table that are no features."""
+    return (spec.row_id, "fold", "inner_fold")
+
+
 @dataclass
 class Choice:
     family: str
@@ -60,10 +68,8 @@ def sample_choice(family: str, rng: random.Random, max_features: int = 30) -> Ch
     return ch
 
 
-def build_pipeline(ch: Choice, spec: FeatureSpec = SALES, rare_tol: float = 0.05) -> Pipeline:
-    """the step list for one family and choice, in the reference's order:
-    capping -> gaussian transform -> rare labels -> group statistics ->
-    interval -> encoding -> cyclic -> scaling -> selection -> model."""
+def preparation(ch: Choice, spec: FeatureSpec = SALES, rare_tol: float = 0.05) -> list:
+    """The steps before scaling: they depend on the family's kind and the outlier choice."""
     cont, nom, cyc = list(spec.continuous), list(spec.nominal), list(spec.cyclic)
     stages = []
     if ch.outlier == "capped":
@@ -76,14 +82,22 @@ def build_pipeline(ch: Choice, spec: FeatureSpec = SALES, rare_tol: float = 0.05
     if ch.family in LINEAR:
         stages.append(FE.OneHotEncoder(nom))
         stages.append(FE.CyclicalEncoder(cyc))
-        stages.append(FE.Scaler(ch.scaling.lower(), exclude=[spec.label, spec.row_id, "fold", "inner_fold"]))
     else:
         # nominal and cyclic target encodings fitted together: each column is
         # encoded on its own, so one stage = one pass instead of two
         stages.append(FE.TargetEncoder(nom + cyc, spec.label))
+    return stages
+
+
+def build_pipeline(ch: Choice, spec: FeatureSpec = SALES, rare_tol: float = 0.05) -> Pipeline:
+    """the step list for one family and choice, in the reference's order:
+    capping -> gaussian transform -> rare labels -> group statistics ->
+    interval -> encoding -> cyclic -> scaling -> selection -> model."""
+    stages = preparation(ch, spec, rare_tol)
+    if ch.family in LINEAR:
+        stages.append(FE.Scaler(ch.scaling.lower(), exclude=[spec.label, *FOLDS(spec)]))
     stages.append(FeatureSelector(None, spec.label, ch.selection, ch.number, ch.drop_correlated,
-                                  scaled=ch.scaling != "no",
-                                  exclude=(spec.row_id, "fold", "inner_fold")))
+                                  scaled=ch.scaling != "no", exclude=FOLDS(spec)))
     stages.append(make_regressor(ch.family, ch.model_params, "features", spec.label))
     return Pipeline(stages=stages)
 
@@ -202,31 +216,79 @@ def cross_validate(train: DataFrame, ch: Choice, spec: FeatureSpec, folds: int =
 DRAW_ERRORS = (IllegalArgumentException, ArithmeticException, ValueError, ArithmeticError)
 
 
+def evaluate(train: DataFrame, choices: list, spec: FeatureSpec, folds: int = 3, seed: int = SEED,
+             rare_tol: float = 0.05, workers: int = ST.AT_ONCE) -> list:
+    """T2 for many choices: the inner folds are prepared once for each outlier choice and
+    kind of family, and all choices are scored on them.  A row of mean metrics for each
+    choice, or the error of a draw that can't be fitted."""
+    data = assign_folds(train, folds, seed + 7, spec.row_id, "inner_fold").persist()
+    kinds = sorted({(ch.family in LINEAR, ch.family in TRANSFORMED, ch.outlier) for ch in choices})
+
+    def one(item):
+        kind, f = item
+        own = [(k, ch) for k, ch in enumerate(choices) if (ch.family in LINEAR, ch.family in TRANSFORMED, ch.outlier) == kind]
+        rows = data.where(F.col("inner_fold") != f)
+        try:
+            fold = ST.PreparedFold(rows, data, preparation(own[0][1], spec, rare_tol), spec.label, FOLDS(spec), fit_pipeline)
+        except DRAW_ERRORS as e:
+            return [(k, e) for k, _ in own]
+        split = F.when(F.col("inner_fold") == f, F.lit("val")).otherwise(F.lit("train"))
+
+        def trial(pair):
+            k, ch = pair
+            try:
+                return k, fold.fitted(ch, split, BL.fold_metrics)
+            except DRAW_ERRORS as e:
+                return k, e
+        quadratic = [p for p in own if p[1].family in GR.QUADRATIC]
+        try:
+            out = list(zip([k for k, _ in quadratic], fold.quadratic([ch for _, ch in quadratic], split))) if quadratic else []
+            return out + ST.at_once(trial, [p for p in own if p[1].family not in GR.QUADRATIC], max(1, workers // len(items)))
+        finally:
+            fold.close()
+
+    items = [(kind, f) for kind in kinds for f in range(folds)]
+    found: dict = {k: [] for k in range(len(choices))}
+    for part in ST.at_once(one, items, workers):
+        for k, res in part:
+            found[k].append(res)
+    data.unpersist()
+    out = []
+    for k in range(len(choices)):
+        bad = [r for r in found[k] if isinstance(r, Exception)]
+        out.append(bad[0] if bad else {m: sum(r[m] for r in found[k]) / folds for m in ST.METRICS})
+    return out
+
+
 def tune(train: DataFrame, family: str, n_trials: int = 20, spec: FeatureSpec = SALES, seed: int = SEED,
-         inner_folds: int = 3, rare_tol: float = 0.05, done: list | None = None) -> list:
-    """Seeded random search minimising mean validation RMSE.  ``done``
-    (earlier trial rows) resumes a study: finished trial numbers are skipped
-    and the random stream is replayed so new trials continue it."""
+         inner_folds: int = 3, rare_tol: float = 0.05, done: list | None = None, study: "ST.Study | None" = None,
+         workers: int = ST.AT_ONCE, batch: int | None = None) -> list:
+    """Seeded random search minimising mean validation RMSE.  Trials already in
+    ``study`` (or ``done``) are not run again; the random stream is replayed, so the others
+    are the same draws.  ``batch`` trials (all) share prepared folds and are written together."""
     rng = random.Random(f"{seed}-{family}")
     finished = {t["number"]: t for t in (done or []) if t.get("state") == "COMPLETE"}
-    trials = []
-    for number in range(n_trials):
-        ch = sample_choice(family, rng)
-        if number in finished:
-            trials.append(finished[number])
-            continue
-        start = time.time()
-        row = {"number": number, "family": family, "params": json.dumps(asdict(ch), sort_keys=True),
-               "datetime_start": start}
-        try:
-            res = cross_validate(train, ch, spec, inner_folds, seed, rare_tol)
-            row.update(value=res["val_rmse"], state="COMPLETE", **{f"user_attrs_{k}": v for k, v in res.items()})
-        except DRAW_ERRORS as e:  # a draw that can't be fitted is recorded as a failed trial
-            row.update(value=None, state="FAIL", error=str(e)[:200])
-        row["datetime_complete"] = time.time()
-        row["duration"] = row["datetime_complete"] - start
-        trials.append(row)
-    return trials
+    if study is not None:
+        finished |= study.finished()
+    drawn = [sample_choice(family, rng) for _ in range(n_trials)]
+    open_ = [k for k in range(n_trials) if k not in finished]
+    size = batch or max(1, len(open_))
+    for i in range(0, len(open_), size):
+        numbers, start = open_[i:i + size], time.time()
+        rows = []
+        for k, res in zip(numbers, evaluate(train, [drawn[k] for k in numbers], spec, inner_folds, seed, rare_tol, workers)):
+            row = {"number": k, "family": family, "params": json.dumps(asdict(drawn[k]), sort_keys=True), "datetime_start": start}
+            if isinstance(res, Exception):  # a draw that can't be fitted is recorded as a failed trial
+                row.update(value=None, state="FAIL", error=str(res)[:200])
+            else:
+                row.update(value=res["val_rmse"], state="COMPLETE", **{f"user_attrs_{m}": v for m, v in res.items()})
+            row["datetime_complete"] = time.time()
+            row["duration"] = (row["datetime_complete"] - start) / len(numbers)  # trials of a batch run together
+            rows.append(row)
+        if study is not None:
+            study.append(rows)
+        finished.update((r["number"], r) for r in rows)
+    return [finished[k] for k in range(n_trials)]
 
 
 def best_of(trials: list) -> dict:
@@ -245,27 +307,29 @@ def refit(train: DataFrame, ch: Choice, spec: FeatureSpec = SALES, rare_tol: flo
 
 
 def nested_cv(table: DataFrame, family: str, n_trials: int = 20, spec: FeatureSpec = SALES, outer: int = 5,
-              inner: int = 3, seed: int = SEED, rare_tol: float = 0.05, folds=None):
+              inner: int = 3, seed: int = SEED, rare_tol: float = 0.05, folds=None, path: str | None = None,
+              workers: int = ST.AT_ONCE):
     """Outer folds of the prepared table -> T1 on the outer-train rows ->
-    T4 -> holdout metrics.  Returns ``(fold_rows, trial_rows)``."""
-    fold_rows, trial_rows = [], []
-    for f in (folds if folds is not None else range(outer)):
+    T4 -> holdout metrics.  Returns ``(fold_rows, trial_rows)``.  With ``path``, trials
+    are appended there, and those found there are not run again."""
+    def one(f):
         tr = table.where(F.col("fold") != f)
-        te = table.where(F.col("fold") == f)
-        trials = tune(tr, family, n_trials, spec, seed, inner, rare_tol)
-        for t in trials:
-            trial_rows.append({**t, "fold": f})
+        study = ST.Study(table.sparkSession, path, f"{family}-{seed}-{outer}x{inner}-{f}") if path else None
+        trials = tune(tr, family, n_trials, spec, seed, inner, rare_tol, study=study, workers=workers)
         best = best_of(trials)
-        ch = choice_from(best)
-        model = refit(tr, ch, spec, rare_tol)
+        model = refit(tr, choice_from(best), spec, rare_tol)
         row = {"model": family, "fold": f, "params": best["params"]}
-        for split, part in (("train", tr), ("test", te)):
-            for m, v in _metrics(model.transform(part), spec.label).items():
-                row[f"{split}_{m}"] = v
+        scored = model.transform(table).select(F.when(F.col("fold") == f, F.lit("test")).otherwise(F.lit("train")).alias("model"), F.lit("f").alias("fold"),
+                                               c(spec.label).alias("actual"), F.col("prediction").alias("predicted"))
+        for r in BL.fold_metrics(scored).collect():
+            for m in ("rmse", "mae", "median_ae"):
+                row[f"{r['model']}_{m}"] = r[m]
         row["val_rmse"], row["val_mae"], row["val_median_ae"] = (
             best.get("user_attrs_val_rmse"), best.get("user_attrs_val_mae"), best.get("user_attrs_val_median_ae"))
-        fold_rows.append(row)
-    return fold_rows, trial_rows
+        return row, [{**t, "fold": f} for t in trials]
+
+    done = ST.at_once(one, list(folds if folds is not None else range(outer)), min(2, workers))
+    return [row for row, _ in done], [t for _, trials in done for t in trials]
 
 
 def leaderboard(spark: SparkSession, fold_rows: list) -> DataFrame:
@@ -312,6 +376,9 @@ def save_pipeline_model(model: PipelineModel, path: str) -> None:
         elif isinstance(st, AdaBoostR2Model):
             st.save(sub)
             kind = "adaboost"
+        elif isinstance(st, HistBoosterModel):
+            st.save(sub)
+            kind = "booster"
         else:
             st.write().overwrite().save(sub)
             kind = f"{type(st).__module__}.{type(st).__name__}"
@@ -328,6 +395,8 @@ def load_pipeline_model(spark: SparkSession, path: str) -> PipelineModel:
             stages.append(load_stage(spark, m["path"]))
         elif m["kind"] == "adaboost":
             stages.append(AdaBoostR2Model.load(m["path"]))
+        elif m["kind"] == "booster":
+            stages.append(HistBoosterModel.load(m["path"]))
         else:
             mod, _, name = m["kind"].rpartition(".")
             stages.append(getattr(importlib.import_module(mod), name).load(m["path"]))

@@ -92,3 +92,18 @@ def test_quantile_normal_matches_numpy(spark):
     z = np.array([NormalDist().inv_cdf(p) if 0 < p < 1 else (lo if p <= 0 else -lo) for p in r])
     z = np.clip(z, lo, -lo)
     assert np.max(np.abs(out - z)) < 1e-6
+
+
+@pytest.mark.parametrize("method", ["standard", "minmax", "robust", "combine"])
+def test_scalers_pass_empty_columns_through(spark, method):
+    df = spark.createDataFrame([(float(i % 7), None) for i in range(40)], "x double, nothing double")
+    rows = FE.Scaler(method, columns=["x", "nothing"]).fit(df).transform(df).collect()
+    assert all(r["nothing"] is None for r in rows) and len({r["x"] for r in rows}) == 7
+
+
+def test_normal_quantiles():
+    import statistics
+    import numpy as np
+    from pricelens.functions.normal import ndtri_array
+    p = np.array([1e-300, 1e-12, 0.01, 0.07, 0.075, 0.3, 0.5, 0.9, 0.93, 0.999999])
+    assert np.allclose(ndtri_array(p), [statistics.NormalDist().inv_cdf(v) for v in p], rtol=1e-12)
