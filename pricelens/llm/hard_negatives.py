@@ -16,7 +16,7 @@ are integer inner products; higher ones are first, ties by smaller vec_id.
    sum is below what each window still takes, its floor or its k-th score: no row of a
    cell not visited can belong to the result.
 4. Each anchor is first searched in its own shard.  The k-th scores found there go along
-   with it to the other shards, which return only rows that reach them.  The results of all
+   with it to the other shards, which return only rows that come before them.  The results of all
    shards merge into the exact best ones.
 
 Anchors meet shards in groups of at most ``GROUP``, so neither side of a task grows with
@@ -50,7 +50,6 @@ LARGEST = 1 << 22
 ROWS = "num long, vec_id long, label long, dim int, vector binary"
 SHARDS = "shard long, dim int, num binary, vec_id binary, label binary, cell binary, vectors binary"
 FOUND = "num long, window int, score long, vec_id long, label long"
-ASK = "num long, dim int, label long, vector binary, windows array<int>, low array<long>, high array<long>, least array<long>"
 
 
 def _packed(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.RecordBatch]:
@@ -178,9 +177,9 @@ class Shard:
             return (self.float[rows] @ q.astype(np.float64)).astype(np.int64)
         return self.x[rows] @ q
 
-    def search(self, num: int, label: int, q: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray, same: bool, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    def search(self, num: int, label: int, q: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray, least_id: np.ndarray, same: bool, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each window the scores and rows of the first k with low <= score <= high
-        and score >= least, of the anchor's label or of the others."""
+        and at or before (least, least_id), of the anchor's label or of the others."""
         halves = q[: self.half].astype(np.float64), q[self.half :].astype(np.float64)
         norms = [np.sqrt((h * h).sum()) for h in halves]
         middle = [c @ h for c, h in zip(self.code, halves)]
@@ -203,7 +202,7 @@ class Shard:
                 rows = rows[self.num[rows] != num]
             s = self.scores(q, rows)
             for w in range(len(floor)):
-                ok = (s >= floor[w]) & (s <= high[w])
+                ok = (s >= floor[w]) & (s <= high[w]) & ((s != least[w]) | (self.vec_id[rows] <= least_id[w]))
                 if not ok.any():
                     continue
                 ss, rr = np.concatenate([found[w][0], s[ok]]), np.concatenate([found[w][1], rows[ok]])
@@ -242,9 +241,9 @@ def _searched(books: dict, same: bool, k: int):
         if shards.num_rows and asks.num_rows:
             shard = Shard(shards.to_pylist()[0], books)
             for a in asks.to_pylist():
-                low, high, least = (np.array(a[c], np.int64) for c in ("low", "high", "least"))
+                low, high, least, least_id = (np.array(a[c], np.int64) for c in ("low", "high", "least", "least_id"))
                 q = _matrix(a["vector"], a["dim"])[0].astype(np.int64)
-                for w, (s, r) in zip(a["windows"], shard.search(a["num"], a["label"], q, low, high, least, same, k)):
+                for w, (s, r) in zip(a["windows"], shard.search(a["num"], a["label"], q, low, high, least, least_id, same, k)):
                     rows += zip([a["num"]] * len(s), [w] * len(s), s.tolist(), shard.vec_id[r].tolist(), shard.label[r].tolist())
         return arrow_table(rows, FOUND)
     return searched
@@ -281,16 +280,19 @@ class MultiIndex:
         return shards.groupBy("shard", "part").cogroup(asks.groupBy("_shard", "_part")).applyInArrow(_searched(self.books, same, k), FOUND)
 
     def search(self, asks: DataFrame, same: bool, k: int) -> DataFrame:
-        """The first k rows for each window of ``asks`` (``ASK``): ``FOUND`` and rank."""
-        asks = written(asks, "asks")
+        """The first k rows for each window of ``asks`` (num, dim, label, vector, and the
+        arrays windows, low and high): ``FOUND`` and rank."""
+        asks = written(asks.withColumns({"least": F.col("low"), "least_id": F.array_repeat(F.lit((1 << 63) - 1), F.size("low"))}), "asks")
         part = F.pmod(F.xxhash64("num"), F.lit(max(1, -(-asks.count() // self.group)))).alias("part")
         own = asks.join(self.home, "num").select(*asks.columns, "shard", part)
         near = written(self._met(own, same, k), "near")
         # what each window must reach in the other shards
-        kth = near.groupBy("num", "window").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k)
-        kth = kth.groupBy("num").agg(F.map_from_entries(F.collect_list(F.struct("window", "kth"))).alias("kth"))
+        kth = near.groupBy("num", "window").agg(F.count("*").alias("n"), F.min("score").alias("score"), F.max_by("vec_id", F.struct(-F.col("score"), F.col("vec_id"))).alias("id")).where(F.col("n") >= k)
+        kth = kth.select("num", "window", F.struct("score", "id").alias("kth")).groupBy("num").agg(F.map_from_entries(F.collect_list(F.struct("window", "kth"))).alias("kth"))
         ready = asks.join(kth, "num", "left").join(self.home, "num").withColumnRenamed("shard", "home")
-        ready = ready.withColumn("least", F.when(F.col("kth").isNotNull(), F.zip_with("windows", "least", lambda w, v: F.greatest(v, F.coalesce(F.col("kth")[w], v)))).otherwise(F.col("least")))
+        def reached(own: str, field: str) -> Column:
+            return F.when(F.col("kth").isNotNull(), F.zip_with("windows", own, lambda w, v: F.coalesce(F.col("kth")[w][field], v))).otherwise(F.col(own)).alias(own)
+        ready = ready.withColumns({"least": reached("least", "score"), "least_id": reached("least_id", "id")})
         others = self.shards.select("shard", "dim")
         far = ready.join(others, "dim").where("shard <> home").select(*asks.columns, "shard", part)
         return _first(near.unionByName(self._met(far, same, k)), k)
@@ -309,14 +311,12 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column | str = "label", p
     the first ``negatives`` rows of other labels from ``low`` to ``high`` percent of its score."""
     at = MultiIndex(vectors, label, scale, **index)
     anchors = at.rows.where(is_anchor)
-    bottom, top = -(1 << 62), 1 << 62
-    one = [F.array(F.lit(v)) for v in (0, bottom, top, bottom)]
-    ask = anchors.select("num", "dim", "label", "vector", one[0].alias("windows"), *[o.cast("array<long>").alias(c) for o, c in zip(one[1:], ("low", "high", "least"))])
+    ask = anchors.select("num", "dim", "label", "vector", F.array(F.lit(0)).alias("windows"), F.array(F.lit(-(1 << 62))).alias("low"), F.array(F.lit(1 << 62)).alias("high"))
     best = written(at.search(ask, True, positives).select("num", "rank", F.col("score").alias("positive_score"), F.col("vec_id").alias("positive_id")), "positives")
     # whole numbers n with low * p <= 100 n <= high * p
     window = F.struct("rank", F.expr(f"({low} * positive_score + pmod(-{low} * positive_score, 100)) div 100").alias("low"), F.expr(f"({high} * positive_score - pmod({high} * positive_score, 100)) div 100").alias("high"))
     windows = best.groupBy("num").agg(F.array_sort(F.collect_list(window)).alias("w"))
-    ask = anchors.join(windows, "num").select("num", "dim", "label", "vector", F.col("w.rank").alias("windows"), F.col("w.low").alias("low"), F.col("w.high").alias("high"), F.col("w.low").alias("least"))
+    ask = anchors.join(windows, "num").select("num", "dim", "label", "vector", F.col("w.rank").alias("windows"), F.col("w.low").alias("low"), F.col("w.high").alias("high"))
     worst = at.search(ask, False, negatives)
     ids = anchors.select("num", F.col("vec_id").alias("anchor_id"))
     return worst.join(best.withColumnRenamed("rank", "window"), ["num", "window"]).join(ids, "num").select(

@@ -3,18 +3,20 @@
 A byte of a document goes if a string of ``LENGTH`` bytes that covers it also starts in
 a document with a smaller doc_id.
 
-1. Texts are written as compressed chunks.  Of every window of ``LENGTH`` bytes the
+1. Texts are written as compressed chunks.  A text of ``LENGTH`` bytes or more that is
+   whole in a document with a smaller doc_id loses all of its bytes, and goes.
+2. Of every window of ``LENGTH`` bytes the
    smallest hash of a ``GRAM``-byte piece is its anchor, so equal windows have equal
    anchors, and adjacent windows mostly share theirs.  Anchors (about one per 16 bytes)
    are brought together by a shuffle on the hash; those met in one document only leave.
-2. A chunk cuts out the segments of its windows whose anchor is met elsewhere, and deals
+3. A chunk cuts out the segments of its windows whose anchor is met elsewhere, and deals
    each distinct one to its anchor's place, with the least and greatest doc_id it occurs in.
-3. There segments are joined to strings of about ``BATCH`` bytes, whole anchors at a time,
+4. There segments are joined to strings of about ``BATCH`` bytes, whole anchors at a time,
    and sorted by the two-stage method: the suffixes smaller than their successors are
    sorted directly, the rest is induced by scanning the buckets of first bytes.  Adjacent
    common prefixes of at least ``LENGTH`` bytes make groups, and a group's least doc_id
    goes back to the chunks where some occurrence has a greater one.
-4. Chunks lay the windows that lose on their bytes and hash what is left.
+5. Chunks lay the windows that lose on their bytes and hash what is left.
 
 An anchor with more than ``HOT`` segments (a phrase in a great many contexts) is dealt
 window by window, on the hash of the whole window, so that no place gets an unbounded
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +54,9 @@ HOT = 4096
 RUN = LENGTH - GRAM + 1
 
 _U = np.uint64
-CHUNKS = "chunk long, ids binary, known binary, off binary, text binary"
+_MOST = np.iinfo(np.int64).max
+#: ``known``: has a doc_id; ``copy``: its text, not kept here, is whole in a smaller doc_id's.
+CHUNKS = "chunk long, ids binary, known binary, copy binary, size binary, off binary, text binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -186,6 +191,7 @@ class Chunk:
     """One row of the written chunks: the texts that have a doc_id can meet others."""
 
     def __init__(self, row: dict):
+        self.copy, self.size = np.frombuffer(row["copy"], bool), np.frombuffer(row["size"], np.int64)
         raw = zstandard.ZstdDecompressor().decompress(row["text"], max_output_size=max(1, int(np.frombuffer(row["off"], np.int64)[-1])))
         self.buf, self.off = np.frombuffer(raw, np.uint8), np.frombuffer(row["off"], np.int64)
         self.ids, self.known = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["known"], bool)
@@ -199,36 +205,34 @@ class Chunk:
 
     def segments(self, shared: np.ndarray, hot: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
         """Occurrences whose anchor is in ``shared`` (sorted): first window, windows,
-        anchor, doc; those in ``hot`` one window each, keyed by the window's hash."""
+        anchor, doc, name; those in ``hot`` one window each, keyed by the window's hash.
+        The name tells the run and the window in it; it doesn't depend on ``shared``."""
         first, n, anchor, doc = self.anchors(length)
         at = np.searchsorted(shared, anchor)
-        ok = (at < len(shared)) & (shared[np.minimum(at, max(0, len(shared) - 1))] == anchor) if len(shared) else np.zeros(len(anchor), bool)
-        first, n, anchor, doc = first[ok], n[ok], anchor[ok], doc[ok]
-        each = np.where(np.isin(anchor, hot), n, 1)
+        run = np.flatnonzero((at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == anchor)) if len(shared) else np.zeros(0, np.int64)
+        first, n, anchor, doc = first[run], n[run], anchor[run], doc[run]
+        alone = np.isin(anchor, hot)
+        each = np.where(alone, n, 1)
         turn = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        single = np.repeat(each > 1, each) | np.repeat(np.isin(anchor, hot), each)
+        single = np.repeat(alone, each)
         first, doc = np.repeat(first, each) + turn, np.repeat(doc, each)
         n, anchor = np.where(single, 1, np.repeat(n, each)), np.repeat(anchor, each)
+        name = np.repeat(run, each) * (length + 1) + np.where(single, turn + 1, 0)
         if single.any():
-            anchor = anchor.copy()
             anchor[single] = _hashes(self.buf, first[single], first[single] + length)
-        return first, n, anchor, doc
+        return first, n, anchor, doc, name
 
     def distinct(self, shared: np.ndarray, hot: np.ndarray, length: int):
-        """The occurrences, the number of each one's segment, and an occurrence of each
-        segment; segments are told apart by 128 bits of their bytes."""
-        first, n, anchor, doc = self.segments(shared, hot, length)
-        end = first + n + length - 1
-        a, b = _hashes(self.buf, first, end), _hashes(self.buf[::-1], len(self.buf) - end, len(self.buf) - first)
-        order = np.lexsort((b, a, anchor))
+        """The occurrences, the number of each one's segment, and the first occurrence
+        of each segment; segments are told apart by 128 bits of anchor and bytes."""
+        first, n, anchor, doc, name = self.segments(shared, hot, length)
+        whole = _hashes(self.buf, first, first + n + length - 1)
+        order = np.lexsort((whole, anchor))
         new = np.ones(len(order), bool)
-        for k in (anchor, a, b):
-            k = k[order]
-            new[1:] &= k[1:] == k[:-1]
-        new[1:] = ~new[1:]
+        new[1:] = (anchor[order[1:]] != anchor[order[:-1]]) | (whole[order[1:]] != whole[order[:-1]])
         number = np.empty(len(order), np.int64)
         number[order] = np.cumsum(new) - 1
-        return first, n, anchor, doc, number, order[new]
+        return first, n, anchor, doc, name, number, order[new]
 
 
 def _hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -256,10 +260,12 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         table = pa.Table.from_batches(held)
         buf, off = text_buffer(table.column("_text"))
         ids = table.column("_id").combine_chunks()
-        row = [(part << 32) + number, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes(),
-               ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), off.astype(np.int64).tobytes(), zstandard.ZstdCompressor(level=6).compress(buf.tobytes())]
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        digests = b"".join(hashlib.blake2b(buf[a:b].tobytes(), digest_size=16).digest() for a, b in zip(off[:-1], off[1:]))
+        row = [(part << 32) + number, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes(), known.tobytes(), np.zeros(len(known), bool).tobytes(),
+               np.diff(off).astype(np.int64).tobytes(), off.astype(np.int64).tobytes(), zstandard.ZstdCompressor(level=6).compress(buf.tobytes()), digests]
         number, held, weight = number + 1, [], 0
-        return pa.RecordBatch.from_arrays([pa.array([row[0]]), *[pa.array([v], pa.binary()) for v in row[1:]]], names=["chunk", "ids", "known", "off", "text"])
+        return pa.RecordBatch.from_arrays([pa.array([row[0]]), *[pa.array([v], pa.binary()) for v in row[1:]]], names=["chunk", "ids", "known", "copy", "size", "off", "text", "digests"])
 
     for batch in batches:
         for i in range(batch.num_rows):
@@ -272,6 +278,32 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         yield out()
 
 
+def _named(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The digests of texts that can lose bytes."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            size, ids = np.frombuffer(row["size"], np.int64), np.frombuffer(row["ids"], np.int64)
+            some = np.flatnonzero(np.frombuffer(row["known"], bool) & (size >= length))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), row["chunk"])), pa.array(some), pa.array(ids[some]), pa.array([row["digests"][16 * i : 16 * i + 16] for i in some], pa.binary())],
+                                             names=["chunk", "place", "id", "digest"])
+
+
+def _marked(chunks: pa.Table, copies: pa.Table) -> pa.Table:
+    """The chunk without the texts of its copies."""
+    names = [f.split()[0] for f in CHUNKS.split(", ")]
+    if not copies.num_rows:
+        return chunks.select(names)
+    row = chunks.to_pylist()[0]
+    chunk = Chunk(row)
+    copy = np.zeros(len(chunk.ids), bool)
+    copy[copies.column("place").to_numpy()] = True
+    left = np.where(copy, 0, chunk.size)
+    off = np.concatenate([[0], np.cumsum(left)])
+    text = b"".join(chunk.buf[a:b].tobytes() for a, b, c in zip(chunk.off[:-1], chunk.off[1:], copy) if not c)
+    row |= {"copy": copy.tobytes(), "off": off.tobytes(), "text": zstandard.ZstdCompressor(level=6).compress(text)}
+    return pa.Table.from_arrays([pa.array([row[c]], chunks.schema.field(c).type) for c in names], names=names)
+
+
 def _met(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Each anchor of a chunk once: runs * 2 + 1 if it is in several documents."""
     for batch in batches:
@@ -321,100 +353,109 @@ def _listed(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def _deal(length: int):
     def deal(chunks: pa.Table, rows: pa.Table) -> pa.Table:
-        names = ["anchor", "bytes", "chunk", "number", "low", "high"]
+        names = ["anchor", "bytes", "chunk", "name", "low", "high"]
         kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         if not chunks.num_rows or not rows.num_rows:
             return pa.Table.from_arrays([pa.array([], k) for k in kinds], names=names)
         row = chunks.to_pylist()[0]
         chunk = Chunk(row)
-        first, n, anchor, doc, number, lead = chunk.distinct(*_listed(rows), length)
-        low, high = np.full(len(lead), np.iinfo(np.int64).max), np.full(len(lead), np.iinfo(np.int64).min)
+        first, n, anchor, doc, name, number, lead = chunk.distinct(*_listed(rows), length)
+        low, high = np.full(len(lead), _MOST), np.full(len(lead), -_MOST)
         np.minimum.at(low, number, chunk.ids[doc])
         np.maximum.at(high, number, chunk.ids[doc])
         size = n[lead] + length - 1
         off = np.concatenate([[0], np.cumsum(size)])
         at = np.arange(off[-1]) - np.repeat(off[:-1] - first[lead], size)
         return pa.Table.from_arrays([pa.array(anchor[lead].view(np.int64)), binaries(chunk.buf[at], off), pa.array(np.full(len(lead), row["chunk"])),
-                                     pa.array(np.arange(len(lead))), pa.array(low), pa.array(high)], names=names)
+                                     pa.array(name[lead]), pa.array(low), pa.array(high)], names=names)
     return deal
 
 
-def least_ids(texts: list[bytes], low: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each window of each of the distinct ``texts`` the least ``low`` of the texts
-    that hold the same window, from the suffix array of all of them."""
-    size = np.array([len(t) for t in texts])
-    x = np.frombuffer(b"\0".join(texts), np.uint8)
+def least_ids(buf: np.ndarray, off: np.ndarray, low: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the distinct texts buf[off[i]:off[i+1]]: of each window, text by text, the
+    least ``low`` of the texts that hold the same window, from the suffix array of all of
+    them; and where each text's windows begin."""
+    count = len(low)
+    x = np.zeros(len(buf) + count, np.uint8)  # a zero after each text
+    x[np.arange(len(buf)) + np.repeat(np.arange(count), np.diff(off))] = buf
     words = words_at(x, length + 8)
     order = two_stage(x, length, words)
-    starts = np.concatenate([[0], np.cumsum(size + 1)])
-    inside = np.zeros(len(x), bool)  # windows that stay in their text
-    windows = np.maximum(0, size - length + 1)
-    at = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    place = np.repeat(starts[:-1], windows) + at
-    inside[place] = True
-    owner = np.zeros(len(x), np.int64)
-    owner[place] = np.repeat(np.arange(len(texts)), windows)
-    prefix = common_prefixes(words, order, length)
-    value = np.where(inside[order], low[owner[order]], np.iinfo(np.int64).max)
-    begin = np.flatnonzero(prefix < length)
+    windows = np.maximum(0, np.diff(off) - length + 1)
+    begin = np.concatenate([[0], np.cumsum(windows)])
+    place = np.arange(begin[-1]) - np.repeat(begin[:-1] - off[:-1] - np.arange(count), windows)
+    value = np.full(len(x), _MOST)  # of windows that stay in their text
+    value[place] = np.repeat(low, windows)
+    edge = np.flatnonzero(common_prefixes(words, order, length) < length)
     least = np.empty(len(x), np.int64)
-    least[order] = np.repeat(np.minimum.reduceat(value, begin), np.diff(np.append(begin, len(order))))
-    return np.split(least[place], np.cumsum(windows)[:-1])
+    least[order] = np.repeat(np.minimum.reduceat(value[order], edge), np.diff(np.append(edge, len(order))))
+    return least[place], begin
+
+
+def _replies(rows: pa.Table, length: int) -> pa.RecordBatch:
+    """The replies to rows sorted by anchor and bytes, whole anchors: the least doc_id of
+    each window (once if all windows have the same), if smaller than the row's greatest."""
+    raw = rows.column("bytes").combine_chunks()
+    anchor, chunk, name, low, high = (rows.column(c).to_numpy() for c in ("anchor", "chunk", "name", "low", "high"))
+    new = np.ones(len(anchor), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | pc.not_equal(raw[1:], raw[:-1]).to_numpy(zero_copy_only=False)
+    at, text = np.flatnonzero(new), np.cumsum(new) - 1
+    buf, off = text_buffer(raw.take(pa.array(at)).cast(pa.large_binary()).view(pa.large_string()))
+    least, begin = least_ids(buf, off, np.minimum.reduceat(low, at), length)
+    bottom, top = np.minimum.reduceat(least, begin[:-1]), np.maximum.reduceat(least, begin[:-1])
+    told = np.flatnonzero(bottom[text] < high)
+    t = text[told]
+    size = np.where(bottom[t] == top[t], 1, np.diff(begin)[t])
+    ends = np.concatenate([[0], np.cumsum(size)])
+    values = least[np.arange(ends[-1]) - np.repeat(ends[:-1] - begin[t], size)]
+    return pa.RecordBatch.from_arrays([pa.array(chunk[told]), pa.array(name[told]), binaries(values, ends)], names=["chunk", "name", "least"])
 
 
 def _judge(batches: Iterator[pa.RecordBatch], length: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Segments sorted by anchor and bytes: the least doc_id of each window, for the
-    chunks where it is smaller than some occurrence's."""
-    texts: list[bytes] = []
-    low: list[int] = []
-    rows: list[tuple[int, int, int, int]] = []  # text, chunk, number, high
-    weight, anchor = 0, None
-
-    def out() -> pa.RecordBatch:
-        nonlocal texts, low, rows, weight
-        least = least_ids(texts, np.array(low, np.int64), length)
-        smallest = np.array([v.min() for v in least])
-        packed = [v[:1].tobytes() if (v == v[0]).all() else v.tobytes() for v in least]
-        some = [(c, k, packed[t]) for t, c, k, h in rows if smallest[t] < h]
-        texts, low, rows, weight = [], [], [], 0
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.int64()), pa.array([r[2] for r in some], pa.binary())],
-                                          names=["chunk", "number", "least"])
-
+    """Segments sorted by anchor and bytes, in tables of whole anchors of about ``size`` bytes."""
+    held, weight, enough = [], 0, 2 * size
     for batch in batches:
-        for a, b, c, k, lo, hi in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            if a != anchor:
-                if weight >= size or len(rows) >= size:
-                    yield out()
-                anchor, new = a, True
-            else:
-                new = b != texts[-1]
-            if new:
-                texts.append(b)
-                low.append(lo)
-                weight += len(b) + 1
-            elif lo < low[-1]:
-                low[-1] = lo
-            rows.append((len(texts) - 1, c, k, hi))
-    if rows:
-        yield out()
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        weight += batch.nbytes
+        if weight >= enough:
+            rows = pa.Table.from_batches(held)
+            anchor = rows.column("anchor").to_numpy()
+            last = int(np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))[-1])  # the last anchor may go on
+            if last:
+                yield _replies(rows.slice(0, last), length)
+                rows = rows.slice(last).combine_chunks()
+            held, weight = rows.to_batches(), rows.nbytes
+            enough = 2 * max(size, weight)
+    if held:
+        yield _replies(pa.Table.from_batches(held), length)
 
 
 def _kept(length: int):
-    def kept(chunks: pa.Table, rows: pa.Table, replies: pa.Table) -> pa.Table:
+    def kept(chunks: pa.Table, replies: pa.Table) -> pa.Table:
         chunk = Chunk(chunks.to_pylist()[0])
         cover = np.zeros(len(chunk.buf) + 1, np.int32)
         if replies.num_rows:
-            first, n, _, doc, number, lead = chunk.distinct(*_listed(rows), length)
-            size = n[lead]
-            begin = np.cumsum(size) - size
-            least = np.full(int(size.sum()), np.iinfo(np.int64).max)
-            for k, raw in zip(replies.column("number").to_pylist(), replies.column("least").to_pylist()):
-                least[begin[k] : begin[k] + size[k]] = np.frombuffer(raw, np.int64)
+            told = replies.column("name").to_numpy()
+            all_anchors = chunk.anchors(length)[2]
+            run, alone = all_anchors[told // (length + 1)], told % (length + 1) > 0
+            first, n, _, doc, name, number, lead = chunk.distinct(np.unique(run), np.unique(run[alone]), length)
+            values, off = text_buffer(replies.column("least").combine_chunks().cast(pa.large_binary()).view(pa.large_string()))
+            values, off = values.view(np.int64), off // 8
+            # each segment's reply, by the name of its first occurrence
+            order = np.argsort(told)
+            at = np.searchsorted(told[order], name[lead])
+            has = (at < len(told)) & (told[order][np.minimum(at, len(told) - 1)] == name[lead])
+            reply = np.where(has, order[np.minimum(at, len(told) - 1)], -1)[number]
+            some = np.flatnonzero(reply >= 0)
+            first, n, doc, reply = first[some], n[some], doc[some], reply[some]
             turn = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            goes = least[np.repeat(begin[number], n) + turn] < np.repeat(chunk.ids[doc], n)
-            at = (np.repeat(first, n) + turn)[goes]
-            np.add.at(cover, at, 1)
-            np.add.at(cover, at + length, -1)
+            same = np.diff(off)[reply] == 1
+            least = values[np.repeat(off[:-1][reply], n) + np.where(np.repeat(same, n), 0, turn)]
+            goes = least < np.repeat(chunk.ids[doc], n)
+            lost = (np.repeat(first, n) + turn)[goes]
+            np.add.at(cover, lost, 1)
+            np.add.at(cover, lost + length, -1)
         gone = np.cumsum(cover[:-1]) > 0
         off = chunk.off
         total = np.concatenate([[0], np.cumsum(gone)])
@@ -427,8 +468,9 @@ def _kept(length: int):
         for a, b in zip(off[:-1], off[1:]):
             left = chunk.buf[a:b] if total[b] == total[a] else chunk.buf[a:b][~gone[a:b]]
             digests.append(hashlib.sha256(left.tobytes()).hexdigest())
-        return pa.Table.from_arrays([pa.array(chunk.ids, mask=~chunk.known), pa.array(np.diff(off)), pa.array(total[off[1:]] - total[off[:-1]]),
-                                     pa.array(spans[off[1:]] - spans[off[:-1]]), pa.array(digests, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        removed, runs = total[off[1:]] - total[off[:-1]], spans[off[1:]] - spans[off[:-1]]
+        return pa.Table.from_arrays([pa.array(chunk.ids, mask=~chunk.known), pa.array(chunk.size), pa.array(np.where(chunk.copy, chunk.size, removed)),
+                                     pa.array(np.where(chunk.copy, 1, runs)), pa.array(digests, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     return kept
 
 
@@ -440,24 +482,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, chunk: int = CHUNK, ho
     spark = docs.sparkSession
     n = partitions(spark)
     texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
-    chunks = written(texts.mapInArrow(lean(_chunks, chunk), CHUNKS), "chunks")
+    whole = written(texts.mapInArrow(lean(_chunks, chunk), CHUNKS + ", digests binary"), "texts")
+    named = whole.drop("off", "text").mapInArrow(lambda b: _named(b, length), "chunk long, place long, id long, digest binary")
+    first = named.groupBy("digest").agg(F.min("id").alias("low"))
+    copies = named.join(first, "digest").where("id > low").select("chunk", "place")
+    chunks = written(whole.drop("digests").groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(_marked, CHUNKS), "chunks")
     met = chunks.mapInArrow(lean(_met, length), "anchor long, chunk long, n long")
     dealt = met.repartition(n, "anchor").sortWithinPartitions("anchor")
     shared = written(dealt.mapInArrow(lean(_shared, hot), "chunk long, anchor long, hot boolean"), "shared")
-    segments = chunks.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_deal(length), "anchor long, bytes binary, chunk long, number long, low long, high long")
+    segments = chunks.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_deal(length), "anchor long, bytes binary, chunk long, name long, low long, high long")
     sorted_ = segments.repartition(n, "anchor").sortWithinPartitions("anchor", "bytes")
-    replies = written(sorted_.mapInArrow(lean(_judge, length, batch), "chunk long, number long, least binary"), "replies")
-    # what a chunk needs beside its texts comes as rows of one table
-    asked = shared.select("chunk", "anchor", "hot", F.lit(None).cast("long").alias("number"), F.lit(None).cast("binary").alias("least"))
-    told = replies.select("chunk", F.lit(None).cast("long").alias("anchor"), F.lit(None).cast("boolean").alias("hot"), "number", "least")
-    need = asked.join(replies.select("chunk").distinct(), "chunk", "left_semi").unionByName(told)
-    work = _kept(length)
-
-    def last(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        told = rows.column("number").is_valid()
-        return work(texts, rows.filter(rows.column("anchor").is_valid()), rows.filter(told))
-
-    return chunks.groupBy("chunk").cogroup(need.groupBy("chunk")).applyInArrow(last, RESULT)
+    replies = written(sorted_.mapInArrow(lean(_judge, length, batch), "chunk long, name long, least binary"), "replies")
+    return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_kept(length), RESULT)
 
 
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ def test_index_skips_cells_and_stays_exact():
     shard.scores = lambda q, rows: (scored.append(len(rows)), inner(q, rows))[1]
     q = x[17].astype(np.int64)
     far = 1 << 60
-    ((s, r),) = shard.search(17, int(label[17]), q, np.array([-far]), np.array([far]), np.array([-far]), True, 5)
+    ((s, r),) = shard.search(17, int(label[17]), q, np.array([-far]), np.array([far]), np.array([-far]), np.array([far]), True, 5)
     want = sorted((-int(q @ y.astype(np.int64)), i) for i, y in enumerate(x) if i != 17 and label[i] == label[17])[:5]
     assert [(-a, int(shard.vec_id[b])) for a, b in zip(s, r)] == want
     assert sum(scored) < 2000  # the certificate ends the visit early
