@@ -186,14 +186,12 @@ def batch_rejects(spark, sf):
     return _batch_table(spark, sf).rejects()
 
 
-@q("batch_log", (), _BATCH_SQL + """
-SELECT batch, "rows"::BIGINT AS "rows", repeats::BIGINT AS repeats, rejects::BIGINT AS rejects FROM (
-  SELECT 'half' AS batch, (SELECT count(*) FROM (SELECT DISTINCT * FROM raw WHERE reason = '' AND "UID" % 2 = 0)) AS "rows",
-    (SELECT count(*) FROM raw WHERE reason = '' AND "UID" % 2 = 0) - "rows" AS repeats, (SELECT count(*) FROM raw WHERE reason <> '' AND "UID" % 2 = 0) AS rejects
-  UNION ALL
-  SELECT 'all', (SELECT count(*) FROM (SELECT DISTINCT * FROM raw WHERE reason = '' AND "UID" % 2 <> 0)) AS "rows",
-    (SELECT count(*) + sum(CASE WHEN "UID" % 5 = 0 THEN 1 ELSE 0 END) FROM raw WHERE reason = '') - "rows",
-    (SELECT count(*) + sum(CASE WHEN "UID" % 5 = 0 THEN 1 ELSE 0 END) FROM raw WHERE reason <> ''))""")
+@q("batch_log", (), _BATCH_SQL + """, loads AS (
+  SELECT 'half' AS batch, *, "UID" % 2 = 0 AS fresh FROM raw WHERE "UID" % 2 = 0
+  UNION ALL SELECT 'all', raw.*, "UID" % 2 <> 0 FROM raw, range(0, CASE WHEN "UID" % 5 = 0 THEN 2 ELSE 1 END) AS r(i)),
+kept AS (SELECT batch, count(*) AS n FROM (SELECT DISTINCT * FROM loads WHERE fresh AND reason = '') GROUP BY batch),
+seen AS (SELECT batch, count(*) FILTER (WHERE reason = '') AS good, count(*) FILTER (WHERE reason <> '') AS rejects FROM loads GROUP BY batch)
+SELECT batch, n AS "rows", good - n AS repeats, rejects FROM seen JOIN kept USING (batch)""")
 def batch_log(spark, sf):
     """The commit log: rows kept, repeats left out and rejects of each batch."""
     return _batch_table(spark, sf).log().select("batch", "rows", "repeats", "rejects")

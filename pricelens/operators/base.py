@@ -17,18 +17,8 @@ import os
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..session import cut_lineage, read_json, write_json
-
-# Dimension tables up to this many rows are broadcast; bigger ones take a
-# shuffle join.  The row count is taken from the checkpointed table, so the
-# check costs one metadata-sized job.
-BROADCAST_ROW_LIMIT = 200_000
-# Fitted lookup tables up to this many entries are kept as literal maps in
-# the model (no join, no broadcast job at transform time); the count is
-# known from the fit, so the bound is checked, not assumed.
-LITERAL_MAP_LIMIT = 512
+from ..session import cut_lineage, read_json, scratch_path, write_json
 
 
 class Stage(Estimator):
@@ -92,23 +82,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def join_dimension(df: DataFrame, dim: DataFrame, keys, how: str = "left", rows: int | None = None) -> DataFrame:
-    """Left join of the fact rows to a fitted dimension table.
-
-    Broadcast only when the table's row count (known from the fit) is within
-    ``BROADCAST_ROW_LIMIT``; otherwise a shuffle join, which AQE may still
-    demote at runtime.
-    """
-    if rows is None:
-        rows = dim.count()
-    side = F.broadcast(dim) if rows <= BROADCAST_ROW_LIMIT else dim
-    return df.join(side, list(keys), how)
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a fitted table to the shared checkpoint folder as Parquet and read it back:
+    Spark then knows its size in bytes, and joins to it accordingly."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def literal_lookup(mapping: dict, key_col, default=None):
-    """``mapping[key]`` as a native expression over a literal map."""
-    if not mapping:
-        return F.lit(default) if default is not None else F.lit(None).cast("double")
-    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-    val = m[key_col]
-    return F.coalesce(val, F.lit(default)) if default is not None else val
+def join_dimension(df: DataFrame, dim: DataFrame, keys, how: str = "left") -> DataFrame:
+    """Join of the fact rows to a fitted dimension table.  No hint: Spark broadcasts a
+    table below its own limit in bytes and else shuffles, and splits hot keys at runtime."""
+    return df.join(dim, list(keys), how)

@@ -23,7 +23,7 @@ from ..functions.ordered import exact_quantiles, long_values, ordered_counts
 from ..functions.stats import (BOUNDS_THRESHOLD, NORMAL_CLIP, anderson_darling,
                                anderson_from_ordered, grid_quantiles, is_gaussian,
                                yeo_johnson, yeo_johnson_lambda)
-from .base import LITERAL_MAP_LIMIT, FittedStage, Stage, join_dimension, literal_lookup, materialise
+from .base import FittedStage, Stage, join_dimension, materialise, written_table
 
 
 # ---------------------------------------------------------------- F1 ------
@@ -291,7 +291,7 @@ class GroupStatFeatures(Stage):
     ``<col>_<stat>_<suffix>``; plus the number of distinct ``MC`` per Brand
     (``Brand_MC_nunique``).  Medians come from the ordered-count table (a
     hot group spreads over many range partitions).  Group tables are written
-    to the checkpoint folder and left-joined back (broadcast when small).
+    to the checkpoint folder and left-joined back.
     """
 
     def __init__(self, continuous, groups=(("ZONE", "Zone"), ("Brand", "Brand")),
@@ -321,21 +321,9 @@ class GroupStatFeatures(Stage):
                                  F.lit(None).cast("double").alias("std"), F.lit(None).cast("double").alias("median")))
         for e in extra:
             stats = stats.unionByName(e)
-        stats = materialise(stats)
-        counted = stats.groupBy("grp").agg(F.countDistinct("gval").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
-        sizes = {r["grp"]: r["n"] for r in counted}
+        stats = written_table(stats, "group-stats")
         suffix = dict(self.groups)
-        maps = None
-        # the bound is on literals in the plan (one per group, column and
-        # statistic), not on groups: wide literal maps overflow codegen
-        if sum(r["rows"] for r in counted) * len(GROUP_STATS) <= LITERAL_MAP_LIMIT:
-            maps = {}
-            for r in stats.collect():
-                for st in GROUP_STATS:
-                    if r[st] is not None:
-                        maps.setdefault(f"{r['grp']}\u0001{r['column']}\u0001{st}", {})[r["gval"]] = float(r[st])
-        return GroupStatModel(groups, [sizes.get(k, 0) for k in groups], stats, self.continuous, suffix,
-                              [(k, n) for k, _, n in self.nunique], maps)
+        return GroupStatModel(groups, stats, self.continuous, suffix, [(k, n) for k, _, n in self.nunique])
 
 
 def group_stats(df: DataFrame, key: str, cols, suffix: str) -> DataFrame:
@@ -359,11 +347,10 @@ class GroupStatModel(FittedStage):
 
     _frames = ("stats",)
 
-    def __init__(self, keys, sizes, stats, continuous, suffix, nunique, maps=None):
+    def __init__(self, keys, stats, continuous, suffix, nunique):
         super().__init__()
-        self.keys, self.sizes, self.stats = keys, sizes, stats
+        self.keys, self.stats = keys, stats
         self.continuous, self.suffix, self.nunique = continuous, suffix, nunique
-        self.maps = maps
 
     def _dimension(self, key):
         sub = self.stats.where(F.col("grp") == key)
@@ -377,23 +364,11 @@ class GroupStatModel(FittedStage):
         return sub.groupBy(F.col("gval").alias(key)).agg(*aggs)
 
     def _transform(self, df):
-        if self.maps is not None:
-            new = {}
-            for key in self.keys:
-                kc = c(key).cast("string")
-                for col in self.continuous:
-                    for st in GROUP_STATS:
-                        new[f"{col}_{st}_{self.suffix[key]}"] = literal_lookup(
-                            self.maps.get(f"{key}\u0001{col}\u0001{st}", {}), kc)
-                for k, name in self.nunique:
-                    if k == key:
-                        new[name] = literal_lookup(self.maps.get(f"{key}\u0001{name}\u0001mean", {}), kc).cast("long")
-            return df.withColumns(new)
         out = df
-        for key, rows in zip(self.keys, self.sizes):
+        for key in self.keys:
             dim = self._dimension(key)
             out = join_dimension(out.withColumn("_gk", c(key).cast("string")),
-                                 dim.withColumnRenamed(key, "_gk"), ["_gk"], rows=rows).drop("_gk")
+                                 dim.withColumnRenamed(key, "_gk"), ["_gk"]).drop("_gk")
         return out
 
 
@@ -444,14 +419,13 @@ class TargetEncoder(Stage):
                  .groupBy("column", "category")
                  .agg(F.sum("_y").alias("sum_y"), F.count("_y").alias("n")))
         # job 2: the per-category table, written once
-        stats = materialise(stats.withColumn(
-            "enc", (F.col("sum_y") + F.lit(self.a * prior)) / (F.col("n") + F.lit(self.a))))
-        # job 3: table size and the encoded variance per column (n_k rows
+        stats = written_table(stats.withColumn(
+            "enc", (F.col("sum_y") + F.lit(self.a * prior)) / (F.col("n") + F.lit(self.a))), "target-encoding")
+        # job 3: the encoded variance per column (n_k rows
         # share the value e_k; NULL categories are encoded with the prior)
         v = (stats.groupBy("column").agg(
             F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"), F.sum(F.col("n") * F.col("enc")).alias("s1"),
             F.sum(F.col("n") * F.col("enc") * F.col("enc")).alias("s2")).collect())
-        size = sum(r["k"] for r in v)
         drop = []
         if self.drop_invariant:
             seen = set()
@@ -465,34 +439,24 @@ class TargetEncoder(Stage):
                 if var <= 10e-5:
                     drop.append(r["column"])
             drop += [col for col in self.columns if col not in seen]
-        maps = None
-        if size <= LITERAL_MAP_LIMIT:
-            maps = {col: {} for col in self.columns}
-            for r in stats.select("column", "category", "enc").collect():
-                maps[r["column"]][r["category"]] = float(r["enc"])
-        return TargetEncoderModel(self.columns, prior, drop, size, stats, maps)
+        return TargetEncoderModel(self.columns, prior, drop, stats)
 
 
 class TargetEncoderModel(FittedStage):
     _frames = ("stats",)
 
-    def __init__(self, columns, prior, drop, size, stats, maps=None):
+    def __init__(self, columns, prior, drop, stats):
         super().__init__()
-        self.columns, self.prior, self.drop, self.size, self.stats = columns, prior, drop, size, stats
-        self.maps = maps
+        self.columns, self.prior, self.drop, self.stats = columns, prior, drop, stats
 
     def _transform(self, df):
-        if self.maps is not None:
-            enc = {col: literal_lookup(self.maps.get(col, {}), c(col).cast("string"), float(self.prior))
-                   for col in self.columns if col not in self.drop}
-            return df.withColumns(enc).drop(*[d for d in self.drop if d in df.columns])
         out = df
         for col in self.columns:
             if col in self.drop:
                 continue
             dim = (self.stats.where(F.col("column") == col)
                    .select(F.col("category").alias("_cat"), F.col("enc").alias("_enc")))
-            out = (join_dimension(out.withColumn("_cat", c(col).cast("string")), dim, ["_cat"], rows=self.size)
+            out = (join_dimension(out.withColumn("_cat", c(col).cast("string")), dim, ["_cat"])
                    .withColumn(col, F.coalesce(F.col("_enc"), F.lit(self.prior))).drop("_cat", "_enc"))
         return out.drop(*[d for d in self.drop if d in out.columns])
 

@@ -21,7 +21,7 @@ from ..functions.columns import c, nan_to_null
 from ..functions.ordered import (average_rank_table, exact_quantiles, long_values,
                                  ordered_counts)
 from ..session import cut_lineage
-from .base import join_dimension
+from .base import join_dimension, written_table
 
 
 def _long_text(df: DataFrame, cols) -> DataFrame:
@@ -101,8 +101,7 @@ def _box(long: DataFrame, keys, whis: float = 1.5) -> DataFrame:
           .select(*keys, F.col("`0.25`").alias("q1"), F.col("`0.5`").alias("median"), F.col("`0.75`").alias("q3")))
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
         "_lo": F.col("q1") - whis * F.col("iqr"), "_hi": F.col("q3") + whis * F.col("iqr")})
-    rows = qw.count()
-    j = join_dimension(long.where(F.col("value").isNotNull()), qw, keys, how="inner", rows=rows)
+    j = join_dimension(long.where(F.col("value").isNotNull()), written_table(qw, "quartiles"), keys, how="inner")
     inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
     return j.groupBy(*keys).agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),

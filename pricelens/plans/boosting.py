@@ -3,7 +3,7 @@
 Features are cut into at most ``bins`` bins once.  A tree grows level by level, and each
 level is one job: partitions add up gradient and row number per (node, feature, bin), the
 sums of a feature meet in one place, which finds the feature's best split of every node.
-Only one split a node reaches the driver.
+Only these, one for each node and feature, reach the driver.
 
 * Gain of a split: [T(G_l)²/(H_l + l2) + T(G_r)²/(H_r + l2) - T(G)²/(H + l2)] x ``factor``,
   T shrinking by l1; it must exceed ``gamma``, and both sides need ``min_child_weight``
@@ -243,13 +243,15 @@ class HistBooster(Estimator):
             noise = (hp["random_strength"] * spread / (k + 1.0), int(rng.integers(1 << 31)))
             sums = state.mapInArrow(lambda b: _histograms(b, p, tree, open_nodes, features, width, hp["subsample"], draw), "feature int, cell binary, g binary, n binary")
             found = sums.repartition(min(len(features), int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "feature").mapInArrow(lambda b: _best(b, open_nodes, width, hp, noise), _SPLIT)
-            best = F.max_by(F.struct("feature", "bin", "gain", "gl", "nl", "g", "n"), F.struct("gain", -F.col("feature"), -F.col("bin")))
-            if hp["symmetric"]:  # the same split for all: the best by its sum
-                splits = found.collect()
-                top = max(((r["gain"], -r["feature"], -r["bin"]) for r in splits), default=(-np.inf, 0, 0))
-                rows = {r["node"]: r for r in splits if (r["feature"], r["bin"]) == (-top[1], -top[2])}
-            else:
-                rows = {r["node"]: r["s"] for r in found.groupBy("node").agg(best.alias("s")).collect()}
+            splits = found.toArrow()  # a row per open node and feature
+            col = {n: splits.column(n).to_numpy() for n in splits.column_names}
+            order = np.lexsort((col["bin"], col["feature"], -col["gain"], *(() if hp["symmetric"] else (col["node"],))))
+            if hp["symmetric"] and len(order):  # the same split for all: the best by its sum
+                top = order[0]
+                order = np.flatnonzero((col["feature"] == col["feature"][top]) & (col["bin"] == col["bin"][top]))
+            rows: dict = {}
+            for i in order:
+                rows.setdefault(int(col["node"][i]), {n: v[i].item() for n, v in col.items()})
             made = []
             for node in open_nodes:
                 r = rows.get(node)

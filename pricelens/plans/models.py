@@ -216,6 +216,7 @@ class AdaBoostR2(Estimator):
             scored = scored.select("_x", "_y", "_w", "_part", "_e").persist()
             emax = scored.where("_w > 0").agg(F.max("_e")).first()[0] or 0.0
             if emax <= 0:
+                scored.unpersist()
                 trees.append(m)
                 weights.append(1.0)
                 break

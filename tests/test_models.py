@@ -131,3 +131,33 @@ def test_cooks_distance_at_leverage_one(spark):
     df = spark.createDataFrame(rows, "a double, b double, y double")
     out = {r["b"]: r for r in cooks_distance(df, ["a", "b"], "y").collect() if r["b"] > 0}
     assert out[5.0]["leverage"] > 1 - 1e-9 and out[5.0]["influential"] in (True, False)
+
+
+def test_linear_tree_shap_on_deep_trees_with_repeated_features():
+    """Trees of depth 7 over 4 features, rows alike in all outcomes among them."""
+    from pricelens.plans import explain as EX
+    rng = np.random.default_rng(0)
+    data = np.round(rng.normal(size=(600, 4)), 1)
+
+    def grown(rows, depth, t):
+        node = len(t["left"])
+        for k, v in (("left", -1), ("right", -1), ("feature", -1), ("threshold", 0.0), ("value", rng.normal()), ("cover", float(len(rows)))):
+            t[k].append(v)
+        f = int(rng.integers(4))
+        cut = np.median(data[rows, f]) if depth < 7 else np.inf
+        left = data[rows, f] <= cut
+        if depth < 7 and left.any() and not left.all():
+            t["feature"][node], t["threshold"][node] = f, cut
+            t["left"][node] = grown(rows[left], depth + 1, t)
+            t["right"][node] = grown(rows[~left], depth + 1, t)
+        return node
+
+    for _ in range(3):
+        t = {k: [] for k in ("left", "right", "feature", "threshold", "value", "cover")}
+        grown(np.arange(600), 0, t)
+        t = {k: np.array(v) for k, v in t.items()}
+        phi = np.zeros((12, 4))
+        rows = np.vstack([data[:10], data[:2]])
+        EX.tree_shap_batch(rows, t, phi, 0.5)
+        for x, p in zip(rows, phi):
+            assert np.allclose(p, 0.5 * np.array(_brute_shapley(t, x, 4)), atol=1e-9)
