@@ -110,7 +110,7 @@ def _drawn(row: np.ndarray, share: float, seed: int) -> np.ndarray:
     """A seeded choice of rows by their numbers."""
     if share >= 1:
         return np.ones(len(row), bool)
-    h = row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed) * np.uint64(0xD1342543DE82EF95)
+    h = row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
     for shift, mul in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(mul)
     return (h ^ (h >> np.uint64(31))).astype(np.float64) / 2.0**64 < share

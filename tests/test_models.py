@@ -92,7 +92,8 @@ def test_search_space_draws_are_in_range():
         for _ in range(20):
             p = MD.sample_model_params(fam, rng)
             if "alpha" in p:
-                assert 1e-6 <= p["alpha"] <= 2
+                low, high = (0.1, 100) if fam == "XGBRegressor" else (1e-6, 2)
+                assert low <= p["alpha"] <= high
             if "learning_rate" in p:
                 assert 0.01 <= p["learning_rate"] <= 1
 
