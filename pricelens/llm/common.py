@@ -68,6 +68,20 @@ def chunk_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(_U) * _U(0x9E3779B97F4A7C15))
 
 
+def gram_hashes(buf: np.ndarray, size: int) -> np.ndarray:
+    """``chunk_hashes`` of every run of ``size`` bytes, case counting."""
+    n = len(buf) - size + 1
+    if n <= 0:
+        return np.zeros(0, _U)
+    up, down = _power(len(buf) + 1)
+    total = np.zeros(len(buf) + 1, _U)
+    np.cumsum(_BYTE_CASED[buf] * up[: len(buf)], out=total[1:])
+    h = total[size:] - total[:n]
+    h *= down[:n]
+    h += _U(size * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return mix(h)
+
+
 class Words:
     """The words of some texts: ``hash``, byte ``start`` and ``end`` per word, and
     ``first`` (len texts + 1): text i holds words first[i] to first[i+1]."""

@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binaries, chunk_hashes, lean, partitions, small_batches, text_buffer, written
+from .common import binaries, chunk_hashes, gram_hashes, lean, partitions, small_batches, text_buffer, written
 
 LENGTH = 50
 GRAM = 20
@@ -158,23 +158,24 @@ def anchors(buf: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.
     total = max(0, len(buf) - length + 1)
     for s in range(0, total, SLICE):
         e = min(s + SLICE, total)
-        b = buf[s : e + length - 1]
-        m = len(b) - gram + 1
-        low = chunk_hashes(b, np.arange(m), np.arange(gram, m + gram))
+        low = gram_hashes(buf[s : e + length - 1], gram)
         span = 1
         while span * 2 <= run:
             low = np.minimum(low[:-span], low[span:])
             span *= 2
         if span < run:
             low = np.minimum(low[: len(low) - (run - span)], low[run - span :])
-        start = np.arange(s, e)
-        doc = np.searchsorted(off, start, side="right") - 1
-        ok = start + length <= off[doc + 1]
-        start, doc, low = start[ok], doc[ok], low[ok]
+        # windows that reach over the end of their text; so those of two texts never adjoin
+        inner = off[np.searchsorted(off, s, side="right") : np.searchsorted(off, e + length - 1)]
+        over = np.zeros(e - s + 1, np.int32)
+        np.add.at(over, np.maximum(inner - length + 1 - s, 0), 1)
+        np.add.at(over, np.minimum(inner - s, e - s), -1)
+        start = np.flatnonzero(np.cumsum(over[:-1]) == 0)
         if not len(start):
             continue
+        low, start = low[start], start + s
         new = np.ones(len(start), bool)
-        new[1:] = (low[1:] != low[:-1]) | (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1])
+        new[1:] = (low[1:] != low[:-1]) | (start[1:] != start[:-1] + 1)
         at = np.flatnonzero(new)
         n = np.diff(np.append(at, len(start)))
         # long runs (periodic text) in pieces
@@ -434,7 +435,7 @@ def _judge(batches: Iterator[pa.RecordBatch], length: int, size: int) -> Iterato
 def _kept(length: int):
     def kept(chunks: pa.Table, replies: pa.Table) -> pa.Table:
         chunk = Chunk(chunks.to_pylist()[0])
-        cover = np.zeros(len(chunk.buf) + 1, np.int32)
+        cover = np.zeros(len(chunk.buf) + 1, np.int64)
         if replies.num_rows:
             told = replies.column("name").to_numpy()
             all_anchors = chunk.anchors(length)[2]
@@ -454,8 +455,7 @@ def _kept(length: int):
             least = values[np.repeat(off[:-1][reply], n) + np.where(np.repeat(same, n), 0, turn)]
             goes = least < np.repeat(chunk.ids[doc], n)
             lost = (np.repeat(first, n) + turn)[goes]
-            np.add.at(cover, lost, 1)
-            np.add.at(cover, lost + length, -1)
+            cover += np.bincount(lost, minlength=len(cover)) - np.bincount(lost + length, minlength=len(cover))
         gone = np.cumsum(cover[:-1]) > 0
         off = chunk.off
         total = np.concatenate([[0], np.cumsum(gone)])
