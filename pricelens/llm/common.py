@@ -289,6 +289,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``written`` table that nothing later reads."""
+    sc = df.sparkSession.sparkContext
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: a lost executor re-reads it; the session's cleaner
     removes it once nothing refers to it."""

@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binaries, chunk_hashes, gram_hashes, lean, partitions, small_batches, text_buffer, written
+from .common import binaries, chunk_hashes, discard, gram_hashes, lean, partitions, small_batches, text_buffer, written
 
 LENGTH = 50
 GRAM = 20
@@ -487,6 +487,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, chunk: int = CHUNK, ho
     first = named.groupBy("digest").agg(F.min("id").alias("low"))
     copies = named.join(first, "digest").where("id > low").select("chunk", "place")
     chunks = written(whole.drop("digests").groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(_marked, CHUNKS), "chunks")
+    discard(whole)
     met = chunks.mapInArrow(lean(_met, length), "anchor long, chunk long, n long")
     dealt = met.repartition(n, "anchor").sortWithinPartitions("anchor")
     shared = written(dealt.mapInArrow(lean(_shared, hot), "chunk long, anchor long, hot boolean"), "shared")
