@@ -810,6 +810,39 @@ def cooks_distance(spark, sf):
     return DG.cooks_distance(t, ["MRP"], "SP").select("MRP", "SP", "predicted", "leverage", "cooks_d", "influential")
 
 
+_QR_SQL = _ols2_sql() + """,
+raw AS (SELECT sum("MRP" * "MRP") AS aa, sum("MRP" * "NSU") AS ab, sum("NSU" * "NSU") AS bb, count(*) AS n FROM clean),
+r AS (SELECT "MRP", "NSU", "SP", n, a + b1 * "MRP" + b2 * "NSU" AS predicted, a + b1 * "MRP" + b2 * "NSU" - "SP" AS residual,
+             ("MRP" * "MRP" * bb - 2 * "MRP" * "NSU" * ab + "NSU" * "NSU" * aa) / (aa * bb - ab * ab) AS leverage FROM clean, fit, raw),
+s AS (SELECT sum(residual * residual) / (any_value(n) - 2) AS mse FROM r),
+d AS (SELECT r.*, residual * residual * leverage / (2 * mse * (1 - leverage) * (1 - leverage)) AS cooks_d FROM r, s)"""
+
+
+def _collinear(spark, sf):
+    return clean_table(spark, sf).select("MRP", "NSU", "SP").withColumn("BLEND", 2 * c("MRP") + 3 * c("NSU"))
+
+
+@q("qr_cooks_distance", ["MRP", "NSU", "SP", "predicted", "residual", "leverage", "cooks_d"], with_clean(
+    'SELECT "MRP", "NSU", "SP", predicted, residual, leverage, cooks_d, cooks_d > 4.0 / n AS influential FROM d', _QR_SQL), digits=6)
+def qr_cooks_distance(spark, sf):
+    """G1 + G2 on collinear features: SP ~ MRP + NSU + (2 MRP + 3 NSU), of which two are kept."""
+    from .plans import qr as QR
+    t = _collinear(spark, sf)
+    return QR.cooks_distance(t, ["MRP", "NSU", "BLEND"], "SP").drop("BLEND")
+
+
+@q("qr_influence_by_zone", ["max_leverage", "max_cooks_d", "rmse"], with_clean(
+    'SELECT "ZONE", count(*) FILTER (cooks_d > 4.0 / n) AS influential, max(leverage) AS max_leverage, max(cooks_d) AS max_cooks_d, '
+    'sqrt(avg(residual * residual)) AS rmse FROM d GROUP BY "ZONE"',
+    _QR_SQL.replace('SELECT "MRP", "NSU", "SP", n,', 'SELECT "ZONE", "MRP", "NSU", "SP", n,')), digits=6)
+def qr_influence_by_zone(spark, sf):
+    """G2 summed up: influential rows and the largest distance per ZONE, SP ~ MRP + NSU."""
+    from .plans import qr as QR
+    rows = QR.cooks_distance(clean_table(spark, sf), ["MRP", "NSU"], "SP")
+    return rows.groupBy("ZONE").agg(F.sum(F.col("influential").cast("long")).alias("influential"), F.max("leverage").alias("max_leverage"),
+                                    F.max("cooks_d").alias("max_cooks_d"), F.sqrt(F.avg(F.col("residual") ** 2)).alias("rmse"))
+
+
 def _shap_lin(spark, sf):
     from .plans import diagnose as DG
     from .plans import explain as EX
@@ -1020,6 +1053,34 @@ for _tag, _fam, _id in [("huber", "HuberRegressor", "M1"), ("ridge", "Ridge", "M
     _register_family(_tag, _fam, _id)
 
 
+def _prepared(spark, sf):
+    """The training table after the steps of the linear pipelines, and its numeric features."""
+    from .plans import pipeline as PL
+    ch = _default_choice("Ridge")
+    stages = PL.preparation(ch, TEST_SALES, RARE_TOL) + [FE.Scaler("standard", exclude=["SP", *PL.FOLDS(TEST_SALES)])]
+    t = _training(spark, sf)
+    rows = PL.fit_pipeline(PL.Pipeline(stages=stages), t).transform(t)
+    out = {"SP", *PL.FOLDS(TEST_SALES)}
+    return rows, [n for n, k in rows.dtypes if n not in out and k in ("double", "int", "bigint", "float")]
+
+
+@q("model_coefficients")
+def model_coefficients(spark, sf):
+    """M2 without penalty on every encoded and scaled feature of the linear pipelines: the
+    one-hot groups sum to 1 and are found to be aliased with the intercept."""
+    from .plans import qr as QR
+    rows, features = _prepared(spark, sf)
+    return QR.coefficients(rows, features, "SP")
+
+
+@q("model_diagnostics")
+def model_diagnostics(spark, sf):
+    """G1 + G2 on every encoded and scaled feature of the linear pipelines, per row."""
+    from .plans import qr as QR
+    rows, features = _prepared(spark, sf)
+    return QR.cooks_distance(rows, features, "SP").select("row_id", "SP", "predicted", "residual", "leverage", "cooks_d", "influential")
+
+
 @q("inner_cv_trial")
 def inner_cv_trial(spark, sf):
     """One parameter draw scored by 3-fold CV with every fitted step
