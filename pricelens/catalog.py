@@ -248,6 +248,34 @@ def one_hot_nominals(spark, sf):
     return FE.OneHotEncoder(NOMINAL).fit(t).transform(t)
 
 
+_SPARSE_SQL = ("seen AS (" + " UNION ".join(f'SELECT {i} AS place, "{x}" AS category FROM clean' for i, x in enumerate(NOMINAL)) + "), "
+               "numbers AS (SELECT place, category, row_number() OVER (ORDER BY place, category) - 1 AS at FROM seen WHERE category IS NOT NULL)")
+
+
+@q("sparse_one_hot", NUM5, with_clean(
+    "SELECT clean.*, (SELECT count(*) FROM numbers)::INTEGER AS n_entries, concat_ws(',', " + ", ".join(f"n{i}.at" for i in range(len(NOMINAL)))
+    + ") AS entries FROM clean " + " ".join(f'LEFT JOIN numbers n{i} ON n{i}.place = {i} AND n{i}.category = clean."{x}"' for i, x in enumerate(NOMINAL)),
+    _SPARSE_SQL))
+def sparse_one_hot(spark, sf):
+    """P12 over all four nominals as one sparse vector a row, its entries numbered by column and category."""
+    from .operators.sparse import SparseOneHotEncoder
+    t = clean_table(spark, sf)
+    rows = SparseOneHotEncoder(NOMINAL).fit(t).transform(t).withColumn("v", F.unwrap_udt("encoded"))
+    return rows.select(*CLEAN_COLS, F.col("v.size").alias("n_entries"), F.concat_ws(",", F.col("v.indices").cast("array<string>")).alias("entries"))
+
+
+@q("sparse_ridge_coefficients")
+def sparse_ridge_coefficients(spark, sf):
+    """P12 + M2: ridge on the continuous features and the sparse vector of all categories; coefficients by name."""
+    from pyspark.ml.regression import LinearRegression
+
+    from .operators.sparse import SparseOneHotEncoder
+    t = clean_table(spark, sf)
+    enc = SparseOneHotEncoder(NOMINAL, CONT).fit(t)
+    fit = LinearRegression(featuresCol="encoded", labelCol="SP", regParam=0.1, solver="l-bfgs").fit(enc.transform(t).where("encoded is not null"))
+    return enc.named(fit.coefficients)
+
+
 def _rare_case(col):
     return (f'CASE WHEN (SELECT count(DISTINCT "{col}") FROM clean) <= 10 '
             f'OR "{col}" IN (SELECT "{col}" FROM clean GROUP BY 1 '
