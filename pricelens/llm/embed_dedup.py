@@ -3,7 +3,8 @@
 Vectors of one label link when their cosine is at least ``threshold``; for vectors of
 length 1 that is a distance of at most eps = sqrt(2 - 2 threshold).
 
-1. Vectors alike in label and components are one node with a weight.
+1. Vectors alike in label and components are one node with a weight. Nodes of each
+   dimension are joined on their own (steps 2 to 4), as vectors of two have no cosine.
 2. Nodes are projected on the leading principal directions (from the second moments
    of all of them) and sorted in epsilon grid order: by label, then by the grid cells,
    eps wide, of the leading projections.
@@ -19,16 +20,18 @@ A block pair returns the links of each node as counts, and the links themselves
 as a forest, so a dense group costs no row per pair.  Components follow from the
 forests.
 
-Defined cases: vectors that are null, zero, of another dimension than most of their
-label, or that hold null or non-finite components, and rows with a null label or
+Labels of any type are compared as text. Defined cases: vectors that are null, zero or
+that hold null or non-finite components, and rows with a null label or
 vec_id, link with nothing (n_links 0, component_id = vec_id); rows that repeat a
-vec_id are nodes of their own with that id; an empty table gives an empty result;
+vec_id, with other components or another label, are nodes of their own with that id; an empty table gives an empty result;
 other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -85,7 +88,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], dim: int, axes: np.ndarray, size:
         z = _unit(vectors, dim) @ axes
         row = [[(part << 32) + number], [label], [ids], [weights], [b"".join(vectors)], [z.min(0).tolist()], [z.max(0).tolist()]]
         number += 1
-        return pa.RecordBatch.from_arrays([pa.array(row[0]), pa.array(row[1], pa.int64()), pa.array(row[2], pa.list_(pa.int64())), pa.array(row[3], pa.list_(pa.int64())),
+        return pa.RecordBatch.from_arrays([pa.array(row[0]), pa.array(row[1], pa.string()), pa.array(row[2], pa.list_(pa.int64())), pa.array(row[3], pa.list_(pa.int64())),
                                            pa.array(row[4], pa.binary()), pa.array(row[5], pa.list_(pa.float64())), pa.array(row[6], pa.list_(pa.float64()))],
                                           names=["block", "label", "ids", "weights", "vectors", "low", "high"])
 
@@ -167,10 +170,10 @@ def _joined(nodes: DataFrame, dim: int, threshold: float, block: int, directions
     eps = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     axes = principal(nodes, dim, min(directions, dim))
     keys = [F.col("cells")[k] for k in range(axes.shape[1])]
-    placed = nodes.select("node", "label", "weight", "vector").mapInArrow(lambda b: _projected(b, dim, axes, eps), "node long, label long, weight long, vector binary, cells array<int>")
+    placed = nodes.select("node", "label", "weight", "vector").mapInArrow(lambda b: _projected(b, dim, axes, eps), "node long, label string, weight long, vector binary, cells array<int>")
     order = ["label", *keys, "node"]
     placed = written(placed, "projected").repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    blocks = written(placed.select("label", "node", "weight", "vector").mapInArrow(lambda b: _blocks(b, dim, axes, block), "block long, label long, ids array<long>, weights array<long>, vectors binary, low array<double>, high array<double>"), "blocks")
+    blocks = written(placed.select("label", "node", "weight", "vector").mapInArrow(lambda b: _blocks(b, dim, axes, block), "block long, label string, ids array<long>, weights array<long>, vectors binary, low array<double>, high array<double>"), "blocks")
     # pairs of blocks, from their bounds alone: one block stands in the cells of its
     # first direction that it covers, the other also in those beside them
     def cells(lo, hi):
@@ -186,17 +189,22 @@ def _joined(nodes: DataFrame, dim: int, threshold: float, block: int, directions
     return cut(both.groupBy("one", "two").applyInPandas(_pair_links(dim, axes, eps, threshold), "a long, b long, kind long"))
 
 
+def _every_dimension(nodes: DataFrame, threshold: float, block: int, directions: int) -> DataFrame:
+    """``_joined`` for the nodes of each dimension; the list of dimensions, a few numbers,
+    reaches the driver."""
+    size = (F.octet_length("vector") / 8).cast("int")
+    dims = sorted(r["d"] for r in nodes.select(size.alias("d")).distinct().collect())
+    return reduce(DataFrame.unionByName, [_joined(nodes.where(size == d), d, threshold, block, directions) for d in dims or [1]])
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, directions: int = DIRECTIONS) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links,
     component_id, kept."""
     spark = vectors.sparkSession
-    x = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("e"))
+    x = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("e"))
     finite = F.forall("e", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists("e", lambda v: v != 0)
     good = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("e") > 0) & finite, F.lit(False))
-    raw = x.withColumn("good", good).withColumn("dim", F.when(F.col("good"), F.size("e")))
-    sizes = [r["dim"] for r in raw.where("good").groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()]
-    dim = sizes[0] if sizes else 1
-    packed = raw.mapInArrow(_packer(dim), "vec_id long, label long, key binary, vector binary")
+    packed = x.withColumn("good", good).mapInArrow(_pack, "vec_id long, label string, key binary, vector binary")
     packed = written(packed, "vectors")
     whole = packed.where("key is not null")
     nodes = cut(whole.groupBy("label", "key").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"), F.first("vector").alias("vector")))
@@ -204,7 +212,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     twice = Window.partitionBy("node").orderBy("key", "label")
     names = cut(nodes.select("label", "key", "node", "weight", F.row_number().over(twice).alias("k")))
     clash = names.where("k > 1")
-    rows = _joined(_numbered(nodes, clash), dim, threshold, block, directions)
+    rows = _every_dimension(_numbered(nodes, clash), threshold, block, directions)
     counts = rows.where("kind = 1").groupBy(F.col("a").alias("num")).agg(F.sum("b").alias("links"))
     label_of = components(cut(rows.where("kind = 0").select("a", "b")))
     numbered = _numbered(nodes, clash).select("label", "key", "weight", F.col("node").alias("num"))
@@ -226,16 +234,12 @@ def _numbered(nodes: DataFrame, clash: DataFrame) -> DataFrame:
     return joined.select(number.alias("node"), "label", "weight", "vector", "key").select("node", "label", "weight", "vector", "key")
 
 
-def _packer(dim: int):
-    import hashlib
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good, size = batch.column("good").to_pylist(), batch.column("dim").to_pylist()
-            vectors = [(np.array(e, np.float64) + 0.0).tobytes() if g and n == dim else None for e, g, n in zip(batch.column("e").to_pylist(), good, size)]
-            keys = [hashlib.blake2b(v, digest_size=16).digest() if v else None for v in vectors]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(keys, pa.binary()), pa.array(vectors, pa.binary())], names=["vec_id", "label", "key", "vector"])
-    return pack
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components as bytes (their number is the dimension) and a digest of them."""
+    for batch in batches:
+        vectors = [(np.array(e, np.float64) + 0.0).tobytes() if g else None for e, g in zip(batch.column("e").to_pylist(), batch.column("good").to_pylist())]
+        keys = [hashlib.blake2b(v, digest_size=16).digest() if v else None for v in vectors]
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(keys, pa.binary()), pa.array(vectors, pa.binary())], names=["vec_id", "label", "key", "vector"])
 
 
 def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,3 +118,22 @@ def test_embeddings(spark, block):
 
 def test_embeddings_empty(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_embeddings_of_several_dimensions_and_text_labels(spark):
+    """Each dimension links within itself, a vec_id may repeat, labels compare as they come, other columns clash."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for dim, first, n in ((3, 0, 20), (2, 100, 30), (7, 200, 4)):
+        centre = rng.normal(size=(2, dim))
+        rows += [(first + k, [float(x) for x in centre[k % 2] + rng.normal(scale=0.1, size=dim)], "ab"[k % 2]) for k in range(n)]
+    want = {}
+    for dim in (2, 3, 7):
+        want |= brute_vectors([r for r in rows if len(r[1]) == dim])
+    again = [(0, [-x for x in rows[0][1]], rows[0][2]), (500, [-x for x in rows[0][1]], rows[0][2])]  # id 0 with other components
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows + again], "vec_id long, embedding array<double>, label string, node int, key int, good int")
+    got = embed_dedup.near_duplicates(df, block=8).collect()
+    assert len(got) == len(rows) + 2 and {"n_links", "component_id"} <= set(got[0].asDict())
+    single = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got if r["vec_id"] not in (0, 500)}
+    assert single == {k: v for k, v in want.items() if k != 0}
+    assert sorted((r["n_links"], r["component_id"]) for r in got if r["vec_id"] in (0, 500)) == sorted([want[0], (1, 0), (1, 0)])
