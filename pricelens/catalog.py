@@ -306,6 +306,29 @@ def target_encoding(spark, sf):
     return FE.TargetEncoder(NOMINAL, "SP").fit(t).transform(t)
 
 
+_PLACE_KEY = NOMINAL + DATE_PARTS
+
+
+def _ordered_sql(col):
+    order = "md5(concat_ws('|', '42', " + ", ".join(f"coalesce(CAST(\"{x}\" AS VARCHAR), '')" for x in _PLACE_KEY) + ")), " + ", ".join(f'"{x}" NULLS FIRST' for x in NUM5)
+    w = f'OVER (PARTITION BY "{col}" ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)'
+    return f'(coalesce(sum("SP") {w}, 0) + m) / (count("SP") {w} + 1) AS "{col}"'
+
+
+def _ordered_encoder():
+    from .operators.ordered_target import OrderedTargetEncoder
+    return OrderedTargetEncoder(NOMINAL, "SP", key=_PLACE_KEY, ties=NUM5)
+
+
+@q("ordered_target_statistics", NUM5 + NOMINAL, with_clean(
+    "SELECT " + ", ".join([*map(_ordered_sql, NOMINAL), *map(_qi, NUM5 + DATE_PARTS)])
+    + ' FROM clean, (SELECT avg("SP") AS m FROM clean)'))
+def ordered_target_statistics(spark, sf):
+    """Every nominal encoded by the rows before it in a seeded order."""
+    t = clean_table(spark, sf)
+    return _ordered_encoder().fit(t).training(t)
+
+
 # ========================================================= group stats =====
 
 def _group_sql(key, suffix):
@@ -1081,6 +1104,24 @@ for _tag, _fam, _id in [("huber", "HuberRegressor", "M1"), ("ridge", "Ridge", "M
     _register_family(_tag, _fam, _id)
 
 
+@q("holdout_ordered_catboost")
+def holdout_ordered_catboost(spark, sf):
+    """Symmetric trees on ordered target statistics, fitted on folds 1-4; fold 0 is
+    scored with the statistics over all of those."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from .plans import models as MD
+    from .plans import pipeline as PL
+    t = _training(spark, sf)
+    tr, te = t.where(F.col("fold") != 0), t.where(F.col("fold") == 0)
+    enc = _ordered_encoder().fit(tr)
+    va = VectorAssembler(inputCols=NOMINAL + CONT + DATE_PARTS, outputCol="features")
+    family = "CatBoostRegressor"
+    model = MD.make_regressor(family, dict(MD.DEFAULT_PARAMS[family]), "features", "SP").fit(va.transform(enc.training(tr)))
+    m = PL._metrics(model.transform(va.transform(enc.transform(te))), "SP")
+    return spark.createDataFrame([(family, m["rmse"], m["mae"], m["median_ae"])], "model string, rmse double, mae double, median_ae double")
+
+
 def _prepared(spark, sf):
     """The training table after the steps of the linear pipelines, and its numeric features."""
     from .plans import pipeline as PL
