@@ -81,7 +81,7 @@ def test_packing(spark, odd, none):
 
 def duck(sf=SF, **tables):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con
 
