@@ -138,3 +138,26 @@ def test_copies_follow_the_weights(spark):
     assert np.allclose(mean, w / total * 500, atol=0.05)
     again = {r["k"]: r["_copies"] for r in MD.systematic_copies(df, total, 500, 39.5 / 40).collect()}
     assert again == got
+
+
+def test_rows_are_held_in_blocks():
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 2))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(50)), pa.array(list(x)), pa.array(x[:, 0])], names=["row", "x", "y"])
+    edges = [np.array([-0.5, 0.5]), np.array([0.0])]
+    blocks = list(BO._binned(iter([batch, batch.slice(0, 7)]), edges, 0.5))
+    assert [b.num_rows for b in blocks] == [1, 1]
+    both = pa.Table.from_batches(blocks).combine_chunks().to_batches()[0]
+    bins = BO._matrix(both, 2)
+    assert bins.shape == (57, 2) and (bins[:50, 0] == np.searchsorted(edges[0], x[:, 0])).all()
+    tree = BO.Tree()
+    root = tree.add()
+    tree.feature[root], tree.bin[root], tree.left[root], tree.right[root] = 1, 0, tree.add(), tree.add()
+    tree.value[1:] = [1.0, 2.0]
+    after, = BO._updated(iter([both]), 2, tree)
+    assert [len(v.as_buffer()) // 8 for v in after.column("f")] == [50, 7]
+    assert (BO._joined(after, "f", np.float64)[:50] == np.where(x[:, 1] <= 0, 1.5, 2.5)).all()
+    sums, = BO._squares(iter([after]))
+    f = BO._joined(after, "f", np.float64) - np.append(x[:, 0], x[:7, 0])
+    assert sums.column("n")[0].as_py() == 57 and sums.column("s")[0].as_py() == pytest.approx(float(f @ f))
