@@ -52,3 +52,13 @@ def test_best_per_metric_reads_the_averages_once(spark):
     best = BL.best_per_metric(rows, "model", ["x", "y"])
     assert {tuple(r) for r in best.collect()} == {("x", "a", 2.0), ("y", "c", 0.5)}
     assert best._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") <= 1
+
+
+def test_brackets_of_many_values(spark):
+    """More values in the brackets than a range partitioning samples."""
+    n = 600_011  # prime: every value comes once
+    df = spark.range(n).selectExpr("'a' AS k", "cast(id * 7919 % 600011 AS double) AS value")
+    df = df.union(df.selectExpr("'b'", "-2 * value")).repartition(8)
+    got = {(r["k"], r["p"]): r["q"] for r in O.exact_quantiles(df, ["k"], "value", [0.25, 0.5, 0.75]).collect()}
+    want = {(k, p): (p if k == "a" else 2 * (p - 1)) * (n - 1) for k in "ab" for p in (0.25, 0.5, 0.75)}
+    assert got == pytest.approx(want, rel=1e-12)
