@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,38 @@ def test_normal_quantiles():
     from pricelens.functions.normal import ndtri_array
     p = np.array([1e-300, 1e-12, 0.01, 0.07, 0.075, 0.3, 0.5, 0.9, 0.93, 0.999999])
     assert np.allclose(ndtri_array(p), [statistics.NormalDist().inv_cdf(v) for v in p], rtol=1e-12)
+
+
+def _sorted_statistic(v):
+    """A² of values put in order by themselves."""
+    log_ndtr = np.vectorize(lambda z: math.log(0.5 * math.erfc(-z / math.sqrt(2))))
+    w = (np.sort(v) - v.mean()) / v.std(ddof=1)
+    i = np.arange(1, len(v) + 1)
+    return -len(v) - np.mean((2 * i - 1) * log_ndtr(w) + (2 * len(v) + 1 - 2 * i) * log_ndtr(-w))
+
+
+@pytest.mark.parametrize("signs", ["positive", "negative", "both", "nonpositive", "nonnegative"])
+def test_candidates_are_tested_on_the_order_of_the_raw_values(spark, monkeypatch, signs):
+    """One table is put in order (two, if squares of both signs cross), and every
+    candidate's statistic is that of its own sorted values."""
+    rng = np.random.default_rng(5)
+    v = np.round(rng.lognormal(0, 0.6, 400), 2) + 0.01
+    v = {"positive": v, "negative": -v, "both": np.where(rng.random(400) < 0.5, v, -v),
+         "nonpositive": np.append(-v, [0.0, 0.0]), "nonnegative": np.append(v, [0.0, 0.0])}[signs]
+    ordered, tested, count, test = [], {}, FE.ordered_counts, FE.anderson_from_ordered
+    monkeypatch.setattr(FE, "ordered_counts", lambda *a, **kw: ordered.append(a) or count(*a, **kw))
+
+    def spy(oc, keys, *a):
+        rows = test(oc, keys, *a)
+        tested.update({r["transform"]: r for r in rows.collect()} if "transform" in keys else {})
+        return rows
+    monkeypatch.setattr(FE, "anderson_from_ordered", spy)
+    FE.GaussianTransformer(["x"]).fit(spark.createDataFrame([(float(x),) for x in v], "x double"))
+    assert len(ordered) == (2 if signs == "both" else 1)
+    if signs in ("positive", "negative", "both"):
+        assert tested["reciprocal"]["statistic"] == pytest.approx(_sorted_statistic(1 / v), rel=1e-6)
+    assert tested["square"]["statistic"] == pytest.approx(_sorted_statistic(v * v), rel=1e-6)
+    if signs == "positive":
+        assert tested["logarithmic"]["statistic"] == pytest.approx(_sorted_statistic(np.log(v)), rel=1e-6)
+    else:
+        assert "logarithmic" not in tested or tested["logarithmic"]["counted"] < len(v)

@@ -133,3 +133,23 @@ def test_ordered_counts_has_no_single_task_over_the_rows(spark):
     # the one window without keys is over a row for each range partition
     for part in plan.split("SinglePartition")[1:]:
         assert "_ptot" in part
+
+
+def test_column_moments(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(1e6, 1.0, 3000), rng.normal(size=3000)
+    rows = [(float(a), 0.1, None if i % 3 else float(a + b), math.nan if i % 5 == 0 else float(b), float(b)) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "a double, same double, part double, nan double, y double").repartition(7)
+    df = df.withColumn("nothing", F.lit(None).cast("double")).withColumn("i", F.lit(2))
+    cols = ["a", "same", "part", "nan", "nothing", "i", "y"]
+    got = dict(zip(cols, ST.column_moments(df, [F.col(n) for n in cols], "nan")))
+    assert got["a"]["mean"] == pytest.approx(x.mean(), rel=1e-14) and got["a"]["sd"] == pytest.approx(x.std(), rel=1e-9)
+    assert got["a"]["r"] == pytest.approx(np.corrcoef(x, y)[0, 1], rel=1e-8) and got["y"]["r"] == pytest.approx(1.0)
+    assert got["same"]["sd"] == 0.0 and got["i"]["sd"] == 0.0 and got["nothing"]["mean"] is None
+    third, kept = np.arange(3000) % 3 == 0, np.arange(3000) % 5 != 0
+    assert got["part"]["n"] == 1000 and got["part"]["rows"] == 3000
+    assert got["part"]["r"] == pytest.approx(np.corrcoef((x + y)[third], y[third])[0, 1], rel=1e-8)
+    assert got["nan"]["n"] == kept.sum() and got["nan"]["sd"] == pytest.approx(y[kept].std())
+    assert math.isnan(ST.column_moments(df, [F.col("nan")])[0]["mean"])
+    assert ST.column_moments(df, [F.col("nan")], "nonfinite", spread=False)[0]["mean"] == pytest.approx(y[kept].mean())
