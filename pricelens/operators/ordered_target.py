@@ -5,15 +5,24 @@ row's category becomes ``(Σ y of earlier rows of that category + a·prior) / (t
 no row sees its own label or a later one's.  Rows to be scored, which have no place in the
 order, get the statistic over all fitted rows.
 
-The running sums need no window over a category: rows are range-partitioned by (category,
-order), summed inside each slice, and offset by the totals of the slices before, so a category
-with a third of all rows spreads over many tasks.  All columns go in one pass of long rows.
+The running sums need no window over a category: the order is cut into slices, whose totals by
+category are added up over the slices before.  These offsets go to their slice beside its rows,
+which are sorted there and read as a stream that keeps one sum and number per category.  So whole rows are
+shuffled once, whatever the number of columns, and a category with a third of all rows spreads
+over all slices.  Slices are equal ranges of a hash of the key: rows that repeat a key share one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import c, nan_to_null
 from ..session import cut_lineage
@@ -22,7 +31,13 @@ from .base import FittedStage, Stage, join_dimension, written_table
 
 def seeded_order(columns, seed: int) -> Column:
     """A place for each row from its own values: the same on every run, and in any SQL engine."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c(x).cast("string"), F.lit("")) for x in columns]))
+    values = [c(x) if isinstance(x, str) else x for x in columns]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(v.cast("string"), F.lit("")) for v in values]))
+
+
+def order_slice(order: Column, slices: int) -> Column:
+    """The number of an ``order``'s slice: equal ranges of its first 32 bits."""
+    return F.shiftright(F.conv(F.substring(order, 1, 8), 16, 10).cast("long") * slices, 32).cast("int")
 
 
 def running_sums(df: DataFrame, keys, order, values, partitions: int | None = None) -> DataFrame:
@@ -48,6 +63,73 @@ def running_sums(df: DataFrame, keys, order, values, partitions: int | None = No
     return joined.select(*[inside[f"`{x}`"] for x in df.columns], *[(F.col(f"before_{k}") + F.col(f"_o_{k}")).alias(f"before_{k}") for k in measures])
 
 
+class _Running:
+    """Sum and number of the labels seen so far, by category."""
+
+    def __init__(self):
+        self.codes: dict = {}
+        self.sums, self.counts = np.zeros(1024), np.zeros(1024, np.int64)
+
+    def code(self, categories: pa.Array) -> np.ndarray:
+        """Numbers of the categories (NULL has one too), new ones added."""
+        found = categories.dictionary_encode(null_encoding="encode")
+        own = np.array([self.codes.setdefault(v, len(self.codes)) for v in found.dictionary.to_pylist()], np.int64)
+        while len(self.codes) > len(self.sums):
+            self.sums, self.counts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sums, self.counts))
+        return own[found.indices.to_numpy()]
+
+    def start(self, categories: pa.Array, sums: pa.Array, counts: pa.Array) -> None:
+        at = self.code(categories)
+        self.sums[at], self.counts[at] = sums.to_numpy(), counts.to_numpy()
+
+    def before(self, categories: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum and number before each row; the rows (label NaN: none) are added after."""
+        code = self.code(categories)
+        by = np.argsort(code, kind="stable")
+        code, known = code[by], ~np.isnan(y[by])
+        first = np.append(True, code[1:] != code[:-1])
+        run = np.cumsum(first) - 1
+        out = []
+        for state, v in ((self.sums, np.where(known, y[by], 0.0)), (self.counts, known.astype(np.int64))):
+            v[first] += state[code[first]]
+            upto = pd.Series(v).groupby(run).cumsum().to_numpy()
+            if not np.isfinite(upto).all():  # pandas corrects its sums, which an infinite label makes NaN
+                at = np.append(np.flatnonzero(first), len(v))
+                upto = np.concatenate([np.cumsum(v[a:b]) for a, b in zip(at, at[1:])])
+            own = np.empty_like(upto)
+            own[1:] = upto[:-1]
+            own[first] = state[code[first]]
+            state[code[np.append(first[1:], True)]] = upto[np.append(first[1:], True)]
+            placed = np.empty_like(own)
+            placed[by] = own
+            out.append(placed)
+        return out[0], out[1]
+
+
+def _streamed(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[pa.RecordBatch]:
+    """Rows with the sums and numbers before them, from a slice's offsets and then its rows in order."""
+    at, running = None, []
+    for batch in batches:
+        slices = batch.column("_slice").to_numpy()
+        edges = np.flatnonzero(np.diff(slices)) + 1
+        for a, b in zip([0, *edges], [*edges, len(slices)]):
+            if a == b:
+                continue
+            if slices[a] != at:
+                at, running = slices[a], [_Running() for _ in range(columns)]
+            part = batch.slice(a, b - a)
+            for i, r in enumerate(running):
+                own = part.filter(pc.equal(part.column("_place"), i))
+                r.start(own.column("_category"), own.column("_s"), own.column("_n"))
+            rows = part.filter(pc.is_null(part.column("_place")))
+            if not rows.num_rows:
+                continue
+            y = rows.column("_y").to_numpy(zero_copy_only=False)  # NULL: NaN
+            found = [r.before(rows.column(f"_c{i}"), y) for i, r in enumerate(running)]
+            yield pa.RecordBatch.from_arrays([rows.column("_row"), *[pa.array(x) for pair in found for x in pair]],
+                                             names=["_row", *[f"_{k}{i}" for i in range(columns) for k in "sn"]])
+
+
 class OrderedTargetEncoder(Stage):
     """Encoder of ``columns`` by ``label``.  The model's ``transform`` scores new rows; its
     ``training`` encodes the fitted rows by their place in the seeded order, which comes from
@@ -92,17 +174,30 @@ class OrderedTargetModel(FittedStage):
         return out
 
     def training(self, df: DataFrame) -> DataFrame:
-        """The fitted rows with each column encoded by the rows before."""
-        y = nan_to_null(c(self.label)).cast("double")
-        rows = cut_lineage(df.withColumn("_id", F.monotonically_increasing_id()))
-        long = rows.select(
-            "_id", seeded_order(self.key, self.seed).alias("_order"), *[c(t).alias(f"_t{i}") for i, t in enumerate(self.ties)],
-            y.alias("y"), F.when(y.isNotNull(), 1).otherwise(0).alias("known"),
-            F.explode(F.array(*[F.struct(F.lit(i).alias("place"), c(col).cast("string").alias("category")) for i, col in enumerate(self.columns)])).alias("kv"))
-        order = ["_order", *[f"_t{i}" for i in range(len(self.ties))], "_id"]
-        sums = running_sums(long.select("_id", "_order", *order[1:-1], "y", "known", "kv.place", "kv.category"), ["place", "category"], order, ["y", "known"])
-        encoded = self._statistic(F.col("before_y"), F.col("before_known"))
-        # one row per input row again: its columns' values meet by the row's number
-        wide = sums.groupBy("_id").agg(*[F.max(F.when(F.col("place") == i, encoded)).alias(f"_e{i}") for i in range(len(self.columns))])
+        """The fitted rows with each column encoded by the rows before.  ``df`` is read twice."""
+        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        label = nan_to_null(c(self.label).cast("double"))
+        places = [F.struct(F.lit(i).alias("place"), c(col).cast("string").alias("category")) for i, col in enumerate(self.columns)]
+        totals = (df.select(order_slice(seeded_order(self.key, self.seed), slices).alias("_slice"), label.alias("_y"), F.explode(F.array(*places)).alias("kv"))
+                  .groupBy("_slice", F.col("kv.place").alias("_place"), F.col("kv.category").alias("_category"))
+                  .agg(F.sum("_y").alias("s"), F.count("_y").alias("n")))
+        earlier = Window.partitionBy("_place", "_category").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select("_slice", "_place", "_category", F.coalesce(F.sum("s").over(earlier), F.lit(0.0)).alias("_s"),
+                                F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_n")).where("_n > 0")
+        whole = F.struct(*[c(x) for x in df.columns]).alias("_row")
+        rows = df.select(order_slice(seeded_order(self.key, self.seed), slices).alias("_slice"), whole)
+        both = rows.unionByName(offsets, allowMissingColumns=True).repartitionById(slices, "_slice")
+
+        def own(name: str) -> Column:
+            return F.col("_row").getField(name)
+        order = ["_slice", F.col("_place").isNull(), seeded_order([own(k) for k in self.key], self.seed), *[own(t) for t in self.ties]]
+        inputs = both.sortWithinPartitions(*order).select(
+            "_slice", "_row", "_place", "_category", "_s", "_n", nan_to_null(own(self.label).cast("double")).alias("_y"),
+            *[own(col).cast("string").alias(f"_c{i}") for i, col in enumerate(self.columns)])
+        schema = T.StructType([inputs.schema["_row"]])
+        for i in range(len(self.columns)):
+            schema = schema.add(f"_s{i}", "double").add(f"_n{i}", "long")
+        count = len(self.columns)
+        found = inputs.mapInArrow(lambda batches: _streamed(batches, count), schema)
         at = {x: i for i, x in enumerate(self.columns)}
-        return rows.join(wide, "_id").select(*[(F.col(f"_e{at[x]}").alias(x) if x in at else c(x)) for x in df.columns])
+        return found.select(*[(self._statistic(F.col(f"_s{at[x]}"), F.col(f"_n{at[x]}")) if x in at else own(x)).alias(x) for x in df.columns])

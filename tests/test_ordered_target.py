@@ -83,3 +83,29 @@ def test_a_hot_key_spreads_over_the_slices(spark):
     assert sums.where("before_n <> id or before_v <> id").count() == 0 and sums.count() == 4000
     largest = df.repartitionByRange(8, "k", "id").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert largest < 1000
+
+
+def test_rows_are_shuffled_once_and_joined_with_nothing(spark):
+    df = spark.createDataFrame(_rows(), SPEC)
+    plan = OrderedTargetEncoder(["one", "t wo"], "y").fit(df).training(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("RepartitionByExpression") == 1
+
+
+def test_small_batches_many_categories_and_an_infinite_label(spark):
+    rows = [(i, str(i % 150), "x" if i % 2 else None, float("inf") if i == 7 else float("nan") if i == 8 else float(i % 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, SPEC)
+    model = OrderedTargetEncoder(["one", "t wo"], "y").fit(df)
+    model.prior = 1.0
+    known = [(*r[:3], None if r[3] != r[3] else r[3]) for r in rows]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r["row_id"]: r for r in model.training(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sums: dict = {}
+    for r in sorted(known, key=lambda r: hashlib.md5(f"42|{r[0]}".encode()).hexdigest()):
+        for at, name in ((1, "one"), (2, "t wo")):
+            s, n = sums.get((at, r[at]), (0.0, 0))
+            assert got[r[0]][name] == (s + 1.0) / (n + 1.0)
+            if r[3] is not None:
+                sums[at, r[at]] = (s + r[3], n + 1)
