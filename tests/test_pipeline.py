@@ -1,6 +1,10 @@
 import tempfile
+import threading
 
 import numpy as np
+import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from pricelens.catalog import clean_table
@@ -50,3 +54,16 @@ def test_linear_pipeline_runs(spark):
                    drop_correlated=True, number=5)
     res = PL.cross_validate(t, ch, TEST_SALES, folds=2, rare_tol=0.04)
     assert res["val_rmse"] > 0 and np.isfinite(res["val_rmse"])
+
+
+def test_inner_folds_are_fitted_at_once(spark, monkeypatch):
+    meet, fit = threading.Barrier(3), PL.fit_pipeline
+
+    def together(*a):
+        meet.wait(60)  # broken if one fold waits for another's end
+        return fit(*a)
+    monkeypatch.setattr(PL, "fit_pipeline", together)
+    monkeypatch.setattr(PL, "build_pipeline", lambda *a: PL.Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"), DecisionTreeRegressor(labelCol="SP")]))
+    df = spark.range(90).selectExpr("id AS row_id", "cast(id % 9 as double) AS x", "cast(id % 9 * 2 as double) AS SP")
+    res = PL.cross_validate(df, PL.Choice("DecisionTreeRegressor", {}), PL.SALES, 3)
+    assert len(res) == 6 and res["val_rmse"] == pytest.approx(0.0)
