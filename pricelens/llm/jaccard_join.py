@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binaries, components, cut, lean, partitions, ragged, shingle_sets, sized_join, small_batches, word_slices, written
+from .common import binaries, components, cut, discard, lean, partitions, ragged, shingle_sets, sized_join, small_batches, word_slices, written
 
 THRESHOLD = (75, 100)
 SHINGLE = 5
@@ -297,6 +297,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD
     last = F.size("tokens") - F.floor(smallest / 10).cast("int")
     kept = held.join(node, "sig64").withColumn("last", last).where("last > 0")
     tokens = cut(kept.select("doc", F.explode(F.expr("slice(tokens, 1, last)")).alias("t")).select("doc", "t.token"))
+    discard(shared)
 
     # step 3: a pivot for each shingle
     lead = tokens.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("doc").alias("o"), "doc")).alias("p")).where("k > 1")
@@ -304,12 +305,14 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold=THRESHOLD
     follow = cut(follow)
     members = cut(follow.select("doc").distinct().join(node.select("doc", "name", "sig"), "doc"))
     texts = sized_join(docs.withColumnRenamed("doc_id", "name"), cut(members.select("name").distinct()), "name")
-    shingles = written(texts.select("text").mapInArrow(lean(_sets, size), "sig binary, shingles binary"), "sets").dropDuplicates(["sig"])
+    shingles = written(texts.select("text").mapInArrow(lean(_sets, size), "sig binary, shingles binary"), "sets")
     follow = follow.join(members.select("doc", "sig"), "doc")
-    regions = written(follow.join(shingles, "sig").select(F.col("pivot").cast("string").alias("region"), "doc", "shingles"), "regions")
+    regions = written(follow.join(shingles.dropDuplicates(["sig"]), "sig").select(F.col("pivot").cast("string").alias("region"), "doc", "shingles"), "regions")
+    discard(shingles)
 
     links = region_links(regions, threshold, leaf)
     same = components(cut(links.union(_repeated(signed, node))))
+    discard(regions)
     # a component's name is the smallest of its sets' names
     label = cut(same.withColumnRenamed("node", "doc").join(node.select("doc", "name"), "doc"))
     lowest = cut(label.groupBy("component").agg(F.min("name").alias("lowest")))

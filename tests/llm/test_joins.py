@@ -1,4 +1,5 @@
 """Jaccard join and embedding join against brute force."""
+import os
 import random
 import re
 from collections import defaultdict
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricelens.llm import embed_dedup, jaccard_join
+from pricelens.llm import common, embed_dedup, jaccard_join
 
 from .conftest import lower
 
@@ -137,3 +138,33 @@ def test_embeddings_of_several_dimensions_and_text_labels(spark):
     single = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got if r["vec_id"] not in (0, 500)}
     assert single == {k: v for k, v in want.items() if k != 0}
     assert sorted((r["n_links"], r["component_id"]) for r in got if r["vec_id"] in (0, 500)) == sorted([want[0], (1, 0), (1, 0)])
+
+
+@pytest.mark.parametrize("few", [common.FEW_EDGES, 0])
+def test_components_of_few_and_of_many_edges(spark, few):
+    rng = np.random.default_rng(2)
+    edges = [*((k, k + 1) for k in range(1000, 1100)), *((5, int(k)) for k in rng.integers(6, 90, 40)), (7, 7), (999, 999), (None, 3), (-4, -9), (-9, -4)]
+    edges += [(int(a), int(b)) for a, b in rng.integers(2000, 2400, (150, 2))]
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = sorted((top(a), top(b)))
+            up[y] = x
+    got = common.components(spark.createDataFrame(edges, "a long, b long").repartition(5), few).collect()
+    assert {(r["node"], r["component"]) for r in got} == {(x, top(x)) for x in up} and len(got) == len(up)
+    assert common.components(spark.createDataFrame([], "a long, b long"), few).count() == 0
+
+
+def test_finished_tables_of_the_join_are_deleted(spark, monkeypatch):
+    made, write = [], jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name, *a: made.append((name, write(df, name, *a))) or made[-1][1])
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(k, " ".join(words[:38 + k % 3])) for k in range(9)], "doc_id long, text string")
+    assert {r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()} == {0}
+    files = {name: [f for f in df.inputFiles() if os.path.exists(f.removeprefix("file://"))] for name, df in made}
+    assert files["signatures"] and not files["shared"] and not files["sets"] and not files["regions"]
