@@ -6,6 +6,7 @@ import tempfile
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
@@ -186,3 +187,53 @@ def test_deep_tree_keeps_nodes_beside_rows_and_is_the_same(spark):
     assert tree.getCacheNodeIds()
     plain = DecisionTreeRegressor(labelCol="SP", maxDepth=MD.MAX_DEPTH, seed=MD.SEED).fit(d)
     assert tree.fit(d).toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
+
+
+def _grown_tree(rng, features, depth, rows=400):
+    """A tree on random values, with repeated features and thresholds, and the values."""
+    data = np.round(rng.normal(size=(rows, features)), 1)
+    t = {k: [] for k in ("left", "right", "feature", "threshold", "value", "cover")}
+
+    def grown(own, level):
+        node = len(t["left"])
+        for k, v in (("left", -1), ("right", -1), ("feature", -1), ("threshold", 0.0), ("value", rng.normal()), ("cover", float(len(own)))):
+            t[k].append(v)
+        f = int(rng.integers(features))
+        cut = rng.choice(data[own, f])
+        left = data[own, f] <= cut
+        if level and not left.all():
+            t["feature"][node], t["threshold"][node] = f, cut
+            t["left"][node], t["right"][node] = grown(own[left], level - 1), grown(own[~left], level - 1)
+        return node
+
+    grown(np.arange(rows), depth)
+    return {k: np.array(v) for k, v in t.items()}, data
+
+
+@pytest.mark.parametrize("features,depth,states", [(4, 7, 512), (7, 9, 512), (7, 9, 128), (3, 3, 512), (8, 10, 64)])
+def test_leaf_tables_give_what_the_walk_gives(monkeypatch, features, depth, states):
+    from pricelens.plans import explain as EX
+    monkeypatch.setattr(EX, "STATES", states)
+    rng = np.random.default_rng(features * depth)
+    t, data = _grown_tree(rng, features, depth)
+    rows = np.vstack([data[:60], rng.normal(size=(40, features)) * 2, np.full((1, features), np.nan)])
+    walked, read = np.zeros_like(rows), np.zeros_like(rows)
+    EX.tree_shap_batch(rows, t, walked, 0.5)
+    EX.leaf_tables(t).add(rows, read, 0.5)
+    assert np.allclose(read, walked, atol=1e-10) and np.abs(walked).max() > 0.01
+
+
+def test_trees_of_one_leaf_or_wide_paths_have_no_tables(spark, monkeypatch):
+    from pricelens.plans import explain as EX
+    rng = np.random.default_rng(5)
+    t, data = _grown_tree(rng, 4, 6)
+    lone = {k: v[:1] * 0 - (k in ("left", "right", "feature")) for k, v in t.items()}
+    assert EX.leaf_tables(lone) is None
+    rows = [(i, Vectors.dense(x)) for i, x in enumerate(data[:50])]
+    df = spark.createDataFrame(rows, ["n", "features"])
+    trees = [(0.5, t), (0.5, lone)]
+    monkeypatch.setattr(EX, "EXPLAINED", 7)
+    read = {r["n"]: r["phi"] for r in EX.tree_shap(df, trees, keep=["n"]).collect()}
+    want = np.zeros((50, 4))
+    EX.tree_shap_batch(data[:50], t, want, 0.5)
+    assert len(read) == 50 and all(np.allclose(read[i], want[i], atol=1e-10) for i in range(50))
