@@ -29,6 +29,26 @@ def test_contiguous_blocks_match_ntile(spark):
     assert out == expect
 
 
+@pytest.mark.parametrize("few", [10_000, 2])
+def test_contiguous_blocks_of_odd_rows_without_a_join(spark, monkeypatch, few):
+    monkeypatch.setattr(PL, "FEW", few)
+    rng = np.random.default_rng(3)
+    rows = [(None if a == 0 else "abc"[a % 3], float("nan") if b == 4 else None if b == 3 else float(b), int(d))
+            for a, b, d in zip(rng.integers(0, 6, 200), rng.integers(0, 5, 200), rng.integers(0, 3, 200))]
+    df = spark.createDataFrame(rows, "a string, b double, d int").repartition(5)
+    place = lambda r: tuple((0, 0) if v is None else (2, 0) if v != v else (1, v) for v in r)
+    keys = sorted(map(place, rows))
+    for k in (3, 7):
+        q, more = divmod(200, k)
+        ends = np.cumsum([q + (i < more) for i in range(k)])
+        found = PL.contiguous_folds(df, k, ["a", "b", "d"])
+        assert found.columns == ["a", "b", "d", "block"]
+        assert all(r["block"] == 1 + np.searchsorted(ends, keys.index(place(r[:3])), side="right") for r in found.collect())
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+    assert PL.contiguous_folds(df.where("false"), 3, ["a", "b", "d"]).count() == 0
+
+
 def test_nested_samples_nest(spark):
     t = PL.prepare_training_table(clean_table(spark, SF), TEST_SALES)
     d = PL.nested_samples(t, [0.3, 0.6, 1.0]).collect()
