@@ -143,3 +143,21 @@ def test_candidates_are_tested_on_the_order_of_the_raw_values(spark, monkeypatch
         assert tested["logarithmic"]["statistic"] == pytest.approx(_sorted_statistic(np.log(v)), rel=1e-6)
     else:
         assert "logarithmic" not in tested or tested["logarithmic"]["counted"] < len(v)
+
+
+def test_mutual_information_counts_once(spark):
+    from pricelens.operators import selection as SE
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.normal(size=400), rng.integers(0, 3, 400), np.full(400, 2.0)])
+    y = x[:, 0] + x[:, 1]
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, SP double")
+    found = SE.mutual_information(df, ["a", "b", "c"], "SP")
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()  # the rows aren't read again for the margins
+    got = {r["feature"]: r["mi"] for r in found.collect()}
+
+    def bins(v):
+        return np.minimum((v - v.min()) / (np.ptp(v) or 1) * 10, 9).astype(int)
+    for i, f in enumerate("abc"):
+        p = np.histogram2d(bins(x[:, i]), bins(y), bins=[np.arange(11), np.arange(11)])[0] / 400
+        q = p.sum(1, keepdims=True) * p.sum(0, keepdims=True)
+        assert got[f] == pytest.approx((p[p > 0] * np.log(p[p > 0] / q[p > 0])).sum(), abs=1e-9)
